@@ -33,10 +33,17 @@ def round_half_up(x: Column, digits: int) -> Column:
     """Round half away from zero on x * 10^digits.
 
     ``F.round(x, n)`` works on the shortest decimal text of x, so 1.005 goes to 1.01; rounding the
-    scaled double instead gives 1.0, which is what the warehouse's published numbers use.
+    scaled double instead gives 1.0, which is what the warehouse's published numbers use. ``rint`` is
+    corrected at exact halves, where the gap to x is exact; this avoids a decimal object per value.
     """
     scale = float(10**digits)
-    return F.round(x.cast("double") * scale) / scale
+    scaled = x.cast("double") * scale
+    even = F.rint(scaled)
+    gap = scaled - even
+    whole = (
+        F.when((scaled > 0) & (gap == 0.5), even + 1.0).when((scaled < 0) & (gap == -0.5), even - 1.0).otherwise(even)
+    )
+    return whole / scale
 
 
 def round_half_even(x: Column, digits: int) -> Column:

@@ -1,7 +1,7 @@
 """Text cells of statistical sheets: labels, indentation, numbers, footnotes.
 
-``(?U)`` makes the pattern classes Unicode-aware, so a hard blank (U+00A0) counts as a blank; plain
-``\\s`` and ``trim`` would miss it.
+A hard blank (U+00A0) is a blank here, as are the other Unicode spaces; plain ``trim`` would keep them.
+Trimming by a set of characters needs no pattern matching, which counts on rows this many.
 """
 
 from __future__ import annotations
@@ -13,24 +13,30 @@ from pyspark.sql import functions as F
 MISSING_MARKS = ["n.d.", "n.a.", "-", "", "s.i."]
 NOTE_PATTERN = r"^(\(\d+\)|Fuente|Elaborad|n\.d\.|n\.a\.|Comisi)"
 
+# Every character that counts as a blank.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 _NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?$"
 _SPECIAL = r"^[+-]?(nan|inf|infinity)$"
 
 
 def strip_blanks(s: Column) -> Column:
-    return F.regexp_replace(s, r"(?U)^\s+|\s+$", "")
+    return F.btrim(s, F.lit(BLANKS))
 
 
 def clean_label(s: Column) -> Column:
     """Label without its translation (after " / "), footnote marks and repeated blanks."""
-    first_language = F.substring_index(s, " / ", 1)
-    unmarked = F.regexp_replace(first_language, r"(?U)\(\d+\)", "")
-    return strip_blanks(F.regexp_replace(unmarked, r"(?U)\s+", " "))
+    text = F.substring_index(s, " / ", 1)
+    unmarked = F.when(text.contains("("), F.regexp_replace(text, r"\(\p{Nd}+\)", "")).otherwise(text)
+    return strip_blanks(F.regexp_replace(unmarked, f"[{BLANKS}]+", " "))
 
 
 def indent(s: Column) -> Column:
     """Number of leading blanks."""
-    return F.length(s) - F.length(F.regexp_replace(s, r"(?U)^\s+", ""))
+    return F.length(s) - F.length(F.ltrim(s, F.lit(BLANKS)))
 
 
 def is_note(s: Column) -> Column:

@@ -42,7 +42,9 @@ def time_block(ts: str, seconds: int) -> Column:
 
 
 def row_block(number: str, rows: int = BLOCK_ROWS) -> Column:
-    return F.floor(F.col(number) / F.lit(rows))
+    """The first row number of the block that a row number is in."""
+    n = F.col(number).cast("bigint")
+    return n - F.pmod(n, F.lit(rows))
 
 
 def within(keys: list[str], order: list[str]) -> WindowSpec:

@@ -35,16 +35,15 @@ def failure_features(performance: DataFrame, block_years: int = 1) -> DataFrame:
     run = blocks.within(["truck", "block"], TRUCK_ORDER)
     so_far = run.rowsBetween(Window.unboundedPreceding, 0)
     frame = run.rowsBetween(1 - SHIFT_FRAME, 0)
-    whole = Window.partitionBy("truck", "block")
-
+    # State rows sort first, so a running maximum hands their totals to every row of the block.
     own = ~F.col(blocks.CONTEXT)
     n_here = F.sum(F.when(own, 1).otherwise(0)).over(so_far)
     counted = blocks.add_state(marked, state, ["truck"], "block").withColumns(
         {
-            "rows_before": F.max("rows_before").over(whole),
-            "hours_before": F.max("hours_before").over(whole),
-            "failed_before": F.max("failed_before").over(whole),
-            "next_failed": F.max("next_failed").over(whole),
+            "rows_before": F.max("rows_before").over(so_far),
+            "hours_before": F.max("hours_before").over(so_far),
+            "failed_before": F.max("failed_before").over(so_far),
+            "next_failed": F.max("next_failed").over(so_far),
             "n_here": n_here,
         }
     )

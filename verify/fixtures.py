@@ -286,5 +286,7 @@ def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_sheet as typed sheet rows (sheet, row_num, cells)."""
     flat = table(spark, sf_dir, "fx_sheet")
     cells = [F.struct(F.lit(None).cast("double").alias("num"), F.col("label").alias("txt"))]
-    cells += [F.struct(F.col(c).try_cast("double").alias("num"), F.col(c).alias("txt")) for c in ("c1", "c2", "c3")]
+    for c in ("c1", "c2", "c3"):
+        plain = F.when(F.col(c).rlike(r"^[0-9]+(\.[0-9]+)?$"), F.col(c)).cast("double")
+        cells.append(F.struct(plain.alias("num"), F.col(c).alias("txt")))
     return flat.select("sheet", "row_num", F.array(*cells).alias("cells"))

@@ -383,7 +383,7 @@ _TEXTS: dict[str, str] = {
     "yb_pivot_price": "select * from o_metal",
     "fn_safe_divide": "select record_id, oper_h / nullif(sched_h, 0) as ratio from fx_maintenance",
     "fn_recovery": """select record_id, case when feed > tail and conc > tail
-        then round(conc * (feed - tail) / (feed * (conc - tail)) * 100, 8) end as recovery_pct from fx_telemetry""",
+        then conc * (feed - tail) / (feed * (conc - tail)) * 100 end as recovery_pct from fx_telemetry""",
     "shift_of_hour": """select cast(hour(ts) as integer) as hr, case when hour(ts) < 8 or hour(ts) >= 20 then 'Noche' else 'Día' end as shift,
         count(*) as n from fx_telemetry group by all""",
     "risk_score": "select incident_id, sev, points from o_safety",
@@ -393,18 +393,14 @@ _TEXTS: dict[str, str] = {
         '\s+', ' ', 'g')) as label from o_cells where label is not null""",
     "yb_indent": "select sheet, row_num, cast(length(plain) - length(ltrim(plain)) as integer) as indent from o_cells where label is not null",
     "yb_parse_value": "select sheet, row_num, " + ", ".join(f"{_NUMBER.format(c)} as {c}" for c in ("c1", "c2", "c3")) + " from fx_sheet",
-    "equipment_performance": """select * replace (round(rate_real, 6) as rate_real, round(rate_nominal, 6) as rate_nominal,
-        round(performance, 6) as performance) from o_perf""",
+    "equipment_performance": "select * from o_perf",
     "equipment_performance_salted": "select model, count(*) as n, sum(cycles) as cycles, max(cap_t) as cap_t from o_perf group by model",
     "dq_capped_unknown": "select site, count(*) as n from o_perf where rate_real / rate_nominal is null group by site",
-    "agg_equipment": """select * replace (round(availability_mean, 6) as availability_mean, round(performance_mean, 6) as performance_mean)
-        from o_fleet""",
-    "agg_telemetry": """select * replace (round(feed_mean, 8) as feed_mean, round(conc_mean, 8) as conc_mean, round(tail_mean, 8) as tail_mean)
-        from o_plant""",
+    "agg_equipment": "select * from o_fleet",
+    "agg_telemetry": "select * from o_plant",
     "agg_safety": "select * from o_safety_shift",
     "shift_kpis": "select * from o_kpis",
-    "ml_failure_features": """select * replace (round(availability_7, 6) as availability_7, round(performance, 6) as performance)
-        from o_failure""",
+    "ml_failure_features": "select * from o_failure",
     "ml_failure_streak": "select truck, day, shift, failed, shifts_since_failure from o_failure",
     "ml_label_coverage": """select 'failure' as tbl, count(*) as n_rows, count(fails_next_shift) as labelled,
         cast(null as bigint) as labelled_grade, count(*) filter (where fails_next_shift = 1) as positives from o_failure
@@ -505,9 +501,7 @@ _TEXTS: dict[str, str] = {
     "rpt_zone_monthly": "select month, zone, round(avg(price_solar), 6) as solar, round(avg(price_night), 6) as night from o_monthly group by all",
     "rpt_preview": "select * from o_kpis order by day, site, shift limit 10",
 }
-_PROCESS = """select * replace (round(tons_6, 6) as tons_6, round(feed_sd_6, 6) as feed_sd_6, round(dose_6, 6) as dose_6,
-  round(ph_6, 6) as ph_6, round(feed, 6) as feed, round(feed_lag, 6) as feed_lag, round(tail, 6) as tail,
-  round(target_recovery, 6) as target_recovery) from o_process"""
+_PROCESS = "select * replace (round(feed_sd_6, 6) as feed_sd_6) from o_process"
 _TEXTS["ml_process_features"] = _TEXTS["ml_process_features_bucketed"] = _PROCESS
 
 ORACLES: dict[str, str] = {name: complete(text) for name, text in _TEXTS.items()}

@@ -33,10 +33,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded: a mean of numbers that are not exact in binary depends on the order of its sum."""
-    doubles = [f.name for f in df.schema if isinstance(f.dataType, DoubleType)]
-    return df.withColumns({c: num.round_half_up(F.col(c), digits) for c in doubles}) if doubles else df
+def rounded(df: DataFrame, digits: int = 6, columns: list[str] | None = None) -> DataFrame:
+    """Doubles (or the named ones) rounded: a mean of numbers that are not exact in binary depends on
+    the order of its sum."""
+    doubles = columns or [f.name for f in df.schema if isinstance(f.dataType, DoubleType)]
+    return df.withColumns({c: num.round_half_up(F.col(c), digits) for c in doubles})
 
 
 class Inputs:
@@ -100,8 +101,12 @@ class Inputs:
         index = yearbook.indices(self.topic("fx_yb_index"))
         return yearbook.producer_year(yearbook.producers(output), yearbook.totals(output), index)
 
+    def written_yearbook(self) -> DataFrame:
+        """The staged yearbook as a build leaves it: files split by tab."""
+        return files.write_table(self.yearbook(), scratch_folder(self.spark, "stg_yearbook"), ["tab"])
+
     def sector(self) -> DataFrame:
-        return yearbook.sector_year(self.yearbook())
+        return yearbook.sector_year(self.written_yearbook())
 
     def energy_cost(self) -> DataFrame:
         return prices.energy_cost_year(self.price(), self.energy(), self.totals())
@@ -226,7 +231,7 @@ def fn_safe_divide(spark, sf):
 @query
 def fn_recovery(spark, sf):
     t = Inputs(spark, sf).fx("fx_telemetry")
-    return rounded(t.select("record_id", num.recovery(F.col("feed"), F.col("conc"), F.col("tail")).alias("recovery_pct")), 8)
+    return t.select("record_id", num.recovery(F.col("feed"), F.col("conc"), F.col("tail")).alias("recovery_pct"))
 
 
 @query
@@ -272,7 +277,7 @@ def yb_parse_value(spark, sf):
 
 @query
 def equipment_performance(spark, sf):
-    return rounded(Inputs(spark, sf).performance())
+    return Inputs(spark, sf).performance()
 
 
 @query
@@ -292,12 +297,12 @@ def dq_capped_unknown(spark, sf):
 
 @query
 def agg_equipment(spark, sf):
-    return rounded(operations.fleet_by_shift(Inputs(spark, sf).performance()))
+    return operations.fleet_by_shift(Inputs(spark, sf).performance())
 
 
 @query
 def agg_telemetry(spark, sf):
-    return rounded(operations.plant_by_shift(Inputs(spark, sf).shift_telemetry()), 8)
+    return operations.plant_by_shift(Inputs(spark, sf).shift_telemetry())
 
 
 @query
@@ -315,7 +320,7 @@ def shift_kpis(spark, sf):
 
 @query
 def ml_failure_features(spark, sf):
-    return rounded(Inputs(spark, sf).failure())
+    return Inputs(spark, sf).failure()
 
 
 @query
@@ -325,13 +330,13 @@ def ml_failure_streak(spark, sf):
 
 @query
 def ml_process_features(spark, sf):
-    return rounded(Inputs(spark, sf).process())
+    return rounded(Inputs(spark, sf).process(), 6, ["feed_sd_6"])
 
 
 @query
 def ml_process_features_bucketed(spark, sf):
     """The same table cut into small blocks of minutes, many of them empty or with fewer rows than a frame."""
-    return rounded(features.process_features(Inputs(spark, sf).telemetry(), block_seconds=900))
+    return rounded(features.process_features(Inputs(spark, sf).telemetry(), block_seconds=900), 6, ["feed_sd_6"])
 
 
 @query
@@ -343,7 +348,7 @@ def ml_label_coverage(spark, sf):
 @query
 def ml_training_rows(spark, sf):
     rows = features.training_rows(Inputs(spark, sf).failure())
-    return rounded(rows.select("truck", "day", "shift", "oper_h_total", "fail_h_7", "shifts_since_failure", "fails_next_shift"))
+    return rows.select("truck", "day", "shift", "oper_h_total", "fail_h_7", "shifts_since_failure", "fails_next_shift")
 
 
 # -- prices -------------------------------------------------------------------------------------------
@@ -504,13 +509,17 @@ def dq_coverage(spark, sf):
 
 
 def _suite_tables(x: Inputs) -> dict[str, DataFrame]:
+    """The operational tables, the marts written as in a build."""
+    folder = scratch_folder(x.spark, "operations")
+    performance = files.write_table(x.performance(), f"{folder}/equipment_performance")
+    kpis = operations.shift_kpis(performance, x.shift_telemetry(), x.safety())
     return {
         "stg_telemetry": x.telemetry(),
         "stg_maintenance": x.maintenance(),
         "stg_safety": x.safety(),
         "equipment": x.fx("fx_equipment"),
-        "equipment_performance": x.performance(),
-        "shift_kpis": x.kpis(),
+        "equipment_performance": performance,
+        "shift_kpis": files.write_table(kpis, f"{folder}/shift_kpis"),
     }
 
 
@@ -537,7 +546,7 @@ def dq_suite_prices(spark, sf):
 def dq_suite_yearbook(spark, sf):
     """All declared tests of the yearbook, over tables that a build has written."""
     x = Inputs(spark, sf)
-    stage = files.write_table(x.yearbook(), scratch_folder(spark, "stg_yearbook"), ["tab"])
+    stage = x.written_yearbook()
     mines, published, index = yearbook.producers(stage), yearbook.totals(stage), yearbook.indices(stage)
     found = {
         "stg_yearbook": stage,
