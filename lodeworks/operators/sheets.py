@@ -24,24 +24,30 @@ MIN_YEARS = 3
 KEYS = ["sheet", "block"]
 
 
-def year_columns(cells: Column) -> Column:
-    """array<struct<pos, yr>> of the cells that are whole numbers in the year range."""
-    marked = F.transform(cells, lambda c, i: F.struct(i.alias("pos"), c["num"].alias("yr")))
+def _is_year(cell: Column) -> Column:
     low, high = YEAR_RANGE
-    years = F.filter(marked, lambda m: m["yr"].between(low, high) & (m["yr"] == F.floor(m["yr"])))
-    return F.transform(years, lambda m: F.struct(m["pos"].alias("pos"), m["yr"].cast("int").alias("yr")))
+    return cell["num"].between(low, high) & (cell["num"] == F.floor(cell["num"]))
+
+
+def year_columns(cells: Column) -> Column:
+    """array<struct<pos, yr>> of a header row's year cells; null for any other row.
+
+    Most rows are not headers: they cost one look at each cell and build no arrays.
+    """
+    placed = F.transform(cells, lambda c, i: F.struct(i.alias("pos"), c["num"].alias("num")))
+    years = F.transform(F.filter(placed, _is_year), lambda c: F.struct(c["pos"].alias("pos"), c["num"].cast("int").alias("yr")))
+    return F.when(F.size(F.filter(cells, _is_year)) >= MIN_YEARS, years)
 
 
 def _prepared(rows: DataFrame, block_rows: int) -> DataFrame:
     label = F.get("cells", F.lit(0))["txt"]
-    years = year_columns(F.col("cells"))
     return rows.select(
         "sheet",
         row_block("row_num", block_rows).alias("block"),
         "row_num",
         "cells",
         label.alias("raw_label"),
-        F.when(F.size(years) >= MIN_YEARS, years).alias("years"),
+        year_columns(F.col("cells")).alias("years"),
         is_note(label).alias("note"),
     )
 
@@ -72,10 +78,9 @@ def _block_starts(prepared: DataFrame) -> DataFrame:
 
 def headers(rows: DataFrame) -> DataFrame:
     """(sheet, header_row, years): the first row with at least three numeric years."""
-    years = year_columns(F.col("cells"))
     return (
-        rows.select("sheet", "row_num", years.alias("years"))
-        .where(F.size("years") >= MIN_YEARS)
+        rows.select("sheet", "row_num", year_columns(F.col("cells")).alias("years"))
+        .where(F.col("years").isNotNull())
         .groupBy("sheet")
         .agg(F.min("row_num").alias("header_row"), F.min_by("years", "row_num").alias("years"))
     )
@@ -83,7 +88,7 @@ def headers(rows: DataFrame) -> DataFrame:
 
 def bad_sheets(rows: DataFrame) -> DataFrame:
     """(sheet, n_rows) of the sheets that have no header row."""
-    has_header = F.max(F.size(year_columns(F.col("cells"))) >= MIN_YEARS)
+    has_header = F.max(year_columns(F.col("cells")).isNotNull())
     return (
         rows.groupBy("sheet")
         .agg(F.count("*").alias("n_rows"), has_header.alias("ok"))

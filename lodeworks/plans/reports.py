@@ -39,13 +39,21 @@ def filter_user(
 
 
 def filter_domain(kpis: DataFrame) -> DataFrame:
-    """What the filter can choose from: the sites, the shifts, and the first and last day."""
-    return kpis.agg(
-        F.array_join(F.sort_array(F.collect_set("site")), ",").alias("sites"),
-        F.array_join(F.sort_array(F.collect_set("shift")), ",").alias("shifts"),
-        F.min("day").alias("first_day"),
-        F.max("day").alias("last_day"),
+    """What the filter can choose from, as (field, choice) rows: sites, shifts, first and last day.
+
+    One pass reduces the table to its (site, shift) pairs; the rest works on those.
+    """
+    pairs = kpis.groupBy("site", "shift").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+    def choices(field: str) -> DataFrame:
+        return pairs.select(F.lit(field).alias("field"), F.col(field).alias("choice")).distinct()
+
+    ends = pairs.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")).select(
+        F.inline(
+            F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("choice")) for c in ("first_day", "last_day")])
+        )
     )
+    return choices("site").unionByName(choices("shift")).unionByName(ends)
 
 
 def detail(kpis: DataFrame) -> DataFrame:

@@ -463,9 +463,8 @@ _TEXTS: dict[str, str] = {
     ),
     "rpt_filter": """select day, shift, site, availability_pct, oee_pct, quality_pct, recovery_pct, incidents, risk_level from o_kpis
         where site <> 'Los Bronces' and shift = 'Día' and year(day) between 1996 and 1999""",
-    "rpt_filter_domain": """select (select string_agg(site, ',' order by site) from (select distinct site from o_kpis)) as sites,
-        (select string_agg(shift, ',' order by shift) from (select distinct shift from o_kpis)) as shifts,
-        min(day) as first_day, max(day) as last_day from o_kpis""",
+    "rpt_filter_domain": """select distinct 'site' as field, site as choice from o_kpis union all select distinct 'shift', shift from o_kpis
+        union all select 'first_day', cast(min(day) as varchar) from o_kpis union all select 'last_day', cast(max(day) as varchar) from o_kpis""",
     "rpt_kpi_cards": f"select {averages(['availability_pct', 'oee_pct', 'recovery_pct'])}, cast(sum(incidents) as bigint) as incidents from o_kpis",
     "rpt_daily_trend": "select day, " + averages(["availability_pct", "oee_pct", "performance_pct", "quality_pct", "recovery_pct"])
     + " from o_kpis group by day",
