@@ -2,7 +2,7 @@
 
 A window that is partitioned by site or truck puts one site's whole history in one task. Here each
 history is cut into blocks of the order column (days, row ranges), and the shuffle is on
-(key, block). What a block needs from the blocks before it is kept in one summary row per block:
+(key, block). (A table whose largest key is small needs none of this; ``hottest`` tells.) What a block needs from the blocks before it is kept in one summary row per block:
 totals, last values, and the last few rows. A window over the summary rows turns these into the state
 at the start of each block, which is added to the block as extra rows that sort first. An ordinary
 window inside the block then gives the same values as a window over the whole history.
@@ -18,9 +18,16 @@ from pyspark.sql import functions as F
 
 #: Rows that one block should hold when the width is chosen from the data.
 BLOCK_ROWS = 100_000
+#: Rows of one key that a single task may sort and window.
+HOT_ROWS = 1_000_000
 CONTEXT = "_context"
 
 
+def hottest(df: DataFrame, key: str) -> int:
+    """Rows of the key with the most rows; counted per task first, so a hot key is one row per task."""
+    return df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+
+
 def wall_seconds(ts: str) -> Column:
     """Seconds since 1970 by the wall clock, so that a zone's clock change cannot reorder blocks."""
     t = F.col(ts)

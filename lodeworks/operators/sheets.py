@@ -197,12 +197,18 @@ def unpivot(rows: DataFrame, units: dict[str, str] | None = None, block_rows: in
     return _long(hierarchy(rows, block_rows), units)
 
 
-def parse_sheets(rows: DataFrame, units: dict[str, str] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def parse_sheets(
+    rows: DataFrame, units: dict[str, str] | None = None, block_rows: int = BLOCK_ROWS, strict: bool = False
+) -> DataFrame:
     """Long table of all good sheets without title-only rows, whose ``ord`` stays a gap.
 
+    Sheets without a header row are left out, or with ``strict`` raise an error (see ``bad_sheets``).
+
     A title-only row has no cell in any year column. That shows on the wide row, so rows are dropped
     before they are unpivoted.
     """
+    if strict:
+        require_headers(rows)
     wide = hierarchy(rows, block_rows)
     filled = F.exists("years", lambda y: F.get("cells", y["pos"])["txt"].isNotNull() | F.get("cells", y["pos"])["num"].isNotNull())
     return _long(wide.where(filled), units)

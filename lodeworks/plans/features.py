@@ -18,27 +18,28 @@ SHIFT_FRAME = 7
 HOUR_FRAME = 6
 
 
-def failure_features(performance: DataFrame, block_years: int = 1) -> DataFrame:
+def failure_features(performance: DataFrame, hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
     """One row per truck shift: running hours, 7-shift frames, shifts since a failure, next-shift label.
 
-    A truck's history is cut into blocks of calendar years; a truck has at most two shifts a day, so a block
-    has at most 732 rows per year. Shifts since a failure count from the truck's first row until it first fails.
+    While no truck has more than ``hot_rows`` rows, a truck is a window of its own and rows are shuffled
+    once. Otherwise histories are cut into calendar years, of at most 732 rows per truck by the table's
+    grain. Shifts since a failure count from the truck's first row until it first fails.
     """
-    marked = performance.withColumns(
-        {
-            "shift_ord": shift_order(F.col("shift")),
-            "failed": positive_flag(F.col("fail_h")),
-            "block": F.floor(F.year("day") / F.lit(block_years)),
-        }
-    )
-    state = _truck_state(marked)
+    marked = performance.withColumns({"shift_ord": shift_order(F.col("shift")), "failed": positive_flag(F.col("fail_h"))})
+    if blocks.hottest(performance, "truck") > hot_rows:
+        marked = marked.withColumn("block", F.year("day"))
+        rows = blocks.add_state(marked, _truck_state(marked), ["truck"], "block")
+    else:
+        nothing = {c: F.lit(None).cast("bigint") for c in ("rows_before", "failed_before", "next_failed")}
+        marked = marked.withColumns({"block": F.lit(0), "hours_before": F.lit(None).cast("double"), **nothing})
+        rows = marked.withColumn(blocks.CONTEXT, F.lit(False))
     run = blocks.within(["truck", "block"], TRUCK_ORDER)
     so_far = run.rowsBetween(Window.unboundedPreceding, 0)
     frame = run.rowsBetween(1 - SHIFT_FRAME, 0)
     # State rows sort first, so a running maximum hands their totals to every row of the block.
     own = ~F.col(blocks.CONTEXT)
     n_here = F.sum(F.when(own, 1).otherwise(0)).over(so_far)
-    counted = blocks.add_state(marked, state, ["truck"], "block").withColumns(
+    counted = rows.withColumns(
         {
             "rows_before": F.max("rows_before").over(so_far),
             "hours_before": F.max("hours_before").over(so_far),
@@ -118,16 +119,21 @@ def failure_streak(performance: DataFrame) -> DataFrame:
     return failure_features(performance).select("truck", "day", "shift", "failed", "shifts_since_failure")
 
 
-def process_features(telemetry: DataFrame, block_seconds: int | None = None, block_rows: int = blocks.BLOCK_ROWS) -> DataFrame:
+def process_features(
+    telemetry: DataFrame, block_seconds: int | None = None, hot_rows: int = blocks.HOT_ROWS
+) -> DataFrame:
     """One row per plant hour: previous grades, 6-row means and deviation, and the two targets.
 
-    There are few sites, so each site's history is cut into time blocks of about ``block_rows`` rows, each of
-    which is given the five rows before it.
+    There are few sites. Once one has more than ``hot_rows`` rows (or if ``block_seconds`` is given),
+    histories are cut into time blocks, each of which is given the five rows before it.
     """
-    seconds = block_seconds or blocks.block_seconds(telemetry, "ts", block_rows)
     keep = HOUR_FRAME - 1
-    cut = telemetry.withColumn("block", blocks.time_block("ts", seconds))
-    rows = blocks.with_previous_rows(cut, ["site"], ["ts"], "block", keep, ["conc", "feed", "dose", "ph", "tons"])
+    if block_seconds or blocks.hottest(telemetry, "site") > hot_rows:
+        seconds = block_seconds or blocks.block_seconds(telemetry, "ts")
+        cut = telemetry.withColumn("block", blocks.time_block("ts", seconds))
+        rows = blocks.with_previous_rows(cut, ["site"], ["ts"], "block", keep, ["conc", "feed", "dose", "ph", "tons"])
+    else:
+        rows = telemetry.withColumns({"block": F.lit(0), blocks.CONTEXT: F.lit(False)})
     run = blocks.within(["site", "block"], ["ts"])
     frame = run.rowsBetween(-keep, 0)
     featured = rows.withColumns(

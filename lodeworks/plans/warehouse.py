@@ -10,16 +10,17 @@ from lodeworks.operators.quality import require_contract, run_suite
 from lodeworks.plans import checks, features, operations, prices, staging, yearbook
 from lodeworks.sources.tables import write_table
 
-#: Tables that are written by a build; all others are views. Yearbook files are split by tab.
-WRITTEN = {
-    "stg_yearbook": ["tab"],
-    "equipment_performance": None,
-    "shift_kpis": None,
-    "dim_producer": None,
-    "producer_year": None,
-    "sector_year": None,
-    "price_monthly": None,
-    "energy_cost_year": None,
+#: Tables that a build writes, and how; all others are views. Yearbook files are split by tab, and shift
+#: KPIs lie in order of day, so that a filter on days skips files.
+WRITTEN: dict[str, dict[str, list[str]]] = {
+    "stg_yearbook": {"partition_by": ["tab"]},
+    "equipment_performance": {},
+    "shift_kpis": {"sort_by": ["day", "site", "shift"]},
+    "dim_producer": {},
+    "producer_year": {},
+    "sector_year": {},
+    "price_monthly": {},
+    "energy_cost_year": {},
 }
 
 
@@ -34,7 +35,7 @@ def build(raw: Mapping[str, DataFrame], folder: str | None = None, min_days: int
 
     def add(name: str, df: DataFrame) -> DataFrame:
         if folder and name in WRITTEN:
-            df = write_table(df, f"{folder.rstrip('/')}/{name}", WRITTEN[name])
+            df = write_table(df, f"{folder.rstrip('/')}/{name}", **WRITTEN[name])
         tables[name] = df
         return df
 

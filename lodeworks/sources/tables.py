@@ -7,7 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
+
+from lodeworks.names import internal, published_name
+from lodeworks.schemas import RAW
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -30,20 +33,20 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+def write_table(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None
+) -> DataFrame:
     """Create or replace a table's files and return the table read back from them.
 
-    With ``partition_by``, rows are first brought together by those columns (and spread inside a value by
-    a hash of the row, so that one large value is not one task and one file).
+    With ``partition_by``, rows are first brought together by those columns in pieces of even size: the
+    rebalance splits a value that is large and joins values that are small, so a folder has neither one
+    huge file nor thousands of tiny ones. With ``sort_by``, files follow that order over the whole table.
     """
-    if not partition_by:
-        df.write.mode("overwrite").parquet(path)
-    else:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-        (
-            df.repartition(*partition_by, spread)
-            .write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        )
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    if sort_by:
+        out = out.orderBy(*sort_by)
+    writer = out.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -59,3 +62,11 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make every table reachable by name in SQL."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+
+
+def read_raw(spark: SparkSession, path: str, table: str, file_format: str = "parquet") -> DataFrame:
+    """A raw table stored under its published column names, typed, with the package's names."""
+    schema = RAW[table]
+    stored = StructType([StructField(published_name(table, f.name), f.dataType) for f in schema])
+    df = read_csv(spark, path, stored) if file_format == "csv" else read_parquet(spark, path, stored)
+    return internal(df, table, schema.names)

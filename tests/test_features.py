@@ -37,7 +37,7 @@ def test_streak_without_a_failure_counts_from_the_first_row(spark):
 
 
 def test_streak_with_failures_on_the_first_row_and_twice_in_a_row(spark):
-    got = in_order(features.failure_features(perf(spark, shifts("T1", 12, fails={0, 4, 5, 9}))))
+    got = in_order(features.failure_features(perf(spark, shifts("T1", 12, fails={0, 4, 5, 9})), hot_rows=0))
     assert [r["shifts_since_failure"] for r in got] == [0, 1, 2, 3, 0, 0, 1, 2, 3, 0, 1, 2]
     assert [r["fails_next_shift"] for r in got] == [0, 0, 0, 1, 1, 0, 0, 0, 1, 0, 0, None]
 
@@ -66,7 +66,8 @@ def plain_failure(performance):
     )
 
 
-def test_blocks_give_the_same_features_as_whole_histories(spark):
+@pytest.mark.parametrize("hot_rows", [0, 1000, 10**9])
+def test_blocks_give_the_same_features_as_whole_histories(spark, hot_rows):
     """A truck with a third of all rows, sparse trucks with a row in some years, long gaps."""
     rng = random.Random(7)
     rows = []
@@ -76,7 +77,7 @@ def test_blocks_give_the_same_features_as_whole_histories(spark):
             rows.append((f"T{t}", date(2005, 1, 1) + timedelta(days=i // 2), "Día" if i % 2 == 0 else "Noche", 2.0 if rng.random() < 0.05 else 0.0))
     data = perf(spark, rows)
     names = ["truck", "day", "shift", "failed", "oper_h_total", "maint_h_7", "fail_h_7", "availability_7", "shifts_since_failure", "fails_next_shift"]
-    got = features.failure_features(data).select(names)
+    got = features.failure_features(data, hot_rows).select(names)
     want = plain_failure(data).select(names)
     assert got.count() == len(rows)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -100,14 +101,14 @@ def plain_process(t):
     )
 
 
-@pytest.mark.parametrize("seconds", [None, 1, 3600, 7200, 86400, 40 * 86400])
-def test_process_features_do_not_depend_on_the_blocks(spark, seconds):
+@pytest.mark.parametrize("seconds, hot_rows", [(None, 10**9), (None, 100), (1, 0), (3600, 0), (7200, 0), (86400, 0), (40 * 86400, 0)])
+def test_process_features_do_not_depend_on_the_blocks(spark, seconds, hot_rows):
     rng = random.Random(3)
     start = datetime(2024, 1, 1)
     stamps = [("A", start + timedelta(hours=h)) for h in range(400)]
     stamps += [("B", start + timedelta(hours=h)) for h in sorted(rng.sample(range(3000), 60))] + [("C", start)]
     data = telemetry(spark, stamps)
-    got = features.process_features(data, block_seconds=seconds)
+    got = features.process_features(data, block_seconds=seconds, hot_rows=hot_rows)
     want = plain_process(data)
     got = got.withColumn("feed_sd_6", F.round("feed_sd_6", 9)).select(want.columns)
     assert got.count() == len(stamps)

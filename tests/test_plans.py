@@ -76,10 +76,18 @@ def test_windows_never_gather_a_site_or_truck(large, folder):
     performance = operations.equipment_performance(
         staging.maintenance(raw(large, folder, "raw_maintenance")), raw(large, folder, "equipment")
     )
-    wide = exchanges(features.failure_features(performance))
+    wide = exchanges(features.failure_features(performance, hot_rows=-1))
     assert sum("truck, block" in e for e in wide) == 2 and sum(e.startswith("hashpartitioning(truck, 4") for e in wide) == 1
 
 
+def test_without_a_hot_key_features_take_one_shuffle_and_one_sort(large, folder):
+    performance = operations.equipment_performance(
+        staging.maintenance(raw(large, folder, "raw_maintenance")), raw(large, folder, "equipment")
+    )
+    for df in (features.failure_features(performance), features.process_features(staging.telemetry(raw(large, folder, "raw_telemetry")))):
+        assert len(exchanges(df)) == 1 and plan(df).count("Sort [") == 1
+
+
 def test_feature_windows_share_one_sort(large, folder):
     telemetry = staging.telemetry(raw(large, folder, "raw_telemetry"))
     main = plan(features.process_features(telemetry, block_seconds=3600)).split("Union")[0]

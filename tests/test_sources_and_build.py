@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
-from lodeworks import schemas
+from lodeworks import names, schemas
 from lodeworks.plans import checks, warehouse
 from lodeworks.session import scratch_folder
 from lodeworks.sources import tables
@@ -72,6 +72,32 @@ def test_full_build_writes_checks_and_tests(spark, tmp_path):
     assert all(n == 0 for (t, _, _), n in bad.items() if t in ("shift_kpis", "equipment_performance", "failure_features", "stg_telemetry"))
 
 
+def test_published_names_are_distinct_per_table_and_round_trip(spark, tmp_path):
+    raw = raw_tables(spark)
+    built = warehouse.build(raw)
+    for table, df in {**raw, **built}.items():
+        out = names.published(df, table).columns
+        assert len(set(out)) == len(out), table
+    for fmt in ("parquet", "csv"):
+        path = f"{tmp_path}/seed-{fmt}"
+        stored = names.published(raw["equipment"], "equipment")
+        tables.write_csv(stored, path) if fmt == "csv" else stored.write.parquet(path)
+        assert sorted(tables.read_raw(spark, path, "equipment", fmt).collect()) == sorted(raw["equipment"].collect())
+
+
+def test_sql_with_published_names_runs(spark):
+    names.register_published(warehouse.build(raw_tables(spark)))
+    row = spark.sql(
+        """select camion_id, horas_operativas_acumuladas, falla_siguiente_turno from ml_predictive_maintenance
+           where falla_siguiente_turno is not null order by camion_id limit 1"""
+    ).first()
+    assert row["horas_operativas_acumuladas"] == 10.0
+    assert spark.sql("select nivel_riesgo from fct_daily_mining_kpis where turno = 'Día'").first()[0] == "Alto"
+    assert spark.sql("select count(*) from fct_cmg_mensual_barra where mes = date '2024-01-01' and zona = 'Norte'").first()[0] == 1
+    for view in names.TABLES.values():
+        spark.catalog.dropTempView(view)
+
+
 def test_views_are_reachable_by_name(spark):
     built = warehouse.build(raw_tables(spark))
     tables.register_views(built)

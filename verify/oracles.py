@@ -401,6 +401,7 @@ _TEXTS: dict[str, str] = {
     "agg_safety": "select * from o_safety_shift",
     "shift_kpis": "select * from o_kpis",
     "ml_failure_features": "select * from o_failure",
+    "ml_failure_features_blocked": "select * from o_failure",
     "ml_failure_streak": "select truck, day, shift, failed, shifts_since_failure from o_failure",
     "ml_label_coverage": """select 'failure' as tbl, count(*) as n_rows, count(fails_next_shift) as labelled,
         cast(null as bigint) as labelled_grade, count(*) filter (where fails_next_shift = 1) as positives from o_failure

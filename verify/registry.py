@@ -323,6 +323,12 @@ def ml_failure_features(spark, sf):
     return Inputs(spark, sf).failure()
 
 
+@query
+def ml_failure_features_blocked(spark, sf):
+    """The same table with every truck's history cut into years."""
+    return features.failure_features(Inputs(spark, sf).performance(), hot_rows=0)
+
+
 @query
 def ml_failure_streak(spark, sf):
     return features.failure_streak(Inputs(spark, sf).performance())
