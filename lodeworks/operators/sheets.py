@@ -4,9 +4,10 @@ Input: one row per sheet row, ``(sheet, row_num, cells)``, with ``cells`` an arr
 ``struct<num double, txt string>``: ``num`` is set for a numeric cell, ``txt`` holds any cell's text.
 The first cell is the label; its leading blanks give the hierarchy.
 
-One sheet may hold much of the table, so nothing is grouped by sheet alone. Rows are grouped by
-(sheet, range of row numbers); what crosses a range is kept in one summary row per range and added
-back with a join on the same two columns, which the rows are already partitioned by.
+One sheet may hold much of the table, so its rows are never gathered by sheet alone. What a whole sheet
+shares (header, years, first footnote) is found from its few marked rows and joined as a dimension. Numbering
+and hierarchy run inside (sheet, range of row numbers); what crosses a range is kept in one summary row per
+range and joined on those two columns, by which the rows are already spread. The wide rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 from lodeworks.functions.text import clean_label, indent, is_blank, is_note, parse_value
 from lodeworks.operators.blocks import BLOCK_ROWS, earlier_blocks, row_block
+from lodeworks.operators.dimension import join_dimension
+from lodeworks.session import scratch_folder
+from lodeworks.sources.tables import write_table
 
 # What makes a row the header row.
 YEAR_RANGE = (1990, 2100)
@@ -39,51 +43,13 @@ def year_columns(cells: Column) -> Column:
     return F.when(F.size(F.filter(cells, _is_year)) >= MIN_YEARS, years)
 
 
-def _prepared(rows: DataFrame, block_rows: int) -> DataFrame:
-    label = F.get("cells", F.lit(0))["txt"]
-    return rows.select(
-        "sheet",
-        row_block("row_num", block_rows).alias("block"),
-        "row_num",
-        "cells",
-        label.alias("raw_label"),
-        year_columns(F.col("cells")).alias("years"),
-        is_note(label).alias("note"),
-    )
-
-
-def _block_starts(prepared: DataFrame) -> DataFrame:
-    """Per (sheet, block): the sheet's header row and years, and whether its body ended before the block.
-
-    A footnote before the header does not end the body. A block's own header candidate decides only in
-    the first block that has one.
-    """
-    candidate = F.when(F.col("years").isNotNull(), F.col("row_num"))
-    note_row = F.when(F.col("note"), F.col("row_num"))
-    found = prepared.groupBy(*KEYS).agg(
-        F.min(candidate).alias("own_header"), F.min_by("years", candidate).alias("own_years"), F.max(note_row).alias("note_row")
-    )
-    before = earlier_blocks(["sheet"], "block")
-    whole = Window.partitionBy("sheet")
-    known = found.select(
-        *KEYS,
-        F.min("own_header").over(whole).alias("header_row"),
-        F.min_by("own_years", "own_header").over(whole).alias("years"),
-        "note_row",
-    )
-    # The last note of a block lies after the header exactly if some note of the block does.
-    ended = F.col("note_row") > F.col("header_row")
-    return known.select(*KEYS, "header_row", "years", F.coalesce(F.max(ended).over(before), F.lit(False)).alias("ended"))
+def _label() -> Column:
+    return F.get("cells", F.lit(0))["txt"]
 
 
 def headers(rows: DataFrame) -> DataFrame:
     """(sheet, header_row, years): the first row with at least three numeric years."""
-    return (
-        rows.select("sheet", "row_num", year_columns(F.col("cells")).alias("years"))
-        .where(F.col("years").isNotNull())
-        .groupBy("sheet")
-        .agg(F.min("row_num").alias("header_row"), F.min_by("years", "row_num").alias("years"))
-    )
+    return _first_years(rows.select("sheet", "row_num", year_columns(F.col("cells")).alias("years")))
 
 
 def bad_sheets(rows: DataFrame) -> DataFrame:
@@ -106,14 +72,46 @@ def require_headers(rows: DataFrame) -> None:
         raise ValueError(f"{n} sheets have no year header, among them {', '.join(names)}")
 
 
+def bounds(rows: DataFrame) -> DataFrame:
+    """(sheet, header_row, years, note_row) of every good sheet; note_row is its first footnote after the header.
+
+    One pass keeps the rows that may be headers or footnotes, which are few, in a table of the shared folder;
+    the rest works on that table.
+    """
+    marks = rows.select("sheet", "row_num", year_columns(F.col("cells")).alias("years"), is_note(_label()).alias("note"))
+    marks = marks.where(F.col("years").isNotNull() | F.col("note"))
+    marks = write_table(marks, scratch_folder(rows.sparkSession, "sheet-marks"))
+    found = _first_years(marks)
+    notes = marks.where("note").select("sheet", "row_num")
+    after = join_dimension(notes, found.drop("years"), "sheet", ["row_num"], "inner").where("row_num > header_row")
+    return found.join(after.groupBy("sheet").agg(F.min("row_num").alias("note_row")), "sheet", "left")
+
+
+def _first_years(rows: DataFrame) -> DataFrame:
+    return (
+        rows.where(F.col("years").isNotNull())
+        .groupBy("sheet")
+        .agg(F.min("row_num").alias("header_row"), F.min_by("years", "row_num").alias("years"))
+    )
+
+
 def _open_body(rows: DataFrame, block_rows: int) -> DataFrame:
     """Labelled rows between header and first footnote, with the years of their sheet."""
-    prepared = _prepared(rows, block_rows)
-    starts = _block_starts(prepared)
-    inside = prepared.drop("years").repartition(*KEYS).join(starts, KEYS)
-    inside = inside.where((F.col("row_num") > F.col("header_row")) & ~F.col("ended") & ~is_blank(F.col("raw_label")))
-    so_far = Window.partitionBy(*KEYS).orderBy("row_num").rowsBetween(Window.unboundedPreceding, 0)
-    return inside.withColumn("closed", F.max("note").over(so_far)).where(~F.col("closed"))
+    limits = bounds(rows)
+    limits = write_table(limits, scratch_folder(rows.sparkSession, "sheet-bounds"))
+    labelled = rows.where(~is_blank(_label()))
+    inside = join_dimension(labelled, limits, "sheet", ["row_num"], "inner").where(
+        (F.col("row_num") > F.col("header_row")) & (F.col("note_row").isNull() | (F.col("row_num") < F.col("note_row")))
+    )
+    return inside.select(
+        "sheet",
+        row_block("row_num", block_rows).alias("block"),
+        "row_num",
+        "cells",
+        "years",
+        clean_label(_label()).alias("label"),
+        indent(_label()).alias("level_indent"),
+    )
 
 
 def body(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -139,21 +137,16 @@ def hierarchy(rows: DataFrame, block_rows: int = BLOCK_ROWS, indents: list[int]
 
 def indentations(rows: DataFrame) -> list[int]:
     """The distinct label indentations of all sheets, ascending."""
-    label = F.get("cells", F.lit(0))["txt"]
-    found = rows.where(~is_blank(label)).agg(F.sort_array(F.collect_set(indent(label))).alias("levels")).first()
+    found = rows.where(~is_blank(_label())).agg(F.sort_array(F.collect_set(indent(_label()))).alias("levels")).first()
     return list(found["levels"])
 
 
-def _placed(open_body: DataFrame, indents: list[int]) -> DataFrame:
-    """Number the rows of each sheet and find their ancestors, in one pass over block summaries."""
-    named = open_body.select(
-        *KEYS,
-        "row_num",
-        "cells",
-        "years",
-        clean_label(F.col("raw_label")).alias("label"),
-        indent(F.col("raw_label")).alias("level_indent"),
-    )
+def _placed(named: DataFrame, indents: list[int]) -> DataFrame:
+    """Number the rows of each sheet and find their ancestors.
+
+    Summaries are combined per task before they are shuffled. The merge join keeps the rows on (sheet, block):
+    a broadcast of small rows to the summaries would leave them on the summaries' partitioning, by sheet.
+    """
     here = F.struct(F.col("row_num").alias("at"), F.col("label").alias("label"))
     seen = [F.when(F.col("level_indent") == k, here) for k in indents]
     names = [f"last_{i}" for i in range(len(indents))]
@@ -167,7 +160,7 @@ def _placed(open_body: DataFrame, indents: list[int]) -> DataFrame:
     )
     in_block = Window.partitionBy(*KEYS).orderBy("row_num")
     earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    located = named.join(state, KEYS).withColumn("ord", (F.col("rows_before") + F.row_number().over(in_block)).cast("int"))
+    located = named.repartition(*KEYS).join(state.hint("merge"), KEYS).withColumn("ord", (F.col("rows_before") + F.row_number().over(in_block)).cast("int"))
     if not indents:
         return located
     last = [F.greatest(F.col(c), F.max(s).over(earlier)) for s, c in zip(seen, names)]

@@ -30,9 +30,9 @@ def failure_features(performance: DataFrame, hot_rows: int = blocks.HOT_ROWS) ->
         marked = marked.withColumn("block", F.year("day"))
         rows = blocks.add_state(marked, _truck_state(marked), ["truck"], "block")
     else:
-        nothing = {c: F.lit(None).cast("bigint") for c in ("rows_before", "failed_before", "next_failed")}
-        marked = marked.withColumns({"block": F.lit(0), "hours_before": F.lit(None).cast("double"), **nothing})
-        rows = marked.withColumn(blocks.CONTEXT, F.lit(False))
+        state = {"rows_before": "bigint", "hours_before": "double", "failed_before": "bigint", "next_failed": "int"}
+        nothing = {name: F.lit(None).cast(kind) for name, kind in state.items()}
+        rows = marked.withColumns({"block": F.lit(0), blocks.CONTEXT: F.lit(False), **nothing})
     run = blocks.within(["truck", "block"], TRUCK_ORDER)
     so_far = run.rowsBetween(Window.unboundedPreceding, 0)
     frame = run.rowsBetween(1 - SHIFT_FRAME, 0)

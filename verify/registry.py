@@ -112,7 +112,8 @@ class Inputs:
         return prices.energy_cost_year(self.price(), self.energy(), self.totals())
 
     def sheets(self) -> DataFrame:
-        return sheet_rows(self.spark, self.sf)
+        """The sheet rows as a stored table: reading sheets passes over them more than once."""
+        return files.write_table(sheet_rows(self.spark, self.sf), scratch_folder(self.spark, "sheet-rows"))
 
 
 # -- sources and sinks ----------------------------------------------------------------------------
