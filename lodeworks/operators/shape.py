@@ -32,47 +32,50 @@ def value_counts(df: DataFrame, column: str, categories: list[str]) -> DataFrame
     )
 
 
-def histogram(df: DataFrame, column: str, bins: int, by: list[str] | None = None) -> DataFrame:
-    """Counts in ``bins`` equal-width bins between the column's min and max; the last bin is closed.
+def histogram(df: DataFrame, measures: list[str], bins: int, by: list[str] | None = None) -> DataFrame:
+    """Counts in ``bins`` equal-width bins between a measure's min and max; the last bin is closed.
 
-    Gives every bin (0 when empty), per value of ``by`` if set, over one common range. When all values
-    are equal the range is widened by 0.5 to each side.
+    Gives every bin (0 when empty) of every measure, per value of ``by`` if set, over one common range. When
+    all values are equal the range is widened by 0.5 to each side. Two passes over df in all: one for the
+    ends of all measures, one for all counts.
     """
     by = by or []
-    values = df.where(F.col(column).isNotNull() & ~F.isnan(column)).select(*by, F.col(column).alias("x"))
-    ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    same = F.col("lo") == F.col("hi")
-    ends = ends.select(
-        F.struct(
-            F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-            F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-        )
-    ).scalar()
-    lo, hi = F.col("ends.lo"), F.col("ends.hi")
-    width = (hi - lo) / bins
 
-    def left_edge(i: Column) -> Column:
-        return F.when(i >= bins, hi).otherwise(lo + i * width)
+    def known(c: str) -> Column:
+        return F.when(~F.isnan(c), F.col(c))
+
+    def widened(c: str) -> Column:
+        lo, hi = F.min(known(c)), F.max(known(c))
+        pad = F.when(lo == hi, 0.5).otherwise(0.0)
+        return F.struct((lo - pad).alias("lo"), (hi + pad).alias("hi")).alias(c)
+
+    ends = df.agg(*[widened(c) for c in measures]).select(F.struct(*measures)).scalar()
+    each = [F.struct(F.lit(c).alias("measure"), known(c).alias("x"), F.col(f"_ends.{c}").alias("ends")) for c in measures]
+    values = (
+        df.select(*by, *measures, ends.alias("_ends"))
+        .select(*by, F.inline(F.array(*each)))
+        .where(F.col("x").isNotNull())
+        .select(*by, "measure", "x", "ends.lo", "ends.hi")
+    )
+    lo, hi, x, i = F.col("lo"), F.col("hi"), F.col("x"), F.col("guess")
+
+    def left_edge(k: Column) -> Column:
+        return F.when(k >= bins, hi).otherwise(lo + k * ((hi - lo) / bins))
 
-    guess = F.least(F.floor((F.col("x") - lo) / (hi - lo) * bins), F.lit(bins - 1))
     # The quotient may be off by one bit at an edge; the edges decide.
-    i = F.col("guess")
-    placed = (
-        F.when(F.col("x") < left_edge(i), i - 1)
-        .when((F.col("x") >= left_edge(i + 1)) & (i < bins - 1), i + 1)
-        .otherwise(i)
-    )
+    placed = F.when(x < left_edge(i), i - 1).when((x >= left_edge(i + 1)) & (i < bins - 1), i + 1).otherwise(i)
+    groups = [*by, "measure", "lo", "hi"]
     counts = (
-        values.withColumn("ends", ends)
-        .withColumn("guess", guess)
-        .groupBy(*by, "ends", placed.cast("int").alias("bin"))
+        values.withColumn("guess", F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)))
+        .groupBy(*groups, placed.cast("int").alias("bin"))
         .agg(F.count("*").alias("n"))
     )
     # At most bins rows per group from here on.
-    per_group = counts.groupBy(*by, "ends").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))
-    every_bin = per_group.select(*by, "ends", "found", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    found = counts.groupBy(*groups).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))
+    every_bin = found.select(*groups, "found", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return every_bin.select(
         *by,
+        "measure",
         "bin",
         left_edge(F.col("bin")).alias("bin_lo"),
         left_edge(F.col("bin") + 1).alias("bin_hi"),

@@ -88,13 +88,12 @@ def clean_vs_incident(kpis: DataFrame) -> DataFrame:
 
 
 def oee_histogram_by_incident(kpis: DataFrame, bins: int = 33) -> DataFrame:
-    return shape.histogram(kpis.withColumn("grp", clean_or_incident()), "oee_pct", bins, ["grp"])
+    return shape.histogram(kpis.withColumn("grp", clean_or_incident()), ["oee_pct"], bins, ["grp"]).drop("measure")
 
 
 def kpi_histograms(kpis: DataFrame, bins: int = 36) -> DataFrame:
     """Histograms of OEE and recovery."""
-    oee = shape.histogram(kpis, "oee_pct", bins).withColumn("measure", F.lit("oee_pct"))
-    return oee.unionByName(shape.histogram(kpis, "recovery_pct", bins).withColumn("measure", F.lit("recovery_pct")))
+    return shape.histogram(kpis, ["oee_pct", "recovery_pct"], bins)
 
 
 def kpi_stats(kpis: DataFrame) -> DataFrame:

@@ -168,10 +168,12 @@ def test_histogram_matches_equal_width_bins(spark):
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
     for bins in (1, 7, 36):
         want, edges = np.histogram(values, bins=bins)
-        got = sorted(histogram(df, "x", bins).collect(), key=lambda r: r["bin"])
+        got = sorted(histogram(df, ["x"], bins).collect(), key=lambda r: r["bin"])
         assert [r["n"] for r in got] == want.tolist()
         assert [r["bin_lo"] for r in got] == pytest.approx(edges[:-1].tolist())
-    same = histogram(spark.createDataFrame([(2.0,), (2.0,)], "x double"), "x", 4).collect()
+    two = df.withColumn("y", -df["x"])
+    assert histogram(two, ["x", "y"], 7).where("measure = 'y'").groupBy().sum("n").first()[0] == len(values)
+    same = histogram(spark.createDataFrame([(2.0,), (2.0,)], "x double"), ["x"], 4).collect()
     assert [r["n"] for r in sorted(same, key=lambda r: r["bin"])] == np.histogram([2.0, 2.0], bins=4)[0].tolist()
 
 
