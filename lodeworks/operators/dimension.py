@@ -12,8 +12,11 @@ SALTS = 32
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most ``rows`` rows; looks at no more than rows + 1 of them."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether df has at most ``rows`` rows. Only counts move; a plain Parquet table answers from its footers.
+
+    (A limit before the count would first write that many rows of every partition for a single task to read.)
+    """
+    return df.count() <= rows
 
 
 def join_dimension(

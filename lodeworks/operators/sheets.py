@@ -26,6 +26,8 @@ YEAR_RANGE = (1990, 2100)
 MIN_YEARS = 3
 
 KEYS = ["sheet", "block"]
+#: Sheets whose bounds may be broadcast; a row of bounds holds an array of years, so fewer than of plain rows.
+BROADCAST_SHEETS = 50_000
 
 
 def _is_year(cell: Column) -> Column:
@@ -100,7 +102,7 @@ def _open_body(rows: DataFrame, block_rows: int) -> DataFrame:
     limits = bounds(rows)
     limits = write_table(limits, scratch_folder(rows.sparkSession, "sheet-bounds"))
     labelled = rows.where(~is_blank(_label()))
-    inside = join_dimension(labelled, limits, "sheet", ["row_num"], "inner").where(
+    inside = join_dimension(labelled, limits, "sheet", ["row_num"], "inner", BROADCAST_SHEETS).where(
         (F.col("row_num") > F.col("header_row")) & (F.col("note_row").isNull() | (F.col("row_num") < F.col("note_row")))
     )
     return inside.select(

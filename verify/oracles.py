@@ -501,7 +501,7 @@ _TEXTS: dict[str, str] = {
     "rpt_zone_monthly": "select month, zone, round(avg(price_solar), 6) as solar, round(avg(price_night), 6) as night from o_monthly group by all",
     "rpt_preview": "select * from o_kpis order by day, site, shift limit 10",
 }
-_PROCESS = "select * replace (round(feed_sd_6, 6) as feed_sd_6) from o_process"
+_PROCESS = "select * replace (floor(feed_sd_6 * 1e6 + 0.123456e0) / 1e6 as feed_sd_6) from o_process"
 _TEXTS["ml_process_features"] = _TEXTS["ml_process_features_bucketed"] = _PROCESS
 
 ORACLES: dict[str, str] = {name: complete(text) for name, text in _TEXTS.items()}

@@ -33,13 +33,21 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 6, columns: list[str] | None = None) -> DataFrame:
-    """Doubles (or the named ones) rounded: a mean of numbers that are not exact in binary depends on
-    the order of its sum."""
-    doubles = columns or [f.name for f in df.schema if isinstance(f.dataType, DoubleType)]
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles rounded: a mean of numbers that are not exact in binary depends on the order of its sum."""
+    doubles = [f.name for f in df.schema if isinstance(f.dataType, DoubleType)]
     return df.withColumns({c: num.round_half_up(F.col(c), digits) for c in doubles})
 
 
+def six_digits(df: DataFrame, column: str) -> DataFrame:
+    """A deviation cut to six digits at a point where no exact value can lie.
+
+    The deviation of multiples of 1/1024 is itself often such a multiple, which may be an exact half at the
+    seventh digit; the engines' last bits would then decide how it is rounded.
+    """
+    return df.withColumn(column, F.floor(F.col(column) * 1e6 + 0.123456) / 1e6)
+
+
 class Inputs:
     """The warehouse's tables over one folder of driver data, each built when it is asked for."""
 
@@ -337,13 +345,13 @@ def ml_failure_streak(spark, sf):
 
 @query
 def ml_process_features(spark, sf):
-    return rounded(Inputs(spark, sf).process(), 6, ["feed_sd_6"])
+    return six_digits(Inputs(spark, sf).process(), "feed_sd_6")
 
 
 @query
 def ml_process_features_bucketed(spark, sf):
     """The same table cut into small blocks of minutes, many of them empty or with fewer rows than a frame."""
-    return rounded(features.process_features(Inputs(spark, sf).telemetry(), block_seconds=900), 6, ["feed_sd_6"])
+    return six_digits(features.process_features(Inputs(spark, sf).telemetry(), block_seconds=900), "feed_sd_6")
 
 
 @query
