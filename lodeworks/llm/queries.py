@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, secrets
-from .shared import table
+from . import language, mixing, quality_rules, rule_ensemble, secrets
+from .shared import held_out, learnable, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -16,6 +16,15 @@ def query(function):
     return function
 
 
+@query
+def op1_language_backoff(spark, sf_dir):
+    """Learned from four fifths of the documents, applied to all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, learn=learnable(F.col("doc_id")))
+    found = language.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op3_mix_sources(spark, sf_dir):
     """All sources at equal weight, as many documents as there are: every copy with its text."""
@@ -43,6 +52,14 @@ from documents d join counted c using (doc_id), lateral (select unnest(range(c.n
 """
 
 
+@query
+def op4_rule_ensemble_quality(spark, sf_dir):
+    """Learned from labels of four fifths of the documents, applied to all."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = rule_ensemble.fit_on_labels(docs, table(spark, sf_dir, "labels"), learnable(F.col("doc_id")))
+    return rule_ensemble.judge(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query
 def op6_ngram_ratio_rules(spark, sf_dir):
     """Target: documents labelled good. Raw corpus: all documents."""
