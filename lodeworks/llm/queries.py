@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language, mixing, quality_rules, rule_ensemble, secrets
+from . import language, mixing, near_duplicates, quality_rules, rule_ensemble, secret_scan
 from .shared import held_out, learnable, table
 
 QUERIES: dict = {}
@@ -74,10 +74,16 @@ def op6_ngram_ratio_rules(spark, sf_dir):
 def op8_blob_ledger_secrets(spark, sf_dir):
     """A first run: the ledger is empty, so every blob is scanned once."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found, _ = secrets.scan(docs)
+    found, _ = secret_scan.scan(docs)
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
     return found.select(
         "doc_id", count("assign"), count("access"), count("hex"),
-        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"),
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"), secret_scan.joined(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op10_minhash_near_duplicates(spark, sf_dir):
+    """Four-word shingles at 80 percent, over all documents."""
+    return near_duplicates.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, percent=80)
