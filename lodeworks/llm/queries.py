@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_duplicates, quality_rules, rule_ensemble, secret_scan
+from . import language, mixing, near_duplicates, packing, quality_rules, rule_ensemble, secret_scan
 from .shared import held_out, learnable, table
 
 QUERIES: dict = {}
@@ -87,3 +88,10 @@ def op8_blob_ledger_secrets(spark, sf_dir):
 def op10_minhash_near_duplicates(spark, sf_dir):
     """Four-word shingles at 80 percent, over all documents."""
     return near_duplicates.duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=4, percent=80)
+
+
+@query
+def op9_sum_of_squares_packing(spark, sf_dir):
+    """All documents in sequences of 1,024 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False))
