@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_duplicates, packing, quality_rules, rule_ensemble, secret_scan
+from . import language, mixing, near_duplicates, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup
 from .shared import held_out, learnable, table
 
 QUERIES: dict = {}
@@ -26,6 +26,14 @@ def op1_language_backoff(spark, sf_dir):
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_fm_index_dedup(spark, sf_dir):
+    """Windows of 13 words, over all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substring_dedup.remove_repeats(docs)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op3_mix_sources(spark, sf_dir):
     """All sources at equal weight, as many documents as there are: every copy with its text."""
