@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_duplicates, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup
+from . import language, mixing, near_duplicates, neighbours, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup
 from .shared import held_out, learnable, table
 
 QUERIES: dict = {}
@@ -69,6 +69,13 @@ def op4_rule_ensemble_quality(spark, sf_dir):
     return rule_ensemble.judge(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+@query
+def op5_hash_prefix_forest(spark, sf_dir):
+    """Queries: vectors whose id is divisible by 50, as the contract fixes; candidates: all vectors."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(rows, rows.where("vec_id % 50 = 0"))
+
+
 @query
 def op6_ngram_ratio_rules(spark, sf_dir):
     """Target: documents labelled good. Raw corpus: all documents."""

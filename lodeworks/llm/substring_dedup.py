@@ -2,12 +2,12 @@
 
 Windows of ``words`` consecutive words that occur in two documents must meet in one shard. For that, a window has an
 anchor: of its runs of ANCHOR words the one with the smallest hash, and equal windows have equal anchors. Neighbouring
-windows mostly share theirs, so a document falls into segments, runs of windows with one anchor. Segments whose
-anchor is in one document only have no window in common with any other document and go no further. The others are made distinct
-and dealt to shards by anchor. A shard is indexed as one text of word numbers: its Burrows-Wheeler transform
+windows mostly share theirs, so a document falls into segments, runs of windows with one anchor. Segments whose anchor
+is in one document only have no window in common with any other document and go no further. The others are made
+distinct and dealt to shards by anchor. A shard is indexed as one text of word numbers: its Burrows-Wheeler transform
 in a wavelet tree of packed bits. All segments of the shard are streamed through the index from their ends to their
-beginnings, which gives for every position how far a match reaches (the matching statistics, cut at ``words``)
-and the smallest document that holds the window there.
+beginnings, which gives for every position how far a match reaches (the matching statistics, cut at ``words``) and the
+smallest document that holds the window there.
 """
 
 from __future__ import annotations
