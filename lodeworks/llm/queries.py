@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_duplicates, neighbours, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup
+from . import language, licences, mixing, near_duplicates, neighbours, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup
 from .shared import held_out, learnable, table
 
 QUERIES: dict = {}
@@ -86,6 +86,50 @@ def op6_ngram_ratio_rules(spark, sf_dir):
     return quality_rules.judge(docs, model).drop("text")
 
 
+@query
+def op7_licence_inheritance(spark, sf_dir):
+    """Every document is a file below the directories of its source and language."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    files = docs.select("doc_id", path.alias("path"), "text")
+    return licences.scan(files).drop("text")
+
+
+def _op7_sql() -> str:
+    idf, other, rows = licences.weights()
+    values = lambda rows: ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
+    return f"""
+with vectors(term, template, licence, weight) as (values {values(rows)}), known(term, idf) as (values {values(idf.items())}),
+files as (
+  select doc_id, coalesce(source, 'unknown') || '/' || coalesce(lang, 'unknown') as folder, doc_id || '.txt' as name,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+  from documents),
+held as (select distinct doc_id, unnest(list_filter(lines, lambda x: regexp_matches(x, '{licences.CUE}'))) as passage from files),
+counted as (
+  select passage, term, count(*) as tf
+  from (select passage, unnest(regexp_extract_all(lower(passage), '{licences.TERM}')) as term from (select distinct passage from held))
+  group by all),
+weighed as (select passage, term, tf * coalesce(idf, {other!r}) as x from counted left join known using (term)),
+norms as (select passage, sqrt(sum(x * x)) as norm from weighed group by passage),
+scored as (
+  select passage, licence, round(sum(x * weight) / any_value(norm), 9) as score
+  from weighed join vectors using (term) join norms using (passage) group by passage, template, licence),
+own as (
+  select doc_id, licence, score from held join scored using (passage) where score >= {licences.LEAST}
+  qualify row_number() over (partition by doc_id order by score desc, licence) = 1),
+sole as (
+  select f.folder, o.licence from own o join files f using (doc_id)
+  where len(f.lines) = len(list_filter(f.lines, lambda x: regexp_matches(x, '{licences.CUE}')))
+  qualify row_number() over (partition by f.folder order by o.score desc, o.licence, f.name) = 1)
+select f.doc_id, f.folder || '/' || f.name as path, o.licence as own_licence, o.score as own_score,
+  coalesce(o.licence, s.licence) as licence, case when o.licence is null then s.folder end as licence_from
+from files f left join own o using (doc_id) left join sole s using (folder)
+"""
+
+
+ORACLES["op7_licence_inheritance"] = _op7_sql()
+
+
 @query
 def op8_blob_ledger_secrets(spark, sf_dir):
     """A first run: the ledger is empty, so every blob is scanned once."""
@@ -110,3 +154,30 @@ def op9_sum_of_squares_packing(spark, sf_dir):
     """All documents in sequences of 1,024 tokens."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False))
+
+
+_KINDS = ", ".join(f"({i}, '{r.kind}', '{r.pattern.replace(chr(39), chr(39) * 2)}', {r.group}, {r.least})" for i, r in enumerate(secret_scan.RULES))
+ORACLES["op8_blob_ledger_secrets"] = rf"""
+with kinds(rank, kind, pattern, part, least) as (values {_KINDS}),
+texts as (select distinct coalesce(text, '') as text from documents),
+cut as (
+  select text, rank, kind, least, regexp_extract_all(text, pattern) as whole, string_split_regex(text, pattern) as gaps,
+    case when part = 0 then regexp_extract_all(text, pattern) else regexp_extract_all(text, pattern, 2) end as graded
+  from texts, kinds where regexp_matches(text, pattern)),
+found as (
+  select text, rank, kind, least, unnest(range(1, len(whole) + 1)) as i, unnest(whole) as w, unnest(graded) as g, whole, gaps from cut),
+spans as (
+  select text, rank, kind, length(g) >= least as ok,
+    (list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0))::bigint as s,
+    length(w) as n
+  from found),
+named as (select text, rank, s, kind, kind || ':' || s || ':' || (s + n) as span from spans where ok),
+told as (
+  select text, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+    count(*) filter (kind = 'hex') as n_hex, string_agg(span, ',' order by s, rank) as spans,
+    string_agg(span, ',' order by s, rank) filter (kind in ('assign', 'access', 'hex')) as base
+  from named group by text)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents d left join told t on coalesce(d.text, '') = t.text
+"""

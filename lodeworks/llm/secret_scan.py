@@ -71,18 +71,13 @@ def spans_of(text: Column, rule: Rule) -> Column:
 
 def all_spans(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """Spans of all rules by start, then by the rules' order."""
-    kinds = [r.kind for r in rules]
-    ranked = F.flatten(
-        F.array(
-            *[
-                F.transform(spans_of(text, r), lambda s, i=i: F.struct(s["start"].alias("start"), F.lit(i).alias("rank"), s["end"].alias("end")))
-                for i, r in enumerate(rules)
-            ]
-        )
-    )
-    names = F.array(*[F.lit(k) for k in kinds])
+    def ranked(rank: int, rule: Rule) -> Column:
+        return F.transform(spans_of(text, rule), lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end")))
+
+    found = F.flatten(F.array(*[ranked(i, r) for i, r in enumerate(rules)]))
+    names = F.array(*[F.lit(r.kind) for r in rules])
     return F.transform(
-        F.sort_array(ranked),
+        F.sort_array(found),
         lambda s: F.struct(F.element_at(names, s["rank"] + 1).alias("kind"), s["start"].alias("start"), s["end"].alias("end")),
     ).cast(SPANS)
 
