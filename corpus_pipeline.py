@@ -1,3 +1,84 @@
-STAGES = []
+"""A corpus pipeline: quality, near duplicates, secrets, mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next
+one's ``docs``. Stages that filter or change rows keep the columns of ``docs``, whatever they are called.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodeworks.llm import mixing, near_duplicates, packing, rule_ensemble, secret_scan
+from lodeworks.llm.shared import learnable, table, unused, written
+
+#: SQL cannot express the fitted classifier.
 ORACLE_SQL = None
-def run(spark, sf_dir): raise ValueError
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the rule ensemble rejects (score under 0.3). Empty and null texts are scored like others."""
+    model = rule_ensemble.fit_on_labels(docs, table(spark, sf_dir, "labels"), learnable(F.col("doc_id")))
+    predicted = unused(docs.columns, "score", "predicted")[1]
+    return rule_ensemble.judge(docs, model).where(F.col(predicted) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group linked at 0.8 of five-word shingles: the one with the smallest id.
+
+    Of several rows of one id the least by text stays, so a group is one row. Rows without an id stay unless their
+    shingles are those of a row with an id; equal ones of them become one. Documents without words are no
+    duplicates of each other.
+    """
+    groups = near_duplicates.duplicates(docs)
+    kept = groups.where("kept").select("doc_id").distinct()
+    known, address, place = unused(docs.columns, "known", "address", "place")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    first = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*columns)
+    # ids are unique but for repeated rows: one row of each, chosen by its content
+    whole = F.to_json(F.struct(*columns))
+    rows = first.groupBy("doc_id").agg(F.min_by(F.struct(*columns), whole).alias(known)).select(f"{known}.*")
+    nameless = docs.where("doc_id is null")
+    named = docs.where("doc_id is not null").select(F.col("text").alias(known)).distinct()
+    alone = nameless.join(named, F.col("text") == F.col(known), "left_anti").dropDuplicates(["text"])
+    return rows.unionByName(alone)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every secret by its kind in brackets, and counts ``n_chars`` anew where the column is there."""
+    spans = unused(docs.columns, "blob", "spans", "known", "body")[1]
+    found, _ = secret_scan.scan(docs)
+    clean = found.withColumn("text", secret_scan.redacted(F.col("text"), F.col(spans)))
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replicates documents so that all sources weigh alike, as many documents in the mean as there are."""
+    return mixing.mix(docs, copy=None)
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs all copies into sequences of 1,024 tokens: one row per piece with its place."""
+    return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicate),
+    ("secrets", secrets),
+    ("mixture", mixture),
+    ("packing", sequences),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each stage's rows written to the cluster's shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
