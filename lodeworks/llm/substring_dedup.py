@@ -253,7 +253,8 @@ def repeats(docs: DataFrame, words: int = WORDS) -> DataFrame:
         holders, bounds = first_holders(shard["content"].tolist(), shard["owner"].to_numpy(), words)
         smallest = np.minimum.reduceat(holders, bounds[:-1])
         told = np.flatnonzero(smallest < shard["last"].to_numpy())
-        return pd.DataFrame({"segment": shard["segment"].to_numpy()[told], "holders": [holders[bounds[i] : bounds[i + 1]] for i in told]})
+        lists = pd.Series([holders[bounds[i] : bounds[i + 1]] for i in told], dtype=object)  # also if there are none
+        return pd.DataFrame({"segment": shard["segment"].to_numpy()[told], "holders": lists})
 
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("deal"), F.lit(shards))).select("shard", "segment", "owner", "last", "content")
     marks = written(dealt.groupBy("shard").applyInPandas(searched, "segment binary, holders array<long>"), "marks")
