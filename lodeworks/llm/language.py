@@ -110,7 +110,8 @@ def word_scores(model: Model, word: str) -> np.ndarray:
         return model.logs[row]
     padded = f" {word} "
     for k in range(min(LONGEST, len(padded)), 0, -1):
-        known = [r for i in range(len(padded) - k + 1) if (r := model.rows[k].get(padded[i : i + k])) is not None]
+        chars = padded if k > 1 else word  # a blank alone says nothing
+        known = [r for i in range(len(chars) - k + 1) if (r := model.rows[k].get(chars[i : i + k])) is not None]
         if known:
             return model.logs[known].mean(axis=0)
     return np.full(len(model.langs), ABSENT, dtype=np.float32)

@@ -95,8 +95,8 @@ def scan(files: DataFrame, templates=TEMPLATES, least: float = LEAST, path: str
     ``own_licence`` is that of the file's passage with the best score (ties: the first by name); ``licence`` is the
     same or, without one, the licence of the licence file in the nearest directory above; ``licence_from`` is the
     directory, null for a file's own. A licence file has a name such as LICENSE, COPYING.txt, or only lines that name a licence. Of several
-    in a directory the best score counts, then the first by name. Rows of one path are one file. A null path has no
-    directory; a null, empty or blank text has no passage. An empty table stays empty.
+    in a directory the best score counts, then the first by name. Rows of one path are one file. A row with a null
+    path is no file and gets nothing; a null, empty or blank text has no passage. An empty table stays empty.
     """
     own, score, licence, origin, key = unused(files.columns, "own_licence", "own_score", "licence", "licence_from", "key")
     where, body = F.col(f"`{path}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))

@@ -8,6 +8,7 @@ scoring is a projection without Python.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -15,7 +16,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import unused, words_of, written
+from .shared import let, unused, words_of, written
 
 #: Labelled documents that the model is fitted on, chosen by a hash of their id; all of them if there are fewer.
 FIT_ROWS = 20_000
@@ -28,33 +29,34 @@ SEED = 11
 STATISTICS = ("words", "mean_word", "symbols", "bangs", "upper", "digits", "stops", "beyond_ascii", "distinct_words", "repeated_lines", "longest_line")
 
 
-def with_statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with one double column per statistic, and the columns' names. A null text counts as an empty one.
+def statistics(text: Column) -> Column:
+    """A struct of the statistics as doubles, none null or NaN. A null text counts as an empty one.
 
-    All are shares or logarithms of counts over the whole text, made by built-in functions; none is null or NaN.
+    All are shares or logarithms of counts over the whole text, made by built-in functions.
     """
-    names = dict(zip(STATISTICS, unused(docs.columns, *[f"stat_{s}" for s in STATISTICS]), strict=True))
-    body, words, lines = unused(docs.columns, "stat_body", "stat_word_list", "stat_line_list")
-    df = docs.withColumn(body, F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    df = df.withColumn(words, words_of(F.col(body))).withColumn(lines, F.split(F.col(body), "\n"))
-    n_words, n_lines = F.greatest(F.size(words), F.lit(1)), F.size(lines)
-    chars = F.greatest(F.length(body), F.lit(1))
-    share = lambda pattern: F.regexp_count(F.col(body), F.lit(pattern)) / chars
-    made = {
-        "words": F.log1p(F.size(words).cast("double")),
-        "mean_word": F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc + F.length(w)) / n_words,
-        "symbols": share(r"[#*$%&|<>{}\[\]=_~^]"),
-        "bangs": share("[!?]"),
-        "upper": share("[A-Z]"),
-        "digits": share("[0-9]"),
-        "stops": share("[.,;:]"),
-        "beyond_ascii": (F.octet_length(body) - F.length(body)) / chars,
-        "distinct_words": F.size(F.array_distinct(words)) / n_words,
-        "repeated_lines": 1 - F.size(F.array_distinct(lines)) / n_lines,
-        "longest_line": F.log1p(F.array_max(F.transform(lines, lambda x: F.length(x))).cast("double")),
-    }
-    df = df.withColumns({names[k]: v.cast("double") for k, v in made.items()})
-    return df.drop(body, words, lines), names
+
+    def measured(d: Column) -> Column:
+        body, words, lines = d["body"], d["words"], d["lines"]
+        n_words, n_lines = F.greatest(F.size(words), F.lit(1)), F.size(lines)
+        chars = F.greatest(F.length(body), F.lit(1))
+        share = lambda pattern: F.regexp_count(body, F.lit(pattern)) / chars
+        made = {
+            "words": F.log1p(F.size(words).cast("double")),
+            "mean_word": F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc + F.length(w)) / n_words,
+            "symbols": share(r"[#*$%&|<>{}\[\]=_~^]"),
+            "bangs": share("[!?]"),
+            "upper": share("[A-Z]"),
+            "digits": share("[0-9]"),
+            "stops": share("[.,;:]"),
+            "beyond_ascii": (F.octet_length(body) - F.length(body)) / chars,
+            "distinct_words": F.size(F.array_distinct(words)) / n_words,
+            "repeated_lines": 1 - F.size(F.array_distinct(lines)) / n_lines,
+            "longest_line": F.log1p(F.array_max(F.transform(lines, lambda x: F.length(x))).cast("double")),
+        }
+        return F.struct(*[made[s].cast("double").alias(s) for s in STATISTICS])
+
+    cut = lambda body: F.struct(body.alias("body"), words_of(body).alias("words"), F.split(body, "\n").alias("lines"))
+    return let(let(F.coalesce(text, F.lit("")), cut), measured)
 
 
 @dataclass(frozen=True)
@@ -64,11 +66,11 @@ class Rule:
     terms: tuple[tuple[str, bool, float], ...]
     weight: float = 0.0
 
-    def column(self, names: dict[str, str]) -> Column:
+    def column(self, of: Callable[[str], Column]) -> Column:
+        """Does it hold? ``of`` gives the column of a statistic."""
         holds = F.lit(True)
         for statistic, at_most, bound in self.terms:
-            x = F.col(names[statistic])
-            holds = holds & (x <= bound if at_most else x > bound)
+            holds = holds & (of(statistic) <= bound if at_most else of(statistic) > bound)
         return holds
 
 
@@ -77,12 +79,16 @@ class Model:
     rules: tuple[Rule, ...]
     intercept: float
 
-    def score(self, names: dict[str, str]) -> Column:
-        """Probability of label 1, as one expression over the statistics."""
-        odds = F.lit(self.intercept)
-        for rule in self.rules:
-            odds = odds + F.when(rule.column(names), rule.weight).otherwise(0.0)
-        return 1 / (1 + F.exp(-odds))
+    def score(self, text: Column) -> Column:
+        """Probability of label 1, as one expression over a text."""
+
+        def odds(stats: Column) -> Column:
+            total = F.lit(self.intercept)
+            for rule in self.rules:
+                total = total + F.when(rule.column(stats.getField), rule.weight).otherwise(0.0)
+            return total
+
+        return 1 / (1 + F.exp(-let(statistics(text), odds)))
 
 
 def paths(tree) -> list[tuple[tuple[str, bool, float], ...]]:
@@ -104,19 +110,19 @@ def fit(labelled: DataFrame, label: str = "label", text: str = "text") -> Model:
 
     With one class only, or no row, the model is a constant: the smoothed share of label 1.
     """
-    rows = labelled.where(F.col(f"`{label}`").isin(0, 1)).select(F.col(f"`{text}`").alias("text"), F.col(f"`{label}`").cast("double").alias("label"))
-    measured, names = with_statistics(rows)
-    sample = written(measured.select("label", *names.values()).repartition(4), "quality-sample")
+    rows = labelled.where(F.col(f"`{label}`").isin(0, 1))
+    measured = rows.select(F.col(f"`{label}`").cast("double").alias("label"), statistics(F.col(f"`{text}`")).alias("stats"))
+    sample = written(measured.select("label", "stats.*").repartition(4), "quality-sample")
     n, ones = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < ones < n:
         share = (ones + 1) / (n + 2)
         return Model((), math.log(share / (1 - share)))
-    vectors = VectorAssembler(inputCols=list(names.values()), outputCol="features").transform(sample).select("label", "features")
+    vectors = VectorAssembler(inputCols=list(STATISTICS), outputCol="features").transform(sample).select("label", "features")
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=SEED, featureSubsetStrategy="all").fit(vectors).trees
     rules = [Rule(terms) for terms in dict.fromkeys(p for t in trees for p in paths(t))]
     if not rules:
         return Model((), math.log(ones / (n - ones)))
-    held = sample.select("label", *[r.column(names).cast("double").alias(f"r{i}") for i, r in enumerate(rules)])
+    held = sample.select("label", *[r.column(F.col).cast("double").alias(f"r{i}") for i, r in enumerate(rules)])
     held = VectorAssembler(inputCols=[f"r{i}" for i in range(len(rules))], outputCol="features").transform(held)
     lasso = LogisticRegression(elasticNetParam=1.0, regParam=PENALTY, maxIter=100).fit(held.select("label", "features"))
     weights = lasso.coefficients.toArray()
@@ -142,7 +148,5 @@ def judge(docs: DataFrame, model: Model, threshold: float = 0.3, text: str = "te
     Rows are judged by their text alone: null and empty texts score as empty ones, equal texts score alike.
     """
     score, predicted = unused(docs.columns, "score", "predicted")
-    measured, names = with_statistics(docs, text)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    scored = measured.withColumn(score, model.score(names)).select(*columns, score)
+    scored = docs.withColumn(score, model.score(F.col(f"`{text}`")))
     return scored.withColumn(predicted, F.when(F.col(score) >= threshold, 1).otherwise(0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +52,12 @@ def uniform(*parts: Column) -> Column:
     """A number in (0, 1) that depends only on the values: the first 52 bits of an MD5, centred in their cell."""
     digest = F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("-")) for p in parts]).cast("binary"))
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` and its lambdas name it.
+
+    A column that a projection makes is copied into a filter above it wherever the filter names it, also inside lambdas,
+    which then compute it for every element. A lambda's variable is not copied.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
