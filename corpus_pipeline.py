@@ -29,22 +29,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked at 0.8 of five-word shingles: the one with the smallest id.
 
-    Of several rows of one id the least by text stays, so a group is one row. Rows without an id stay unless their
-    shingles are those of a row with an id; equal ones of them become one. Documents without words are no
-    duplicates of each other.
+    Of several rows of one id one stays, the least by a hash of all columns, so a group is one row. A row without
+    an id stays unless its text is that of a row with an id; of equal ones one stays. Documents without words are
+    no duplicates of each other.
     """
-    groups = near_duplicates.duplicates(docs)
-    kept = groups.where("kept").select("doc_id").distinct()
-    known, address, place = unused(docs.columns, "known", "address", "place")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    first = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*columns)
-    # ids are unique but for repeated rows: one row of each, chosen by its content
-    whole = F.to_json(F.struct(*columns))
-    rows = first.groupBy("doc_id").agg(F.min_by(F.struct(*columns), whole).alias(known)).select(f"{known}.*")
-    nameless = docs.where("doc_id is null")
-    named = docs.where("doc_id is not null").select(F.col("text").alias(known)).distinct()
-    alone = nameless.join(named, F.col("text") == F.col(known), "left_anti").dropDuplicates(["text"])
-    return rows.unionByName(alone)
+    kept = near_duplicates.duplicates(docs).where("kept").select("doc_id").distinct()
+    row, digest, known = unused(docs.columns, "row", "digest", "known")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.where("doc_id is not null")
+    first = named.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(whole, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias(row))
+    address = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    nameless = docs.where("doc_id is null").withColumn(digest, address).dropDuplicates([digest])
+    alone = nameless.join(named.select(address.alias(known)).distinct(), F.col(digest) == F.col(known), "left_anti").drop(digest)
+    return first.select(f"{row}.*").unionByName(alone)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

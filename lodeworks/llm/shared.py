@@ -26,10 +26,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def unused(columns: list[str], *wanted: str) -> list[str]:
-    """``wanted`` names, changed where the caller's table has the same ones (names clash regardless of case)."""
-    taken, tail = {c.lower() for c in columns}, ""
-    while any((w + tail).lower() in taken for w in wanted):
-        tail = f"_{uuid.uuid4().hex[:8]}"
+    """``wanted`` names, all with the same number behind where the caller's table has one of them in any case."""
+    taken = {c.lower() for c in columns}
+    tails = ("", *(f"_{k}" for k in range(2, len(columns) + 3)))
+    tail = next(t for t in tails if not any((w + t).lower() in taken for w in wanted))
     return [w + tail for w in wanted]
 
 
