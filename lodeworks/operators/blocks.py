@@ -1,11 +1,16 @@
 """Windows over long histories, cut into blocks.
 
 A window that is partitioned by site or truck puts one site's whole history in one task. Here each
-history is cut into blocks of the order column (days, row ranges), and the shuffle is on
-(key, block). (A table whose largest key is small needs none of this; ``hottest`` tells.) What a block needs from the blocks before it is kept in one summary row per block:
-totals, last values, and the last few rows. A window over the summary rows turns these into the state
-at the start of each block, which is added to the block as extra rows that sort first. An ordinary
-window inside the block then gives the same values as a window over the whole history.
+history is cut into blocks of the order column (days, months, row ranges), and the shuffle is on
+(key, block). Blocks are fixed parts of the calendar: they depend neither on the number of rows nor on the
+first and last date, so a placeholder date is a block of its own and moves no other. What a block needs
+from the blocks before it is kept in one summary row per block: totals, last values, and the last few
+rows. A window over the summary rows turns these into the state at the start of each block, which is
+added to the block as extra rows that sort first. An ordinary window inside the block then gives the
+same values as a window over the whole history.
+
+Rows without a place in the order come last in their history, as in SQL engines that sort nulls last:
+their block is null and follows all others.
 
 Row frames count rows, not time: with sparse blocks the rows before a block may come from several
 earlier blocks, and are taken from as many as needed.
@@ -18,16 +23,9 @@ from pyspark.sql import functions as F
 
 #: Rows that one block should hold when the width is chosen from the data.
 BLOCK_ROWS = 100_000
-#: Rows of one key that a single task may sort and window.
-HOT_ROWS = 1_000_000
 CONTEXT = "_context"
 
 
-def hottest(df: DataFrame, key: str) -> int:
-    """Rows of the key with the most rows; counted per task first, so a hot key is one row per task."""
-    return df.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-
-
 def wall_seconds(ts: str) -> Column:
     """Seconds since 1970 by the wall clock, so that a zone's clock change cannot reorder blocks."""
     t = F.col(ts)
@@ -35,16 +33,8 @@ def wall_seconds(ts: str) -> Column:
     return days * F.lit(86400).cast("bigint") + F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
 
 
-def block_seconds(df: DataFrame, ts: str, rows: int = BLOCK_ROWS) -> int:
-    """Width in seconds of time blocks of about ``rows`` rows, from the table's count and span."""
-    at = wall_seconds(ts)
-    found = df.agg(F.count("*").alias("n"), (F.max(at) - F.min(at)).alias("span")).first()
-    if not found["n"] or not found["span"]:
-        return 1
-    return max(1, int(found["span"] * rows / found["n"]) + 1)
-
-
 def time_block(ts: str, seconds: int) -> Column:
+    """Number of the stretch of ``seconds`` since 1970 that a time is in; null without a time."""
     return F.floor(wall_seconds(ts) / F.lit(seconds))
 
 
@@ -55,13 +45,19 @@ def row_block(number: str, rows: int = BLOCK_ROWS) -> Column:
 
 
 def within(keys: list[str], order: list[str]) -> WindowSpec:
-    """Window inside one block, in order; ``order`` is not null on rows, null on pure state rows."""
-    return Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    """Window inside one block, for rows with ``_context``: state rows, then rows in order, then rows without a place."""
+    stage = F.when(F.col(CONTEXT), 0).when(F.col(order[0]).isNull(), 2).otherwise(1)
+    return Window.partitionBy(*keys).orderBy(stage, *[F.col(c).asc_nulls_first() for c in order])
+
+
+def block_order(block: str) -> Column:
+    """Order of a key's blocks: that of the rows without a place is the last."""
+    return F.col(block).asc_nulls_last()
 
 
 def earlier_blocks(keys: list[str], block: str) -> WindowSpec:
     """All blocks of a key before the current one, for windows over summary rows."""
-    return Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    return Window.partitionBy(*keys).orderBy(block_order(block)).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def last_rows(rows: Column, keys: list[str], block: str, n: int) -> Column:
@@ -69,7 +65,7 @@ def last_rows(rows: Column, keys: list[str], block: str, n: int) -> Column:
 
     Every block has a row, so the n blocks before it hold at least the n rows before it, if they exist.
     """
-    nearest = Window.partitionBy(*keys).orderBy(block).rowsBetween(-n, -1)
+    nearest = Window.partitionBy(*keys).orderBy(block_order(block)).rowsBetween(-n, -1)
     joined = F.flatten(F.collect_list(rows).over(nearest))
     return F.slice(joined, F.greatest(F.size(joined) - n + 1, F.lit(1)), n)
 

@@ -16,23 +16,29 @@ from lodeworks.operators import blocks
 TRUCK_ORDER = ["day", "shift_ord"]
 SHIFT_FRAME = 7
 HOUR_FRAME = 6
+#: Fixed stretches of the calendar that one task takes of a truck's or a site's history.
+BLOCK_MONTHS = 12
+BLOCK_SECONDS = 7 * 86_400
+HOURS = "decimal(28, 9)"
 
 
-def failure_features(performance: DataFrame, hot_rows: int = blocks.HOT_ROWS) -> DataFrame:
+def failure_features(performance: DataFrame, block_months: int = BLOCK_MONTHS) -> DataFrame:
     """One row per truck shift: running hours, 7-shift frames, shifts since a failure, next-shift label.
 
-    While no truck has more than ``hot_rows`` rows, a truck is a window of its own and rows are shuffled
-    once. Otherwise histories are cut into calendar years, of at most 732 rows per truck by the table's
-    grain. Shifts since a failure count from the truck's first row until it first fails.
+    Histories are cut into stretches of ``block_months`` calendar months: a year has at most 732 rows of a truck by
+    the table's grain. Rows without a day come last. Hours are summed as decimals, so their total does not depend
+    on where blocks end. Shifts since a failure count from the truck's first row until it first fails.
     """
-    marked = performance.withColumns({"shift_ord": shift_order(F.col("shift")), "failed": positive_flag(F.col("fail_h"))})
-    if blocks.hottest(performance, "truck") > hot_rows:
-        marked = marked.withColumn("block", F.year("day"))
-        rows = blocks.add_state(marked, _truck_state(marked), ["truck"], "block")
-    else:
-        state = {"rows_before": "bigint", "hours_before": "double", "failed_before": "bigint", "next_failed": "int"}
-        nothing = {name: F.lit(None).cast(kind) for name, kind in state.items()}
-        rows = marked.withColumns({"block": F.lit(0), blocks.CONTEXT: F.lit(False), **nothing})
+    month = F.year("day") * 12 + F.month("day") - 1
+    marked = performance.withColumns(
+        {
+            "shift_ord": shift_order(F.col("shift")),
+            "failed": positive_flag(F.col("fail_h")),
+            "block": F.floor(month / F.lit(block_months)),
+            "hours": F.col("oper_h").cast(HOURS),
+        }
+    )
+    rows = blocks.add_state(marked, _truck_state(marked), ["truck"], "block")
     run = blocks.within(["truck", "block"], TRUCK_ORDER)
     so_far = run.rowsBetween(Window.unboundedPreceding, 0)
     frame = run.rowsBetween(1 - SHIFT_FRAME, 0)
@@ -51,10 +57,11 @@ def failure_features(performance: DataFrame, hot_rows: int = blocks.HOT_ROWS) ->
     row = F.col("n_here") + F.coalesce("rows_before", F.lit(0))
     numbered = counted.withColumn("row", row)
     last_failed = F.greatest(F.max(F.when(own & (F.col("failed") == 1), F.col("row"))).over(so_far), F.col("failed_before"))
-    own_hours = F.sum(F.when(own, F.col("oper_h"))).over(so_far)
+    own_hours = F.sum(F.when(own, F.col("hours"))).over(so_far)
+    hours = F.coalesce(F.col("hours_before") + own_hours, own_hours, F.col("hours_before"))
     featured = numbered.withColumns(
         {
-            "oper_h_total": F.coalesce("hours_before", F.lit(0.0)) + own_hours,
+            "oper_h_total": hours.cast("double"),
             "availability_7": F.avg("availability").over(frame),
             "fail_h_7": F.sum("fail_h").over(frame),
             "maint_h_7": F.sum("maint_h").over(frame),
@@ -89,11 +96,11 @@ def _truck_state(marked: DataFrame) -> DataFrame:
     keep = SHIFT_FRAME - 1
     carried = ["availability", "fail_h", "maint_h"]
     run = Window.partitionBy("truck", "block").orderBy(*TRUCK_ORDER)
-    narrow = marked.select("truck", "block", *TRUCK_ORDER, *carried, "failed", "oper_h").repartition("truck", "block")
+    narrow = marked.select("truck", "block", *TRUCK_ORDER, *carried, "failed", "hours").repartition("truck", "block")
     ranked = narrow.withColumns({"row": F.row_number().over(run), "late": F.lead(F.lit(1), keep).over(run).isNull()})
     summary = ranked.groupBy("truck", "block").agg(
         F.count("*").alias("n"),
-        F.sum("oper_h").alias("hours"),
+        F.sum("hours").alias("hours"),
         F.max(F.when(F.col("failed") == 1, F.col("row"))).alias("failed_row"),
         F.min_by("failed", "row").alias("first_failed"),
         F.sort_array(F.collect_list(F.when(F.col("late"), F.struct(*TRUCK_ORDER, *carried)))).alias("tail"),
@@ -103,7 +110,7 @@ def _truck_state(marked: DataFrame) -> DataFrame:
         {
             "rows_before": F.sum("n").over(before),
             "hours_before": F.sum("hours").over(before),
-            "next_failed": F.lead("first_failed").over(Window.partitionBy("truck").orderBy("block")),
+            "next_failed": F.lead("first_failed").over(Window.partitionBy("truck").orderBy(blocks.block_order("block"))),
             "previous": blocks.last_rows(F.col("tail"), ["truck"], "block", keep),
         }
     )
@@ -119,21 +126,15 @@ def failure_streak(performance: DataFrame) -> DataFrame:
     return failure_features(performance).select("truck", "day", "shift", "failed", "shifts_since_failure")
 
 
-def process_features(
-    telemetry: DataFrame, block_seconds: int | None = None, hot_rows: int = blocks.HOT_ROWS
-) -> DataFrame:
+def process_features(telemetry: DataFrame, block_seconds: int = BLOCK_SECONDS) -> DataFrame:
     """One row per plant hour: previous grades, 6-row means and deviation, and the two targets.
 
-    There are few sites. Once one has more than ``hot_rows`` rows (or if ``block_seconds`` is given),
-    histories are cut into time blocks, each of which is given the five rows before it.
+    There are few sites, so histories are cut into stretches of ``block_seconds``, each of which is given the five
+    rows before it. Rows without a time come last.
     """
     keep = HOUR_FRAME - 1
-    if block_seconds or blocks.hottest(telemetry, "site") > hot_rows:
-        seconds = block_seconds or blocks.block_seconds(telemetry, "ts")
-        cut = telemetry.withColumn("block", blocks.time_block("ts", seconds))
-        rows = blocks.with_previous_rows(cut, ["site"], ["ts"], "block", keep, ["conc", "feed", "dose", "ph", "tons"])
-    else:
-        rows = telemetry.withColumns({"block": F.lit(0), blocks.CONTEXT: F.lit(False)})
+    cut = telemetry.withColumn("block", blocks.time_block("ts", block_seconds))
+    rows = blocks.with_previous_rows(cut, ["site"], ["ts"], "block", keep, ["conc", "feed", "dose", "ph", "tons"])
     run = blocks.within(["site", "block"], ["ts"])
     frame = run.rowsBetween(-keep, 0)
     featured = rows.withColumns(

@@ -37,7 +37,7 @@ def test_streak_without_a_failure_counts_from_the_first_row(spark):
 
 
 def test_streak_with_failures_on_the_first_row_and_twice_in_a_row(spark):
-    got = in_order(features.failure_features(perf(spark, shifts("T1", 12, fails={0, 4, 5, 9})), hot_rows=0))
+    got = in_order(features.failure_features(perf(spark, shifts("T1", 12, fails={0, 4, 5, 9})), block_months=1))
     assert [r["shifts_since_failure"] for r in got] == [0, 1, 2, 3, 0, 0, 1, 2, 3, 0, 1, 2]
     assert [r["fails_next_shift"] for r in got] == [0, 0, 0, 1, 1, 0, 0, 0, 1, 0, 0, None]
 
@@ -66,8 +66,8 @@ def plain_failure(performance):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [0, 1000, 10**9])
-def test_blocks_give_the_same_features_as_whole_histories(spark, hot_rows):
+@pytest.mark.parametrize("months", [1, 12, 10**6])
+def test_blocks_give_the_same_features_as_whole_histories(spark, months):
     """A truck with a third of all rows, sparse trucks with a row in some years, long gaps."""
     rng = random.Random(7)
     rows = []
@@ -77,7 +77,7 @@ def test_blocks_give_the_same_features_as_whole_histories(spark, hot_rows):
             rows.append((f"T{t}", date(2005, 1, 1) + timedelta(days=i // 2), "Día" if i % 2 == 0 else "Noche", 2.0 if rng.random() < 0.05 else 0.0))
     data = perf(spark, rows)
     names = ["truck", "day", "shift", "failed", "oper_h_total", "maint_h_7", "fail_h_7", "availability_7", "shifts_since_failure", "fails_next_shift"]
-    got = features.failure_features(data, hot_rows).select(names)
+    got = features.failure_features(data, months).select(names)
     want = plain_failure(data).select(names)
     assert got.count() == len(rows)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
@@ -101,14 +101,14 @@ def plain_process(t):
     )
 
 
-@pytest.mark.parametrize("seconds, hot_rows", [(None, 10**9), (None, 100), (1, 0), (3600, 0), (7200, 0), (86400, 0), (40 * 86400, 0)])
-def test_process_features_do_not_depend_on_the_blocks(spark, seconds, hot_rows):
+@pytest.mark.parametrize("seconds", [1, 3600, 7200, 86400, 40 * 86400, 10**10])
+def test_process_features_do_not_depend_on_the_blocks(spark, seconds):
     rng = random.Random(3)
     start = datetime(2024, 1, 1)
     stamps = [("A", start + timedelta(hours=h)) for h in range(400)]
     stamps += [("B", start + timedelta(hours=h)) for h in sorted(rng.sample(range(3000), 60))] + [("C", start)]
     data = telemetry(spark, stamps)
-    got = features.process_features(data, block_seconds=seconds, hot_rows=hot_rows)
+    got = features.process_features(data, block_seconds=seconds)
     want = plain_process(data)
     got = got.withColumn("feed_sd_6", F.round("feed_sd_6", 9)).select(want.columns)
     assert got.count() == len(stamps)
@@ -129,11 +129,40 @@ def test_null_inside_a_frame_is_left_out_of_its_mean(spark):
     assert last["dose_6"] == pytest.approx((30 + 32) / 2)
 
 
-def test_block_width_follows_the_number_of_rows(spark):
-    data = telemetry(spark, [("A", datetime(2024, 1, 1) + timedelta(hours=h)) for h in range(240)])
-    seconds = blocks.block_seconds(data, "ts", rows=24)
-    assert 80_000 < seconds < 90_000
-    assert blocks.block_seconds(data.limit(0), "ts") == 1
+def test_rows_without_a_time_come_last(spark):
+    t = telemetry(spark, [("A", datetime(2024, 1, 1, h)) for h in range(4)])
+    holed = t.withColumn("ts", F.when(F.col("record_id") != 1, F.col("ts")))
+    for seconds in (3600, 86400):
+        got = {r["record_id"]: r for r in features.process_features(holed, block_seconds=seconds).collect()}
+        grade = {r["record_id"]: r["feed"] for r in t.collect()}
+        assert got[0]["feed_lag"] is None and got[2]["feed_lag"] == grade[0]
+        assert got[1]["feed_lag"] == grade[3] and got[1]["tons_6"] == pytest.approx(51.5)
+
+
+def test_shifts_without_a_day_come_last(spark):
+    rows = [("T1", d, "Día", f) for d, f in ((date(2024, 1, 1), 0.0), (None, 1.0), (date(2024, 3, 1), 0.0))]
+    for months in (1, 12):
+        got = {r["day"]: r for r in features.failure_features(perf(spark, rows), months).collect()}
+        assert got[date(2024, 3, 1)]["fails_next_shift"] == 1 and got[None]["fails_next_shift"] is None
+        assert got[date(2024, 1, 1)]["fails_next_shift"] == 0 and got[None]["shifts_since_failure"] == 0
+        assert got[None]["oper_h_total"] == 27.0
+
+
+def test_placeholder_dates_leave_the_other_blocks_as_they_are(spark):
+    """Blocks of clean data, and of the same data with one row in 1970 and one in 9999."""
+    start = datetime(2024, 1, 1)
+    clean = telemetry(spark, [("A", start + timedelta(minutes=m)) for m in range(5000)])
+    odd = telemetry(spark, [("A", datetime(1970, 1, 1)), ("A", datetime(9999, 12, 31))])
+    sizes = lambda t: t.groupBy(blocks.time_block("ts", 86400)).count().agg(F.max("count")).first()[0]
+    assert sizes(clean) == sizes(clean.unionByName(odd)) == 1440
+
+
+def test_totals_of_hours_are_exact(spark):
+    """Hours that doubles cannot hold exactly: the same total wherever blocks end."""
+    hours = [0.1, 0.7, 9.87, 11.3]
+    rows = perf(spark, shifts("T1", 2000)).withColumn("oper_h", F.element_at(F.array(*map(F.lit, hours)), (F.pmod(F.xxhash64("day", "shift"), F.lit(4)) + 1).cast("int")))
+    got = [{(r["day"], r["shift"]): r["oper_h_total"] for r in features.failure_features(rows, m).collect()} for m in (1, 12, 1000)]
+    assert got[0] == got[1] == got[2]
 
 
 @pytest.mark.parametrize("rows", [1, 2, 5, 100])

@@ -76,16 +76,18 @@ def test_windows_never_gather_a_site_or_truck(large, folder):
     performance = operations.equipment_performance(
         staging.maintenance(raw(large, folder, "raw_maintenance")), raw(large, folder, "equipment")
     )
-    wide = exchanges(features.failure_features(performance, hot_rows=-1))
+    wide = exchanges(features.failure_features(performance))
     assert sum("truck, block" in e for e in wide) == 2 and sum(e.startswith("hashpartitioning(truck, 4") for e in wide) == 1
 
 
-def test_without_a_hot_key_features_take_one_shuffle_and_one_sort(large, folder):
+def test_feature_rows_are_shuffled_by_key_and_block_at_every_size(large, folder):
+    """One plan: only summaries, one row per block, meet by key alone."""
     performance = operations.equipment_performance(
         staging.maintenance(raw(large, folder, "raw_maintenance")), raw(large, folder, "equipment")
     )
-    for df in (features.failure_features(performance), features.process_features(staging.telemetry(raw(large, folder, "raw_telemetry")))):
-        assert len(exchanges(df)) == 1 and plan(df).count("Sort [") == 1
+    for df, key in ((features.failure_features(performance), "truck"), (features.process_features(staging.telemetry(raw(large, folder, "raw_telemetry"))), "site")):
+        found = exchanges(df)
+        assert sum(f"{key}, block" in e for e in found) == 2 and len(found) <= 3
 
 
 def test_feature_windows_share_one_sort(large, folder):

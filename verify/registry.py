@@ -335,7 +335,7 @@ def ml_failure_features(spark, sf):
 @query
 def ml_failure_features_blocked(spark, sf):
     """The same table with every truck's history cut into years."""
-    return features.failure_features(Inputs(spark, sf).performance(), hot_rows=0)
+    return features.failure_features(Inputs(spark, sf).performance(), block_months=1)
 
 
 @query
