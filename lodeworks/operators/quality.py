@@ -183,16 +183,15 @@ class ContractError(RuntimeError):
 
 
 def contract_gaps(tables: Mapping[str, DataFrame], contract: Mapping[str, Sequence[str]]) -> dict[str, list[str] | None]:
-    """Per contract table with a gap: its missing columns, or None when the whole table is missing."""
-    gaps: dict[str, list[str] | None] = {}
-    for name, wanted in contract.items():
-        if name not in tables:
-            gaps[name] = None
-            continue
-        missing = [c for c in wanted if c not in tables[name].columns]
-        if missing:
-            gaps[name] = missing
-    return gaps
+    """Per contract table with a gap: its missing columns, or None when the whole table is missing.
+
+    The gaps are the contract's (table, column) pairs less the pairs that the tables have.
+    """
+    promised = {(t, c) for t, columns in contract.items() for c in columns}
+    lacking = promised.difference((t, c) for t, df in tables.items() for c in df.columns)
+    absent = contract.keys() - tables.keys()
+    incomplete = {t for t, _ in lacking} | absent
+    return {t: None if t in absent else sorted(c for u, c in lacking if u == t) for t in contract if t in incomplete}
 
 
 def require_contract(tables: Mapping[str, DataFrame], contract: Mapping[str, Sequence[str]]) -> None:

@@ -23,52 +23,48 @@ def table(spark, **named):
     return spark.createDataFrame(rows, schemas.SHEET_ROWS)
 
 
-OUTPUT = [
-    ("Table", None, None, None),
-    ("Output / Production", None, None, None),
-    (None, 2023, 2024, 2025),
-    ("STATE", 1424.5, 1328.0, 1307.2),
-    ("     North pit (2) / Rajo norte", 359.6, 357.0, "n.d."),
-    ("     South  pit", 160.0, 161.0),
-    ("OTHERS / Otros", 3825.9, 4177.9, "4081,5"),
-    ("\xa0\xa0East pit", 1102.1, 1279.1, 1345.1),
-    ("TITLE ONLY", None, None, None),
-    ("   ", 1, 2, 3),
-    ("    Deep", 1.0, "s.i.", "abc"),
-    ("ALL", 5250.4, 5505.9, 5388.2),
-    ("(1) note", None, None, None),
-    ("after", 1, 1, 1),
-    ("Fuente: x", None, None, None),
+#: A made-up sheet with a title, a header, three levels, footnote marks, missing values and a closing note.
+HARVEST = [
+    ("Harvest by field, tonnes", None, None, None),
+    (None, 2011, 2012, 2013),
+    ("Cereals / Granos", 70, 72.5, 75),
+    ("  Wheat (1)", 40, 41, "s.i."),
+    ("    Winter   wheat", 31, "12,5", "about 9"),
+    ("\xa0\xa0Rye", 30),
+    ("Fruit", None, None, None),
+    ("  Apples", 8, 9, 10),
+    ("", 5, 5, 5),
+    ("Sum", 78, 81.5, 85),
+    ("(1) soft and hard", None, None, None),
+    ("  Pears", 1, 2, 3),
 ]
 
 
-@pytest.mark.parametrize("block_rows", [1, 2, 3, 7, 1000])
+@pytest.mark.parametrize("block_rows", [1, 2, 4, 500])
 def test_sheet_to_long(spark, block_rows):
-    got = sheets.parse_sheets(table(spark, out=OUTPUT), {"out": "kt"}, block_rows).collect()
-    rows = {(r["label"], r["yr"]): r for r in got}
-    assert len(got) == 7 * 3
-    assert {r["yr"] for r in got} == {2023, 2024, 2025} and {r["unit"] for r in got} == {"kt"}
-    north = rows["North pit", 2025]
-    assert (north["parent"], north["grp"], north["lvl"], north["ord"]) == ("STATE", "STATE", 1, 2)
-    assert north["value"] is None and north["value_text"] == "n.d."
-    assert rows["South pit", 2025]["value_text"] is None  # the row is short
-    assert rows["East pit", 2023]["parent"] == "OTHERS" and rows["East pit", 2023]["lvl"] == 1
-    assert rows["OTHERS", 2025]["value"] == 4081.5
-    assert ("TITLE ONLY", 2023) not in rows and rows["Deep", 2023]["parent"] == "TITLE ONLY"
-    assert rows["Deep", 2025]["value"] is None and rows["Deep", 2025]["value_text"] == "abc"
-    assert (rows["ALL", 2023]["lvl"], rows["ALL", 2023]["parent"], rows["ALL", 2023]["grp"], rows["ALL", 2023]["ord"]) == (0, None, "ALL", 8)
-    assert not any(r["label"].startswith(("(1)", "after", "Fuente")) for r in got)
+    got = sheets.parse_sheets(table(spark, farm=HARVEST), {"farm": "t"}, block_rows).collect()
+    of = {(r["label"], r["yr"]): r.asDict() for r in got}
+    tree = {label: (of[label, 2012]["ord"], of[label, 2012]["lvl"], of[label, 2012]["parent"], of[label, 2012]["grp"]) for label, _ in of}
+    assert tree == {
+        "Cereals": (1, 0, None, "Cereals"), "Wheat": (2, 1, "Cereals", "Cereals"), "Winter wheat": (3, 2, "Wheat", "Cereals"),
+        "Rye": (4, 1, "Cereals", "Cereals"), "Apples": (6, 1, "Fruit", "Fruit"), "Sum": (7, 0, None, "Sum"),
+    }
+    assert len(got) == 6 * 3 and {r["unit"] for r in got} == {"t"}
+    values = lambda label: [(of[label, y]["value"], of[label, y]["value_text"]) for y in (2011, 2012, 2013)]
+    assert values("Wheat") == [(40.0, "40"), (41.0, "41"), (None, "s.i.")]
+    assert [v for v, _ in values("Winter wheat")] == [31.0, 12.5, None] and values("Winter wheat")[2][1] == "about 9"
+    assert values("Rye")[1:] == [(None, None)] * 2  # a short row
 
 
 def test_title_only_rows_stay_before_they_are_dropped(spark):
-    long = sheets.unpivot(table(spark, out=OUTPUT))
-    assert long.count() == 8 * 3
-    assert long.where("label = 'TITLE ONLY' and value is null and value_text is null").count() == 3
+    long = sheets.unpivot(table(spark, farm=HARVEST))
+    assert long.count() == 7 * 3
+    assert long.where("label = 'Fruit' and value is null and value_text is null").count() == 3
 
 
 def test_text_years_are_no_header_and_bad_sheets_are_reported(spark):
     rows = table(
-        spark, good=OUTPUT, text=[("x", "2023", "2024", "2025")], two=[("x", 2023, 2024)], odd=[("x", 2023.5, 2024, 2025, 1899)]
+        spark, good=HARVEST, text=[("x", "2023", "2024", "2025")], two=[("x", 2023, 2024)], odd=[("x", 2023.5, 2024, 2025, 1899)]
     )
     assert {r["sheet"]: r["n_rows"] for r in sheets.bad_sheets(rows).collect()} == {"text": 1, "two": 1, "odd": 1}
     assert [r["sheet"] for r in sheets.headers(rows).collect()] == ["good"]
@@ -86,14 +82,13 @@ def test_note_before_the_header_does_not_end_the_sheet(spark):
 
 
 def expected_tree(indents):
-    """Parent position, root position and level of each row, by keeping the open rows on a stack."""
-    out, stack = [], []
-    for i, level in enumerate(indents):
-        while stack and indents[stack[-1]] >= level:
-            stack.pop()
-        out.append((stack[-1] if stack else None, stack[0] if stack else i, len(stack)))
-        stack.append(i)
-    return out
+    """Parent, root and level of each row; its parent is the nearest earlier row that is indented less."""
+    parents = [max((j for j in range(i) if indents[j] < k), default=None) for i, k in enumerate(indents)]
+
+    def line(i):
+        return [i] if parents[i] is None else [*line(parents[i]), i]
+
+    return [(parents[i], line(i)[0], len(line(i)) - 1) for i in range(len(indents))]
 
 
 @pytest.mark.parametrize("block_rows", [3, 50, 10_000])

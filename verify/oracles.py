@@ -46,31 +46,39 @@ select day, shift, site, count(*) as incidents, count(*) filter (where sev in ('
 from o_safety group by all
 """
 VIEWS["o_kpis"] = """
-select day, shift, site, n_trucks, round(a * 100, 2) as availability_pct, round(p * 100, 2) as performance_pct,
-  round(q * 100, 2) as quality_pct, round(a * p * q * 100, 2) as oee_pct,
-  round(case when f > t and c > t then (c * (f - t)) / (f * (c - t)) * 100 end, 2) as recovery_pct,
-  round(processed_total, 1) as processed_t, round(payload_total, 1) as payload_t, incidents, serious_incidents,
-  round(down, 2) as down_h, risk_score,
-  case when risk_score >= 25 then 'Crítico' when risk_score >= 5 then 'Alto' when risk_score > 0 then 'Medio' else 'Bajo' end
-    as risk_level
-from (
-  select e.day, e.shift, e.site, n_trucks, availability_mean as a, performance_mean as p, payload_total, processed_total,
-    feed_mean as f, conc_mean as c, tail_mean as t, coalesce(incidents, 0) as incidents,
-    coalesce(serious_incidents, 0) as serious_incidents, coalesce(down_total, 0e0) as down,
-    coalesce(risk_score, 0) as risk_score, (sched_total - coalesce(down_total, 0e0)) / nullif(sched_total, 0) as q
-  from o_fleet e left join o_plant f on (e.day, e.shift, e.site) = (f.day, f.shift, f.site)
-    left join o_safety_shift s on (e.day, e.shift, e.site) = (s.day, s.shift, s.site))
+with mass as (
+  select *, case when feed_mean > tail_mean and conc_mean > tail_mean
+    then conc_mean * (feed_mean - tail_mean) / (feed_mean * (conc_mean - tail_mean)) end as recovered
+  from o_plant),
+lost as (select *, coalesce(down_total, 0e0) as down, coalesce(risk_score, 0) as risk from o_safety_shift),
+joined as (
+  select * from o_fleet left join mass using (day, shift, site) left join lost using (day, shift, site))
+select day, shift, site, n_trucks, round(100 * availability_mean, 2) as availability_pct,
+  round(100 * performance_mean, 2) as performance_pct, round(100 * (sched_total - coalesce(down, 0e0)) / nullif(sched_total, 0), 2) as quality_pct,
+  round(availability_mean * performance_mean * ((sched_total - coalesce(down, 0e0)) / nullif(sched_total, 0)) * 100, 2) as oee_pct,
+  round(recovered * 100, 2) as recovery_pct, round(processed_total, 1) as processed_t, round(payload_total, 1) as payload_t,
+  coalesce(incidents, 0) as incidents, coalesce(serious_incidents, 0) as serious_incidents, round(coalesce(down, 0e0), 2) as down_h,
+  coalesce(risk, 0) as risk_score,
+  list_extract(['Bajo', 'Medio', 'Alto', 'Crítico'], 1 + (coalesce(risk, 0) > 0)::int + (coalesce(risk, 0) >= 5)::int + (coalesce(risk, 0) >= 25)::int) as risk_level
+from joined
 """
 VIEWS["o_failure"] = """
-select day, shift, site, truck, model, cap_t, oper_h, sum(oper_h) over (h rows unbounded preceding) as oper_h_total, maint_h,
-  sum(maint_h) over (h rows 6 preceding) as maint_h_7, fail_h, sum(fail_h) over (h rows 6 preceding) as fail_h_7, availability,
-  avg(availability) over (h rows 6 preceding) as availability_7, performance,
-  row_number() over (partition by truck, spell order by day, shift) - 1 as shifts_since_failure, failed,
-  lead(failed) over h as fails_next_shift
-from (
-  select *, sum(failed) over (partition by truck order by day, shift rows unbounded preceding) as spell
-  from (select *, cast(coalesce(fail_h, 0) > 0 as integer) as failed from o_perf))
-window h as (partition by truck order by day, shift)
+with numbered as (
+  select *, (coalesce(fail_h, 0) > 0)::int as failed, count(*) over (partition by truck order by day, shift rows unbounded preceding) as n
+  from o_perf),
+framed as (
+  select a.truck, a.n, sum(b.maint_h) as maint_h_7, sum(b.fail_h) as fail_h_7, avg(b.availability) as availability_7
+  from numbered a join numbered b on b.truck = a.truck and b.n between a.n - 6 and a.n group by a.truck, a.n),
+since as (
+  select a.truck, a.n, a.n - coalesce(max(b.n), 1) as shifts_since_failure
+  from numbered a left join numbered b on b.truck = a.truck and b.n <= a.n and b.failed = 1 group by a.truck, a.n),
+totals as (
+  select a.truck, a.n, sum(b.oper_h::decimal(28, 9))::double as oper_h_total
+  from numbered a join numbered b on b.truck = a.truck and b.n <= a.n group by a.truck, a.n)
+select x.day, x.shift, x.site, x.truck, x.model, x.cap_t, x.oper_h, oper_h_total, x.maint_h, maint_h_7, x.fail_h, fail_h_7,
+  x.availability, availability_7, x.performance, shifts_since_failure, x.failed, y.failed as fails_next_shift
+from numbered x join framed using (truck, n) join since using (truck, n) join totals using (truck, n)
+  left join numbered y on y.truck = x.truck and y.n = x.n + 1
 """
 VIEWS["o_process"] = """
 select record_id, site, ts, cast(ts as date) as day, shift, tons, avg(tons) over six as tons_6, feed, lag(feed) over h as feed_lag,
@@ -158,9 +166,14 @@ from (
 group by all
 """
 VIEWS["o_producer_year"] = """
-select p.yr, p.mine, p.owner, p.output_kt, round(100 * p.output_kt / nullif(t.total_kt, 0), 3) as share_pct,
-  p.output_kt - lag(p.output_kt) over (partition by p.mine order by p.yr) as change_kt, i.cost_index, i.productivity_index
-from o_mines p join o_totals t on t.yr = p.yr left join o_indices i on i.yr = p.yr and i.entity = p.mine
+with placed as (select mine, yr, owner, output_kt, dense_rank() over (partition by mine order by yr) as place from o_mines),
+national as (select yr, any_value(total_kt) as total_kt from o_totals group by yr),
+index_of as (select yr, entity as mine, max(cost_index) as cost_index, max(productivity_index) as productivity_index from o_indices group by all)
+select now.yr, now.mine, now.owner, now.output_kt, round(now.output_kt * 100 / nullif(total_kt, 0), 3) as share_pct,
+  now.output_kt - before.output_kt as change_kt, cost_index, productivity_index
+from placed as now natural join national
+  left join placed as before on before.mine = now.mine and before.place = now.place - 1
+  left join index_of on (index_of.yr, index_of.mine) = (now.yr, now.mine)
 """
 VIEWS["o_sector"] = """
 select t.yr, total_kt as output_kt, state_kt as state_output_kt, round(100 * state_kt / nullif(total_kt, 0), 2) as state_share_pct,
@@ -180,14 +193,19 @@ from o_totals t left join o_grades g on g.yr = t.yr
   left join o_metal m on m.yr = t.yr and m.metal = 'Cobre' and m.exchange = 'LME'
 """
 VIEWS["o_cost"] = """
-select p.yr, p.bus, n as priced_days, round(price, 2) as price, round(total_tj * 1e6 / 3600, 0) as electricity_mwh,
-  round(total_tj * 1e6 / 3600 * price / 1e6, 1) as cost_musd, round(mill_tj * 1e6 / 3600 * price / 1e6, 1) as mill_cost_musd,
-  round(total_tj * 1e6 / 3600 * price / nullif(total_kt * 1000, 0), 1) as cost_usd_per_t
-from (select yr, bus, count(*) as n, avg(price_mean) as price from o_price group by yr, bus having count(*) >= 330) p
-  join (select yr, sum(energy_tj) filter (where process = 'Total') as total_tj,
-          sum(energy_tj) filter (where process = 'Concentradora') as mill_tj
-        from o_energy where source = 'electricidad' group by yr) e on e.yr = p.yr
-  join o_totals c on c.yr = p.yr
+with power as (
+  pivot (select yr, process, energy_tj from o_energy where source = 'electricidad' and process in ('Total', 'Concentradora'))
+  on process in ('Total', 'Concentradora') using sum(energy_tj) group by yr),
+valued as (
+  select yr, bus, count(*) as priced_days, avg(price_mean) as usd,
+    (select any_value("Total") from power where power.yr = o_price.yr) * 1e6 / 3600 as mwh,
+    (select any_value("Concentradora") from power where power.yr = o_price.yr) * 1e6 / 3600 as mill_mwh,
+    (select any_value(total_kt) from o_totals where o_totals.yr = o_price.yr) * 1000 as t
+  from o_price where yr in (select yr from power) and yr in (select yr from o_totals)
+  group by yr, bus having count(*) > 329)
+select yr, bus, priced_days, round(usd, 2) as price, round(mwh, 0) as electricity_mwh, round(mwh * usd / 1e6, 1) as cost_musd,
+  round(mill_mwh * usd / 1e6, 1) as mill_cost_musd, round(mwh * usd / nullif(t, 0), 1) as cost_usd_per_t
+from valued
 """
 VIEWS["o_cells"] = r"""
 select sheet, row_num, label, c1, c2, c3, replace(label, chr(160), ' ') as plain,
