@@ -17,6 +17,7 @@ TABLES = {
     "raw_safety": "raw_safety_incidents",
     "raw_yearbook": "raw_cochilco_anuario",
     "raw_daily_price": "raw_cen_cmg_diario",
+    "raw_hourly_price": "cen_cmg_hourly",
     "equipment": "dim_equipos_caex",
     "stg_telemetry": "stg_flotation",
     "stg_maintenance": "stg_maintenance",
@@ -167,6 +168,7 @@ EXCEPTIONS = {
         "price_usc_lb": "precio_lme_usc_lb",
     },
     "yb_energy": {"energy_tj": "energia_tj"},
+    "raw_hourly_price": {"day": "date", "hour": "hour", "bus": "bar", "price": "cmg_usd_mwh"},
 }
 
 

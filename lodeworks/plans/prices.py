@@ -15,11 +15,12 @@ MIN_PRICED_DAYS = 330
 def daily_summary(hourly: DataFrame) -> DataFrame:
     """One row per (day, bus): means of the day, of the solar and of the night hours, and the hours seen.
 
-    Values below zero are noise around a free hour and count as 0. An hour without price counts as seen.
+    Values below zero are noise around a free hour and count as 0. An hour without price counts as seen. Hours
+    without a day or a bus belong to no row.
     """
     h = local_hour(F.col("hour"))
     price = clip_lower(F.col("price"), 0.0)
-    return hourly.groupBy("day", "bus").agg(
+    return hourly.where("day is not null and bus is not null").groupBy("day", "bus").agg(
         round_half_even(F.avg(price), 2).alias("price_mean"),
         round_half_even(avg_where(price, h.isin(SOLAR_HOURS)), 2).alias("price_solar"),
         round_half_even(avg_where(price, h.isin(NIGHT_HOURS)), 2).alias("price_night"),

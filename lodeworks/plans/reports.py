@@ -71,8 +71,9 @@ def kpi_cards(kpis: DataFrame) -> DataFrame:
 
 
 def daily_trend(kpis: DataFrame) -> DataFrame:
+    """Means of each day; shifts without a day are in none."""
     measures = ["availability_pct", "oee_pct", "performance_pct", "quality_pct", "recovery_pct"]
-    return kpis.groupBy("day").agg(*[F.avg(c).alias(c) for c in measures])
+    return kpis.where("day is not null").groupBy("day").agg(*[F.avg(c).alias(c) for c in measures])
 
 
 def clean_or_incident():

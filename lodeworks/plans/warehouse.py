@@ -27,7 +27,8 @@ WRITTEN: dict[str, dict[str, list[str]]] = {
 def build(raw: Mapping[str, DataFrame], folder: str | None = None, min_days: int = prices.MIN_PRICED_DAYS) -> dict[str, DataFrame]:
     """Every table by name.
 
-    ``raw`` has raw_telemetry, raw_maintenance, raw_safety, equipment, raw_yearbook and raw_daily_price.
+    ``raw`` has raw_telemetry, raw_maintenance, raw_safety, equipment, and raw_yearbook or raw_sheets (sheet rows of
+    the published workbook), and raw_daily_price or raw_hourly_price.
     With ``folder`` the marts, and the two tables that several marts read, are written there as Parquet
     and read back, so later tables neither recompute them nor depend on executors that are lost.
     """
@@ -47,7 +48,8 @@ def build(raw: Mapping[str, DataFrame], folder: str | None = None, min_days: int
     add("failure_features", features.failure_features(performance))
     add("process_features", features.process_features(telemetry))
 
-    stage = add("stg_yearbook", yearbook.staged(raw["raw_yearbook"]))
+    long = raw["raw_yearbook"] if "raw_yearbook" in raw else yearbook.from_workbook(raw["raw_sheets"])
+    stage = add("stg_yearbook", yearbook.staged(long))
     mines = add("yb_producers", yearbook.producers(stage))
     published = add("yb_totals", yearbook.totals(stage))
     add("yb_grades", yearbook.grades(stage))
@@ -60,7 +62,8 @@ def build(raw: Mapping[str, DataFrame], folder: str | None = None, min_days: int
     add("producer_year", yearbook.producer_year(mines, published, index))
     add("sector_year", yearbook.sector_year(stage))
 
-    price = add("stg_price", prices.staged(raw["raw_daily_price"]))
+    daily = raw["raw_daily_price"] if "raw_daily_price" in raw else prices.daily_summary(raw["raw_hourly_price"])
+    price = add("stg_price", prices.staged(daily))
     add("price_monthly", prices.monthly(price))
     add("energy_cost_year", prices.energy_cost_year(price, energy, published, min_days))
     return tables

@@ -13,6 +13,7 @@ from lodeworks.functions.labels import classify, max_where, recode, sum_where, z
 from lodeworks.functions.numeric import mj_to_kwh, pct_share, round_half_up
 from lodeworks.operators.blocks import BLOCK_ROWS, fill_forward
 from lodeworks.operators.shape import pivot_max
+from lodeworks.operators.sheets import parse_sheets
 
 # The yearbook's tabs, their units, and the labels the topics are read by.
 UNITS = {
@@ -54,6 +55,20 @@ COPPER_GROUP = "COBRE REFINADO"
 EXCHANGES = {"Bolsa de Metales de Londres": "LME", "Bolsa de Metales de Shanghai": "SHFE"}
 
 
+def from_workbook(rows: DataFrame) -> DataFrame:
+    """The long table from sheet rows of the published workbook, whose sheet of tab 2.3 is called "Tabla 2.3".
+
+    Other sheets are left out. A tab without its sheet, or a sheet without a header row, is an error.
+    """
+    sheet = {f"Tabla {tab}": tab for tab in UNITS}
+    wanted = rows.where(F.col("sheet").isin(list(sheet)))
+    present = {r["sheet"] for r in wanted.select("sheet").distinct().collect()}  # as many as there are tabs, at most
+    if len(present) < len(sheet):
+        raise ValueError(f"sheets that are missing: {', '.join(sorted(sheet.keys() - present))}")
+    long = parse_sheets(wanted, {name: UNITS[tab] for name, tab in sheet.items()}, strict=True)
+    return long.withColumn("tab", F.regexp_replace("tab", "^Tabla ", ""))
+
+
 def staged(raw: DataFrame) -> DataFrame:
     """The long table with its types; a 0 in the index tabs means "not published"."""
     value = F.col("value").cast("double")

@@ -55,4 +55,5 @@ RAW = {
     "equipment": EQUIPMENT,
     "raw_yearbook": YEARBOOK,
     "raw_daily_price": DAILY_PRICE,
+    "raw_hourly_price": HOURLY_PRICE,
 }

@@ -65,8 +65,14 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 
 
 def read_raw(spark: SparkSession, path: str, table: str, file_format: str = "parquet") -> DataFrame:
-    """A raw table stored under its published column names, typed, with the package's names."""
+    """A raw table stored under its published column names, with the package's names and types.
+
+    A value that its declared type cannot hold is an error, as is a column that is missing.
+    """
     schema = RAW[table]
-    stored = StructType([StructField(published_name(table, f.name), f.dataType) for f in schema])
-    df = read_csv(spark, path, stored) if file_format == "csv" else read_parquet(spark, path, stored)
-    return internal(df, table, schema.names)
+    if file_format == "csv":
+        stored = StructType([StructField(published_name(table, f.name), f.dataType) for f in schema])
+        return internal(read_csv(spark, path, stored), table, schema.names)
+    # Parquet states its own types: published tables hold 64-bit integers and days as timestamps, which are cast here
+    df = internal(read_parquet(spark, path), table, schema.names)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

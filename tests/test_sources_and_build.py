@@ -3,9 +3,10 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodeworks import names, schemas
-from lodeworks.plans import checks, warehouse
+from lodeworks.plans import checks, prices, warehouse, yearbook
 from lodeworks.session import scratch_folder
 from lodeworks.sources import tables
 
@@ -104,3 +105,39 @@ def test_views_are_reachable_by_name(spark):
     assert spark.sql("select count(*) n from failure_features where fails_next_shift is null").first()["n"] == 3
     for name in built:
         spark.catalog.dropTempView(name)
+
+
+def test_raw_tables_are_read_with_the_types_they_are_stored_with(spark, tmp_path):
+    """Published Parquet has 64-bit integers and days as timestamps."""
+    raw = raw_tables(spark)
+    for table, wide in (("raw_yearbook", {"ord": "bigint", "lvl": "bigint", "yr": "bigint"}), ("raw_daily_price", {"day": "timestamp"})):
+        stored = names.published(raw[table].withColumns({c: F.col(c).cast(t) for c, t in wide.items()}), table)
+        stored.write.parquet(f"{tmp_path}/{table}")
+        got = tables.read_raw(spark, f"{tmp_path}/{table}", table)
+        assert got.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.RAW[table]]
+        assert sorted(got.collect(), key=str) == sorted(raw[table].select(got.columns).collect(), key=str)
+
+
+def test_hours_without_a_day_or_a_bus_are_in_no_row(spark, tmp_path):
+    hours = spark.createDataFrame(
+        [(date(2024, 1, 1), 1, "Crucero", 5.0), (None, 2, "Crucero", 5.0), (date(2024, 1, 1), 3, None, 5.0)], schemas.HOURLY_PRICE
+    )
+    names.published(hours, "raw_hourly_price").write.parquet(f"{tmp_path}/hours")
+    read = tables.read_raw(spark, f"{tmp_path}/hours", "raw_hourly_price")
+    assert [(r["day"], r["bus"], r["hours"]) for r in prices.daily_summary(read).collect()] == [(date(2024, 1, 1), "Crucero", 1)]
+    raw = raw_tables(spark)
+    raw["raw_hourly_price"] = read
+    del raw["raw_daily_price"]
+    assert warehouse.build(raw)["stg_price"].count() == 1
+
+
+def test_workbook_sheets_become_the_yearbook(spark):
+    lines = [([(None, "Year")] + [(float(y), str(y)) for y in (2001, 2002, 2003)]), [(None, "TOTAL PRODUCCIÓN"), (1.5, "1.5"), (2.0, "2"), (None, "n.d.")]]
+    rows = [(f"Tabla {tab}", i, cells) for tab in yearbook.UNITS for i, cells in enumerate(lines, start=1)] + [("Indice", 1, [(None, "x")])]
+    df = spark.createDataFrame(rows, schemas.SHEET_ROWS)
+    long = yearbook.from_workbook(df)
+    got = {(r["tab"], r["yr"]): (r["value"], r["unit"]) for r in long.collect()}
+    assert got == {(t, y): (v, u) for t, u in yearbook.UNITS.items() for y, v in ((2001, 1.5), (2002, 2.0), (2003, None))}
+    assert yearbook.totals(yearbook.staged(long)).where("yr = 2002").first()["total_kt"] == 2.0
+    with pytest.raises(ValueError, match=r"missing: Tabla 2\.4"):
+        yearbook.from_workbook(df.where("sheet != 'Tabla 2.4'"))

@@ -92,7 +92,7 @@ VIEWS["o_daily"] = """
 select day, bus, round_even(avg(p) * 100, 0) / 100 as price_mean,
   round_even(avg(p) filter (where h >= 10 and h <= 16) * 100, 0) / 100 as price_solar,
   round_even(avg(p) filter (where h >= 20 or h < 7) * 100, 0) / 100 as price_night, count(*) as hours
-from (select day, bus, hour - 1 as h, case when price < 0 then 0 else price end as p from fx_hourly) group by day, bus
+from (select day, bus, hour - 1 as h, case when price < 0 then 0 else price end as p from fx_hourly) where day is not null and bus is not null group by day, bus
 """
 VIEWS["o_price"] = """
 select day, cast(year(day) as integer) as yr, cast(month(day) as integer) as mon, bus,

@@ -53,6 +53,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
+        self._yearbook: DataFrame | None = None
 
     def fx(self, name: str) -> DataFrame:
         return table(self.spark, self.sf, name)
@@ -90,31 +91,31 @@ class Inputs:
     def yearbook(self) -> DataFrame:
         return yearbook.staged(self.fx("fx_yearbook"))
 
-    def topic(self, part: str) -> DataFrame:
-        """The staged yearbook of one topic's tabs only."""
-        raw = self.fx(part).withColumn("unit", F.lit(None).cast("string"))
-        return yearbook.staged(raw)
+    def topic(self) -> DataFrame:
+        """The whole staged yearbook, written by tab; a topic's own filter chooses its files."""
+        if self._yearbook is None:
+            self._yearbook = self.written_yearbook()
+        return self._yearbook
 
     def producers(self) -> DataFrame:
-        return yearbook.producers(self.topic("fx_yb_output"))
+        return yearbook.producers(self.topic())
 
     def totals(self) -> DataFrame:
-        return yearbook.totals(self.topic("fx_yb_output"))
+        return yearbook.totals(self.topic())
 
     def energy(self) -> DataFrame:
-        return yearbook.energy(self.topic("fx_yb_energy"))
+        return yearbook.energy(self.topic())
 
     def producer_year(self) -> DataFrame:
-        output = self.topic("fx_yb_output")
-        index = yearbook.indices(self.topic("fx_yb_index"))
-        return yearbook.producer_year(yearbook.producers(output), yearbook.totals(output), index)
+        stage = self.topic()
+        return yearbook.producer_year(yearbook.producers(stage), yearbook.totals(stage), yearbook.indices(stage))
 
     def written_yearbook(self) -> DataFrame:
         """The staged yearbook as a build leaves it: files split by tab."""
         return files.write_table(self.yearbook(), scratch_folder(self.spark, "stg_yearbook"), ["tab"])
 
     def sector(self) -> DataFrame:
-        return yearbook.sector_year(self.written_yearbook())
+        return yearbook.sector_year(self.topic())
 
     def energy_cost(self) -> DataFrame:
         return prices.energy_cost_year(self.price(), self.energy(), self.totals())
@@ -199,12 +200,12 @@ def yb_totals(spark, sf):
 
 @query
 def yb_pivot_grade(spark, sf):
-    return yearbook.grades(Inputs(spark, sf).topic("fx_yb_grade"))
+    return yearbook.grades(Inputs(spark, sf).topic())
 
 
 @query
 def yb_pivot_index(spark, sf):
-    return yearbook.indices(Inputs(spark, sf).topic("fx_yb_index"))
+    return yearbook.indices(Inputs(spark, sf).topic())
 
 
 @query
@@ -214,18 +215,18 @@ def yb_energy(spark, sf):
 
 @query
 def yb_pivot_intensity(spark, sf):
-    return yearbook.intensity(Inputs(spark, sf).topic("fx_yb_intensity"))
+    return yearbook.intensity(Inputs(spark, sf).topic())
 
 
 @query
 def yb_section_fill(spark, sf):
     """Water use by section; blocks of four rows, so that sections are carried across blocks."""
-    return yearbook.water(Inputs(spark, sf).topic("fx_yb_water"), block_rows=4)
+    return yearbook.water(Inputs(spark, sf).topic(), block_rows=4)
 
 
 @query
 def yb_pivot_price(spark, sf):
-    return yearbook.metal_prices(Inputs(spark, sf).topic("fx_yb_price"))
+    return yearbook.metal_prices(Inputs(spark, sf).topic())
 
 
 # -- scalar functions -------------------------------------------------------------------------------
