@@ -17,7 +17,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,34 +105,36 @@ def pieces(
     first piece has what is over a multiple of it, and all others are full. Equal rows give equal pieces.
     The tokenizer file is read on the executors, so ``path`` must exist there.
     """
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
+    names = ["piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    columns = [("doc_id", pa.int64()), *zip(names, types)]
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def batch_of(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+        at, *values = (list(c) for c in zip(*rows, strict=True))
+        arrays = [ids.take(pa.array(at)), *[pa.array(v, t) for v, t in zip(values, types, strict=False)]]
+        return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(columns))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, tail = Encoder(path), np.uint32(end).astype("<u4").tobytes()
         for batch in batches:
-            rows = []
-            for ident, body in zip(batch["doc_id"], batch["text"], strict=True):
-                data = encode(body or "") + tail
+            rows: list[tuple] = []
+            for at, body in enumerate(batch.column(1)):
+                data = encode(body.as_py() or "") + tail
                 n = len(data) // 4
                 first = n % length or length
                 edges = [0, *range(first, n + 1, length)] if n > length else [0, n]
-                for k in range(len(edges) - 1):
-                    part = data[4 * edges[k] : 4 * edges[k + 1]]
-                    made = (ident, k, edges[k], edges[k + 1] - edges[k], zlib.crc32(part))
-                    rows.append((*made, np.frombuffer(part, "<u4")) if keep_ids else made)
-                if len(rows) >= 20_000 or (keep_ids and n > 1_000_000):
-                    yield _frame(rows, keep_ids)
+                for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
+                    part = data[4 * a : 4 * b]
+                    made = (at, k, a, b - a, zlib.crc32(part))
+                    rows.append((*made, np.frombuffer(part, "<i4")) if keep_ids else made)
+                if len(rows) >= (2_000 if keep_ids else 20_000):
+                    yield batch_of(batch.column(0), rows)
                     rows = []
             if rows:
-                yield _frame(rows, keep_ids)
+                yield batch_of(batch.column(0), rows)
 
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return source.mapInPandas(cut, schema)
-
-
-def _frame(rows: list, keep_ids: bool) -> pd.DataFrame:
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
-    return pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+    return source.mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids)
 
 
 def place(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -179,13 +181,16 @@ def pack(cut: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("order"), F.lit(groups)))
     columns = cut.columns
 
-    def packed(pieces: pd.DataFrame) -> pd.DataFrame:
-        pieces = pieces.sort_values(["length", "order"], ascending=[False, True])
-        number, offset = place(pieces["length"].to_numpy(), length)
-        return pieces[columns].assign(sequence_id=pieces["part"] * (1 << 32) + number, offset=offset)
+    def packed(pieces: pa.Table) -> pa.Table:
+        lengths = pieces["length"].to_numpy()
+        at = np.lexsort((pieces["order"].to_numpy(), -lengths))
+        number, offset = place(lengths[at], length)
+        out = pieces.select(columns).take(pa.array(at))
+        out = out.append_column("sequence_id", pa.array((pieces["part"][0].as_py() << 32) + number))
+        return out.append_column("offset", pa.array(offset))
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema) + ", sequence_id long, offset long"
-    return dealt.groupBy("part").applyInPandas(packed, schema)
+    return dealt.groupBy("part").applyInArrow(packed, schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

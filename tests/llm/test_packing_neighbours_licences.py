@@ -74,6 +74,11 @@ def test_odd_rows_tile_and_fill(odd, tokenizer):
     assert sum(len(r["ids"]) for r in sequences) == total and all(len(r["ids"]) <= 64 for r in sequences)
 
 
+def test_large_ids_beside_null_ids(documents, tokenizer):
+    docs = [(None, "a"), ((1 << 62) + 1, "b c"), ((1 << 53) + 1, None)]
+    checked(packing.pack(packing.pieces(documents(docs), PATH, keep_ids=False)), docs, tokenizer, 1024)
+
+
 def test_whole_query(spark, tokenizer):
     sf = "/root/testdata/sf0.001"
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
