@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,16 +27,21 @@ def local_session(cpus: int | str = "*", app: str = "lodeworks", memory: str = "
     return spark
 
 
+@cache
+def own_folder() -> str:
+    """A folder of this process, for local masters only."""
+    return tempfile.mkdtemp(prefix="lodeworks-")
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new sub-folder of the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir``. Only a local master may fall back to a folder of its own:
-    executors on other machines would not see it.
+    Reads ``spark.checkpoint.dir`` and changes no setting. Only a local master may fall back to a folder of its
+    own: executors on other machines would not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lodeworks-"))
-        root = spark.sparkContext.getCheckpointDir()
+        root = own_folder()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

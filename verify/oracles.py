@@ -449,9 +449,9 @@ _TEXTS: dict[str, str] = {
     "dq_relationships": f"""select truck, count(*) as n_rows from {_STAGED_MAINTENANCE} m where cycles > 10
         and not exists (select 1 from fx_equipment e where e.truck = m.truck) group by truck""",
     "dq_negative": "select day, hour, bus, price from fx_hourly where price < 0",
-    "dq_negative_hours": "select truck, day, shift, oper_h from o_perf where oper_h < 0",
+    "dq_negative_hours": "select truck, day, shift, oper_h - 5 as oper_h from o_perf where oper_h < 5",
     "dq_bounds": "select day, shift, site, recovery_pct from o_kpis where recovery_pct not between 0 and 100",
-    "dq_kpi_grain": "select day, shift, site, count(*) as n_rows from o_kpis group by all having count(*) > 1",
+    "dq_kpi_grain": "select day, shift, site, count(*) + 1 as n_rows from o_kpis where incidents > 0 group by all",
     "dq_reconcile_rel": """select p.yr, p.source, p.s as part_sum, t.energy_tj as published
       from (select yr, source, sum(energy_tj) as s from o_energy where process <> 'Total' group by all) p
         join o_energy t on t.process = 'Total' and t.yr = p.yr and t.source = p.source

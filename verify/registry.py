@@ -485,7 +485,8 @@ def dq_negative(spark, sf):
 
 @query
 def dq_negative_hours(spark, sf):
-    return checks.negative_hours(Inputs(spark, sf).performance())
+    """Hours from which five are taken, so that short shifts turn negative."""
+    return checks.negative_hours(Inputs(spark, sf).performance().withColumn("oper_h", F.col("oper_h") - 5))
 
 
 @query
@@ -495,7 +496,9 @@ def dq_bounds(spark, sf):
 
 @query
 def dq_kpi_grain(spark, sf):
-    return quality.duplicates(Inputs(spark, sf).kpis(), operations.GRAIN)
+    """Grain of a table in which the shifts with incidents are there twice."""
+    kpis = Inputs(spark, sf).kpis()
+    return quality.duplicates(kpis.unionByName(kpis.where("incidents > 0")), operations.GRAIN)
 
 
 @query
