@@ -133,27 +133,59 @@ class Check:
 def run_suite(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """(tbl, test, col, n_bad) for every check.
 
-    All row rules of a table are counted in one pass over it. n_bad counts rows for row rules, and key
-    values for uniqueness and relationships. Key checks need a shuffle each.
+    n_bad counts rows for row rules, and key values for uniqueness and relationships. All row rules of a table are
+    counted in one pass over it. All key checks of all tables take one more pass over each table and share one
+    shuffle, of (check, key) counts that are combined per task before.
     """
     by_table: dict[str, list[Check]] = {}
     for check in checks:
         by_table.setdefault(check.table, []).append(check)
     parts: list[DataFrame] = []
     for name, group in by_table.items():
-        df = tables[name]
-        rules = [(c, c.row_rule()) for c in group]
-        counted = [(c, r) for c, r in rules if r is not None]
+        counted = [(c, r) for c in group if (r := c.row_rule()) is not None]
         if counted:
-            one = df.agg(*[F.count_if(r).alias(str(i)) for i, (_, r) in enumerate(counted)])
-            lines = [_line(c, F.col(str(i))) for i, (c, _) in enumerate(counted)]
-            parts.append(one.select(F.inline(F.array(*lines))))
-        for check in (c for c, r in rules if r is None):
-            bad = _key_violations(tables, df, check)
-            parts.append(bad.agg(F.count("*").alias("n")).select(F.inline(F.array(_line(check, F.col("n"))))))
+            one = tables[name].agg(*[F.count_if(r).alias(str(i)) for i, (_, r) in enumerate(counted)])
+            parts.append(one.select(F.inline(F.array(*[_line(c, F.col(str(i))) for i, (c, _) in enumerate(counted)]))))
+    keyed = [c for c in checks if c.row_rule() is None]
+    if keyed:
+        parts.append(_key_counts(tables, keyed))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _key_counts(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """The lines of all key checks. A key is the JSON text of its values, so keys of all types lie in one column."""
+    of_table: dict[str, list[Column]] = {}
+
+    def add(table: str, number: int, columns: Sequence[str], known: bool, counts: Column) -> None:
+        key = F.to_json(F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(columns)]))
+        # without a key the entry only says that the check is there, also for an empty group
+        entry = F.struct(F.lit(number).alias("check"), F.when(counts, key).alias("key"), F.lit(known).alias("known"))
+        of_table.setdefault(table, []).append(entry)
+
+    for number, check in enumerate(checks):
+        present = F.col(check.columns[0]).isNotNull()
+        if check.kind == "unique_combination":
+            add(check.table, number, check.columns, False, F.lit(True))
+        elif check.kind == "unique":
+            add(check.table, number, check.columns, False, present)
+        elif check.kind == "relationships":
+            where = check.args.get("where")
+            add(check.table, number, check.columns, False, present & F.coalesce(F.expr(where), F.lit(False)) if where else present)
+            add(check.args["to"], number, [check.args["field"]], True, F.col(check.args["field"]).isNotNull())
+        else:
+            raise ValueError(f"unknown check kind {check.kind!r}")
+    session = next(iter(tables.values())).sparkSession
+    every = session.range(len(checks)).select(F.col("id").cast("int").alias("check"), F.lit(None).cast("string").alias("key"), F.lit(False).alias("known"))
+    entries = [tables[t].select(F.inline(F.array(*e))).where(F.col("key").isNotNull()) for t, e in of_table.items()]
+    keys = reduce(DataFrame.unionByName, entries, every).groupBy("check", "key")
+    counted = keys.agg(F.count_if(~F.col("known")).alias("n"), F.bool_or("known").alias("known"))
+    related = F.col("check").isin([i for i, c in enumerate(checks) if c.kind == "relationships"])
+    broken = F.col("key").isNotNull() & F.when(related, (F.col("n") > 0) & ~F.col("known")).otherwise(F.col("n") > 1)
+    found = counted.groupBy("check").agg(F.count_if(broken).alias("n_bad"))
+    lines = F.array(*[_line(c, F.lit(0)) for c in checks])
+    return found.select(F.get(lines, F.col("check")).alias("line"), "n_bad").select("line.tbl", "line.test", "line.col", F.col("n_bad").cast("bigint"))
+
+
 def _line(check: Check, n: Column) -> Column:
     return F.struct(
         F.lit(check.table).alias("tbl"),
@@ -163,18 +195,6 @@ def _line(check: Check, n: Column) -> Column:
     )
 
 
-def _key_violations(tables: Mapping[str, DataFrame], df: DataFrame, check: Check) -> DataFrame:
-    if check.kind == "unique":
-        return unique(df, check.columns[0])
-    if check.kind == "unique_combination":
-        return unique_combination(df, check.columns)
-    if check.kind == "relationships":
-        parent = tables[check.args["to"]]
-        where = check.args.get("where")
-        return relationships(df, parent, check.columns[0], check.args["field"], F.expr(where) if where else None)
-    raise ValueError(f"unknown check kind {check.kind!r}")
-
-
 # -- schema contract ----------------------------------------------------------------------------
 
 
