@@ -4,9 +4,10 @@ A document is its set of word shingles, as 64-bit hashes. Equal sets are one cla
 copies are one row afterwards. The top bits of a hash are its bin and each bin keeps its smallest hash; an empty bin
 takes the value of the first full bin in a random order that is the same for all documents. Bins in bands give bucket
 keys. In a bucket only edges between a centre and the other members are candidates, and an edge is a link if the full sets
-are similar enough. A centre is then done in its bucket; buckets whose members do not yet lie in one component
-take further centres, until every pair of a bucket is compared or in one component. So no link between members of a
-bucket is lost, and each round's edges are linear in the members.
+are similar enough. That leaves members which are not like their centre. Each is compared with those of the bucket in
+other components, unless their sketches differ too much, or their intersections with the centre show that they cannot
+be similar enough: two sets share no more than the smaller part inside the centre and the smaller part outside. So no
+link between members of a bucket is lost, and a large group around its centre does not become all its pairs.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .hashing import BASE, mixed, sequences, word_slices
 from .shared import written
@@ -26,8 +28,8 @@ BINS = 256
 #: Bins in a band. Sets of similarity 0.8 share a band with probability 0.26, and miss all 42 with 3 in a million.
 ROWS = 6
 BANDS = BINS // ROWS
-#: Centres that a bucket takes in each round after the first.
-CENTRES = 8
+#: Standard deviations by which an estimate from sketches may fall short of the threshold.
+DOUBT = 6.0
 
 
 def shingle_sets(texts: pa.Array, width: int, lower: bool) -> Iterator[np.ndarray]:
@@ -76,10 +78,22 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return mixed(keys + np.arange(BANDS, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
+def one_bit(values: np.ndarray) -> np.ndarray:
+    """One bit of every bin, packed: bins that agree have it equal, others in half of the cases."""
+    return np.packbits((values & np.uint64(1)).astype(np.uint8), axis=1).view(np.uint64)
+
+
+def _lists(values: np.ndarray, at: np.ndarray, n: int) -> pa.ListArray:
+    """``n`` lists: row i of ``values`` at place ``at[i]``, the others empty."""
+    counts = np.zeros(n + 1, dtype=np.int32)
+    counts[at + 1] = values.shape[1]
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(values.reshape(-1)))
+
+
 def _sketched(width: int, lower: bool):
     """Arrow function: doc_id and text to doc_id, n, a 128-bit address of the set, and the bands of sets that need any."""
     # only an equal set is similar enough to one of under four shingles, if the threshold is over 3 / 4
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,11 +103,9 @@ def _sketched(width: int, lower: bool):
                 a = np.array([np.bitwise_xor.reduce(mixed(s)) for s in part], dtype=np.uint64)
                 b = np.array([mixed(s ^ BASE).sum(dtype=np.uint64) for s in part], dtype=np.uint64)
                 large = np.flatnonzero(n >= 4)
-                keys = band_keys(one_permutation([part[i] for i in large]))
-                counts = np.zeros(len(part) + 1, dtype=np.int32)
-                counts[large + 1] = BANDS
-                bands = pa.ListArray.from_arrays(pa.array(np.cumsum(counts, dtype=np.int32)), pa.array(keys.reshape(-1).view(np.int64)))
-                columns = [ids.slice(start, len(part)), pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), bands]
+                values = one_permutation([part[i] for i in large])
+                lists = [_lists(x.view(np.int64), large, len(part)) for x in (band_keys(values), one_bit(values))]
+                columns = [ids.slice(start, len(part)), pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *lists]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
                 start += len(part)
 
@@ -128,20 +140,15 @@ def _with_sets(width: int, lower: bool):
     return run
 
 
-def similar(percent: int):
-    """Arrow function of two sets' bytes: is 100 * intersection at least ``percent`` * union?"""
-
-    @F.pandas_udf("boolean")
-    def check(left: pd.Series, right: pd.Series) -> pd.Series:
-        out = np.zeros(len(left), dtype=bool)
-        for i, (x, y) in enumerate(zip(left, right, strict=True)):
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            at = np.searchsorted(a, b)
-            shared = int((a[np.minimum(at, len(a) - 1)] == b).sum())
-            out[i] = 100 * shared >= percent * (len(a) + len(b) - shared)
-        return pd.Series(out)
-
-    return check
+@F.pandas_udf(T.LongType())
+def in_common(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Size of the intersection of two sets, given as the bytes of their sorted hashes."""
+    out = np.zeros(len(left), dtype=np.int64)
+    for i, (x, y) in enumerate(zip(left, right, strict=True)):
+        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        at = np.searchsorted(a, b)
+        out[i] = (a[np.minimum(at, len(a) - 1)] == b).sum()
+    return pd.Series(out)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -177,18 +184,18 @@ def duplicates(
     An empty table stays empty.
     """
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    schema = "doc_id long, n long, set_a long, set_b long, bands array<long>"
+    schema = "doc_id long, n long, set_a long, set_b long, bands array<long>, bits array<long>"
     sketches = written(source.mapInArrow(_sketched(width, lower), schema), "sketches")
-    classes = sketches.where("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"))
+    classes = sketches.where("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("bits").alias("bits"))
     nodes = written(classes.where("node is not null"), "classes")
     keyed = nodes.select("node", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("node", "n")).alias("centre"))
     members = written(keyed.join(shared.where("members > 1").drop("members"), "key"), "buckets")
-    own = sketches.join(nodes.drop("bands"), ["set_a", "set_b", "n"], "left").select("doc_id", "n", "node")
+    own = sketches.join(nodes.drop("bands", "bits"), ["set_a", "set_b", "n"], "left").select("doc_id", "n", "node")
     # rows of one id are one document, whichever sets they have
     several = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("doc_id is not null and a < z")
     same = own.join(several.drop("z"), "doc_id").where("node != a").select("a", F.col("node").alias("b")).distinct()
-    found = components(_linked(source, members, same, width, percent, lower))
+    found = components(_linked(source, members, nodes.select("node", "bits"), same, width, percent, lower))
     component = F.coalesce("component", "node", F.when(F.col("n") == 0, F.col("doc_id")))
     return own.join(found, "node", "left").select(
         "doc_id",
@@ -198,32 +205,48 @@ def duplicates(
     )
 
 
-def _linked(source: DataFrame, members: DataFrame, links: DataFrame, width: int, percent: int, lower: bool) -> DataFrame:
-    """``links`` and all links (a, b) between members of a bucket, but for some within components."""
+def _linked(source: DataFrame, members: DataFrame, sketches: DataFrame, links: DataFrame, width: int, percent: int, lower: bool) -> DataFrame:
+    """``links`` and links (a, b) between members of a bucket, all but some within components."""
     nodes = members.select(F.col("node").alias("doc_id")).distinct()
     texts = source.join(nodes, "doc_id", "left_semi").select("doc_id", "text")
     sets = written(texts.mapInArrow(_with_sets(width, lower), "node long, hashes binary"), "sets")
-    near = 100 * F.least("n", "centre.n") >= percent * F.greatest("n", "centre.n")
 
-    def confirmed(candidates: DataFrame) -> DataFrame:
-        ends = (F.least("centre.node", "node").alias("a"), F.greatest("centre.node", "node").alias("b"))
-        pairs = candidates.where(near).select(*ends).where("a != b").distinct()
-        right = pairs.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("right")), "b")
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Distinct pairs (a, b, na, nb) with the size of their intersection."""
+        right = pairs.distinct().join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("right")), "b")
         both = right.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("left")), "a")
-        return both.where(similar(percent)(F.col("left"), F.col("right"))).select("a", "b")
-
-    links = written(links.unionByName(confirmed(members)), "links")
-    rest = members.where("node != centre.node").drop("centre")
-    while True:
-        placed = rest.join(components(links), "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-        split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
-        placed = written(placed.join(split, "key", "left_semi"), "open-buckets")
-        if placed.isEmpty():
-            return links
-        sizes = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("size"))
-        # members of small components first: then a large one need not be gone through
-        first = F.min(F.struct("size", "node", "n", "component")).alias("centre")
-        centres = placed.join(sizes, ["key", "component"]).groupBy("key", F.pmod(F.xxhash64("node"), F.lit(CENTRES)).alias("part")).agg(first)
-        centres = written(centres.drop("part"), "centres")
-        links = written(links.unionByName(confirmed(placed.join(centres, "key").where("component != centre.component"))), "links")
-        rest = placed.drop("component").join(centres.select("key", F.col("centre.node").alias("node")), ["key", "node"], "left_anti")
+        return both.select("a", "b", "na", "nb", in_common("left", "right").alias("common"))
+
+    def near(m, n):
+        return 100 * F.least(m, n) >= percent * F.greatest(m, n)
+
+    alike = (100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))
+    star = members.where("node != centre.node").select(F.col("centre.node").alias("a"), F.col("node").alias("b"), F.col("centre.n").alias("na"), F.col("n").alias("nb"))
+    star = written(compared(star.where(near("na", "nb"))), "star-edges")
+    links = written(links.unionByName(star.where(alike).select("a", "b").distinct()), "links")
+
+    # members of buckets that are not yet in one component, with what they have inside and outside the centre at most
+    inside = star.select(F.col("a").alias("c"), F.col("b").alias("node"), F.col("nb").alias("n"), "common")
+    placed = members.select("key", "node", "n", F.col("centre.node").alias("c"), F.col("centre.n").alias("nc"))
+    placed = placed.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    split = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("key")
+    placed = placed.join(split, "key", "left_semi").join(inside, ["c", "node", "n"], "left")
+    common = F.when(F.col("c") == F.col("node"), F.col("n")).otherwise(F.col("common"))
+    placed = placed.withColumn("inside", F.coalesce(common, F.least("n", "nc"))).withColumn("outside", F.coalesce(F.col("n") - common, F.col("n")))
+    placed = placed.join(sketches, "node")
+    of_centre = placed.where("node = c").select("key", F.col("component").alias("main")).distinct()
+    side = written(placed.join(of_centre, "key").select("key", "node", "n", "component", "main", "inside", "outside", "bits"), "open-buckets")
+
+    x, y = (side.select("key", F.struct(*side.columns[1:]).alias(k)) for k in "xy")
+    n = lambda k: F.col(f"{k}.n")
+    apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
+    bound = F.least("x.inside", "y.inside") + F.least("x.outside", "y.outside")
+    differ = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(BINS // 64)), F.lit(0))
+    # a share j of equal bins makes (1 + j) / 2 equal bits; sets smaller than the bins have that many values only
+    deviation = F.sqrt(percent * (100 - percent) / 1e4 / F.least(n("x"), n("y"), F.lit(BINS)) + (100 - percent) / 100 / BINS)
+    seem = 1 - differ * (2 / BINS) >= percent / 100 - DOUBT * deviation
+    possible = near(n("x"), n("y")) & ((100 + percent) * bound >= percent * (n("x") + n("y"))) & seem
+    rest = x.where("x.component != x.main").join(y, "key").where(apart & possible)
+    ends = F.sort_array(F.array(F.struct("x.node", "x.n"), F.struct("y.node", "y.n")))
+    rest = rest.select(ends[0]["node"].alias("a"), ends[1]["node"].alias("b"), ends[0]["n"].alias("na"), ends[1]["n"].alias("nb"))
+    return links.unionByName(compared(rest).where(alike).select("a", "b"))
