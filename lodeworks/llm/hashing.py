@@ -1,7 +1,7 @@
 """Hashes of all words of many texts at once, on Arrow's buffers.
 
 A word's hash is a polynomial over its bytes modulo 2^64, taken from running sums over the buffer, and then mixed. Work
-is done in slices of a few MB, so memory does not depend on the batch; one longer text is a slice of its own.
+is done in slices of one MB, so memory does not depend on the batch; one longer text is a slice of its own.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: BASE times this is 1 modulo 2^64.
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

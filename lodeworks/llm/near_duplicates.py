@@ -15,11 +15,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .hashing import BASE, mixed, sequences, word_slices
 from .shared import written
@@ -112,7 +110,7 @@ def _sketched(width: int, lower: bool):
     return run
 
 
-def _parts(sets: Iterator[np.ndarray], most: int = 1000, numbers: int = 4_000_000) -> Iterator[list[np.ndarray]]:
+def _parts(sets: Iterator[np.ndarray], most: int = 500, numbers: int = 500_000) -> Iterator[list[np.ndarray]]:
     """Sets in lists of bounded size."""
     part, held = [], 0
     for s in sets:
@@ -140,15 +138,18 @@ def _with_sets(width: int, lower: bool):
     return run
 
 
-@F.pandas_udf(T.LongType())
-def in_common(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Size of the intersection of two sets, given as the bytes of their sorted hashes."""
-    out = np.zeros(len(left), dtype=np.int64)
-    for i, (x, y) in enumerate(zip(left, right, strict=True)):
-        a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        at = np.searchsorted(a, b)
-        out[i] = (a[np.minimum(at, len(a) - 1)] == b).sum()
-    return pd.Series(out)
+PAIRS = "a long, b long, na long, nb long, common long"
+
+
+def _in_common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a, b, na, nb and the bytes of two sets to the size of the intersection, read in place from Arrow's buffers."""
+    for batch in batches:
+        out = np.zeros(batch.num_rows, dtype=np.int64)
+        for i in range(batch.num_rows):
+            x, y = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint64) for k in (4, 5))
+            at = np.searchsorted(x, y)
+            out[i] = (x[np.minimum(at, len(x) - 1)] == y).sum()
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(out)], names=["a", "b", "na", "nb", "common"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -215,7 +216,7 @@ def _linked(source: DataFrame, members: DataFrame, sketches: DataFrame, links: D
         """Distinct pairs (a, b, na, nb) with the size of their intersection."""
         right = pairs.distinct().join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("right")), "b")
         both = right.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("left")), "a")
-        return both.select("a", "b", "na", "nb", in_common("left", "right").alias("common"))
+        return both.select("a", "b", "na", "nb", "left", "right").mapInArrow(_in_common, PAIRS)
 
     def near(m, n):
         return 100 * F.least(m, n) >= percent * F.greatest(m, n)
