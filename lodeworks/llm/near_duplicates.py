@@ -5,9 +5,10 @@ copies are one row afterwards. The top bits of a hash are its bin and each bin k
 takes the value of the first full bin in a random order that is the same for all documents. Bins in bands give bucket
 keys. In a bucket only edges between a centre and the other members are candidates, and an edge is a link if the full sets
 are similar enough. That leaves members which are not like their centre. Each is compared with those of the bucket in
-other components, unless their sketches differ too much, or their intersections with the centre show that they cannot
-be similar enough: two sets share no more than the smaller part inside the centre and the smaller part outside. So no
-link between members of a bucket is lost, and a large group around its centre does not become all its pairs.
+other components, unless their sketches differ too much or counts show that they cannot be similar enough: two sets
+share no more than the smaller part inside the centre and the smaller part outside, and in each cell of the hashes no
+more than the smaller count. So no link between members of a bucket is lost, and a large group around its centre does
+not become all its pairs.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ ROWS = 6
 BANDS = BINS // ROWS
 #: Standard deviations by which an estimate from sketches may fall short of the threshold.
 DOUBT = 6.0
+#: Largest count of a cell.
+CELL_MOST = 32_000
 
 
 def shingle_sets(texts: pa.Array, width: int, lower: bool) -> Iterator[np.ndarray]:
@@ -81,6 +84,14 @@ def one_bit(values: np.ndarray) -> np.ndarray:
     return np.packbits((values & np.uint64(1)).astype(np.uint8), axis=1).view(np.uint64)
 
 
+def cells(sets: list[np.ndarray]) -> np.ndarray:
+    """How many hashes of each set have each value of some bits that bins do not use."""
+    out = np.zeros((len(sets), BINS), dtype=np.int16)
+    for i, hashes in enumerate(sets):
+        out[i] = np.minimum(np.bincount((hashes & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), CELL_MOST)
+    return out
+
+
 def _lists(values: np.ndarray, at: np.ndarray, n: int) -> pa.ListArray:
     """``n`` lists: row i of ``values`` at place ``at[i]``, the others empty."""
     counts = np.zeros(n + 1, dtype=np.int32)
@@ -91,7 +102,7 @@ def _lists(values: np.ndarray, at: np.ndarray, n: int) -> pa.ListArray:
 def _sketched(width: int, lower: bool):
     """Arrow function: doc_id and text to doc_id, n, a 128-bit address of the set, and the bands of sets that need any."""
     # only an equal set is similar enough to one of under four shingles, if the threshold is over 3 / 4
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bands", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64())), ("cells", pa.list_(pa.int16()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,7 +113,8 @@ def _sketched(width: int, lower: bool):
                 b = np.array([mixed(s ^ BASE).sum(dtype=np.uint64) for s in part], dtype=np.uint64)
                 large = np.flatnonzero(n >= 4)
                 values = one_permutation([part[i] for i in large])
-                lists = [_lists(x.view(np.int64), large, len(part)) for x in (band_keys(values), one_bit(values))]
+                filled = cells([part[i] for i in large])
+                lists = [_lists(x, large, len(part)) for x in (band_keys(values).view(np.int64), one_bit(values).view(np.int64), filled)]
                 columns = [ids.slice(start, len(part)), pa.array(n), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *lists]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
                 start += len(part)
@@ -185,18 +197,18 @@ def duplicates(
     An empty table stays empty.
     """
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    schema = "doc_id long, n long, set_a long, set_b long, bands array<long>, bits array<long>"
+    schema = "doc_id long, n long, set_a long, set_b long, bands array<long>, bits array<long>, cells array<short>"
     sketches = written(source.mapInArrow(_sketched(width, lower), schema), "sketches")
-    classes = sketches.where("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("bits").alias("bits"))
+    classes = sketches.where("n > 0").groupBy("set_a", "set_b", "n").agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"), F.any_value("bits").alias("bits"), F.any_value("cells").alias("cells"))
     nodes = written(classes.where("node is not null"), "classes")
     keyed = nodes.select("node", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("node", "n")).alias("centre"))
     members = written(keyed.join(shared.where("members > 1").drop("members"), "key"), "buckets")
-    own = sketches.join(nodes.drop("bands", "bits"), ["set_a", "set_b", "n"], "left").select("doc_id", "n", "node")
+    own = sketches.join(nodes.drop("bands", "bits", "cells"), ["set_a", "set_b", "n"], "left").select("doc_id", "n", "node")
     # rows of one id are one document, whichever sets they have
     several = own.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("doc_id is not null and a < z")
     same = own.join(several.drop("z"), "doc_id").where("node != a").select("a", F.col("node").alias("b")).distinct()
-    found = components(_linked(source, members, nodes.select("node", "bits"), same, width, percent, lower))
+    found = components(_linked(source, members, nodes.select("node", "bits", "cells"), same, width, percent, lower))
     component = F.coalesce("component", "node", F.when(F.col("n") == 0, F.col("doc_id")))
     return own.join(found, "node", "left").select(
         "doc_id",
@@ -236,7 +248,7 @@ def _linked(source: DataFrame, members: DataFrame, sketches: DataFrame, links: D
     placed = placed.withColumn("inside", F.coalesce(common, F.least("n", "nc"))).withColumn("outside", F.coalesce(F.col("n") - common, F.col("n")))
     placed = placed.join(sketches, "node")
     of_centre = placed.where("node = c").select("key", F.col("component").alias("main")).distinct()
-    side = written(placed.join(of_centre, "key").select("key", "node", "n", "component", "main", "inside", "outside", "bits"), "open-buckets")
+    side = written(placed.join(of_centre, "key").select("key", "node", "n", "component", "main", "inside", "outside", "bits", "cells"), "open-buckets")
 
     x, y = (side.select("key", F.struct(*side.columns[1:]).alias(k)) for k in "xy")
     n = lambda k: F.col(f"{k}.n")
@@ -246,7 +258,11 @@ def _linked(source: DataFrame, members: DataFrame, sketches: DataFrame, links: D
     # a share j of equal bins makes (1 + j) / 2 equal bits; sets smaller than the bins have that many values only
     deviation = F.sqrt(percent * (100 - percent) / 1e4 / F.least(n("x"), n("y"), F.lit(BINS)) + (100 - percent) / 100 / BINS)
     seem = 1 - differ * (2 / BINS) >= percent / 100 - DOUBT * deviation
-    possible = near(n("x"), n("y")) & ((100 + percent) * bound >= percent * (n("x") + n("y"))) & seem
+    # two sets share no more of a cell than the one with less has there; a cell too full to count has no bound
+    least = F.zip_with("x.cells", "y.cells", lambda p, q: F.when(F.least(p, q) < CELL_MOST, F.least(p, q).cast("long")).otherwise(F.lit(1 << 40)))
+    by_cell = F.aggregate(least, F.lit(0).cast("long"), lambda acc, k: acc + k)
+    enough = lambda common: (100 + percent) * common >= percent * (n("x") + n("y"))
+    possible = near(n("x"), n("y")) & enough(bound) & seem & enough(by_cell)
     rest = x.where("x.component != x.main").join(y, "key").where(apart & possible)
     ends = F.sort_array(F.array(F.struct("x.node", "x.n"), F.struct("y.node", "y.n")))
     rest = rest.select(ends[0]["node"].alias("a"), ends[1]["node"].alias("b"), ends[0]["n"].alias("na"), ends[1]["n"].alias("nb"))

@@ -78,9 +78,9 @@ def test_a_bucket_with_several_groups_keeps_all_links(spark):
     base = [f"w{i}" for i in range(200)]
     texts = {0: [f"z{i}" for i in range(200)], **{k: [*base[: 200 - k], *[f"c{k}{i}" for i in range(k)]] for k in range(1, 6)}}
     source = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
-    sets = {r["doc_id"]: r for r in source.mapInArrow(nd._sketched(4, True), "doc_id long, n long, a long, b long, bands array<long>, bits array<long>").collect()}
+    sets = {r["doc_id"]: r for r in source.mapInArrow(nd._sketched(4, True), "doc_id long, n long, a long, b long, bands array<long>, bits array<long>, cells array<short>").collect()}
     members = spark.createDataFrame([(7, i, r["n"], (0, 197)) for i, r in sets.items()], "key long, node long, n long, centre struct<node: long, n: long>")
-    sketches = spark.createDataFrame([(i, r["bits"]) for i, r in sets.items()], "node long, bits array<long>")
+    sketches = spark.createDataFrame([(i, r["bits"], r["cells"]) for i, r in sets.items()], "node long, bits array<long>, cells array<short>")
     none = spark.createDataFrame([], "a long, b long")
     links = nd._linked(source, members, sketches, none, 4, 80, True)
     assert {r["node"]: r["component"] for r in nd.components(links).collect()} == {k: 1 for k in range(1, 6)}
