@@ -81,7 +81,8 @@ def op6_ngram_ratio_rules(spark, sf_dir):
     """Target: documents labelled good. Raw corpus: all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
-    marked = docs.join(good.withColumn("trusted", F.lit(True)), "doc_id", "left")
+    # labels grow with the documents: one plan at every size, not a broadcast while they are few
+    marked = docs.join(good.withColumn("trusted", F.lit(True)).hint("merge"), "doc_id", "left")
     model = quality_rules.ratios(marked, F.col("trusted"))
     return quality_rules.judge(docs, model).drop("text")
 
