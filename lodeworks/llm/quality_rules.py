@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import unused, words_of
+from .shared import let, unused, words_of, written
 
 #: Hashed n-grams fall into so many cells; the model is that many numbers, however large the corpora are.
 CELLS = 1 << 14
@@ -24,7 +24,7 @@ SYMBOLS = r"[#*$%&|<>]"
 
 
 def cells_of(words: Column, cells: int = CELLS) -> Column:
-    """Cells of all words and of all pairs of neighbouring words. ``words`` must be a stored column: pairs index it."""
+    """Cells of all words and of all pairs of neighbouring words, which index ``words``: give a column or bind it by ``let``."""
     one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(cells)).cast("int"))
     last = F.size(words) - 1
     pair = lambda i: F.pmod(F.xxhash64(F.get(words, i), F.get(words, i + 1)), F.lit(cells)).cast("int")
@@ -40,7 +40,7 @@ def ratios(docs: DataFrame, trusted: Column, text: str = "text", cells: int = CE
     """
     split = docs.select(F.coalesce(trusted, F.lit(False)).alias("target"), words_of(F.col(f"`{text}`")).alias("words"))
     grams = split.select("target", F.explode(cells_of(F.col("words"), cells)).alias("cell"))
-    counted = grams.groupBy("cell").agg(F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target"))
+    counted = written(grams.groupBy("cell").agg(F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target")), "cells")
     raw_all = counted.agg(F.sum("raw")).scalar()
     target_all = counted.agg(F.sum("target")).scalar()
     p_target = (F.col("target") + smoothing) / (target_all + smoothing * cells)
@@ -57,35 +57,35 @@ def mean_ratio(words: Column, model: list[float]) -> Column:
     return F.when(F.size(words) > 0, total / (2 * F.size(words) - 1))
 
 
-def with_repeated_words(df: DataFrame, words: str, out: str, width: int = 3) -> DataFrame:
-    """Adds the number of words that lie in a window of ``width`` words found twice or more in the text.
+def repeated_words(words: Column, width: int = 3) -> Column:
+    """Number of words that lie in a window of ``width`` words found twice or more in the text.
 
     Windows are compared by 64-bit hashes sorted with their places: neighbours in that order with equal hashes are
-    repeats. Sorting keeps a text of a million words at n log n steps, and only texts with a repeat are sorted. Each
-    step is a column of its own, since an expression that a lambda names is computed anew for every element.
+    repeats. Sorting keeps a text of a million words at n log n steps, and only texts with a repeat are sorted.
     """
-    windows, ordered, places = unused(df.columns, "windows", "ordered", "places")
     size = F.size(words)
     window = lambda i: F.struct(F.xxhash64(*[F.get(words, i + k) for k in range(width)]).alias("h"), i.alias("at"))
-    hashes = F.col(windows)["h"]
-    last = F.size(ordered) - 1
+    windows = F.transform(F.sequence(F.lit(0), F.greatest(size - width, F.lit(0))), window)
 
-    def again(w: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.get(ordered, i - 1)["h"] == w["h"]).otherwise(F.lit(False))
-        after = F.when(i < last, F.get(ordered, i + 1)["h"] == w["h"]).otherwise(F.lit(False))
-        return before | after
+    def places(ordered: Column) -> Column:
+        last = F.size(ordered) - 1
+
+        def again(w: Column, i: Column) -> Column:
+            before = F.when(i > 0, F.get(ordered, i - 1)["h"] == w["h"]).otherwise(F.lit(False))
+            after = F.when(i < last, F.get(ordered, i + 1)["h"] == w["h"]).otherwise(F.lit(False))
+            return before | after
+
+        return F.sort_array(F.transform(F.filter(ordered, again), lambda w: w["at"]))
 
     def cover(acc: Column, at: Column) -> Column:
         return F.struct((acc["n"] + at + width - F.greatest(acc["end"], at)).alias("n"), (at + width).alias("end"))
 
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))  # words covered so far, and where they end
-    return (
-        df.withColumn(windows, F.when(size > width, F.transform(F.sequence(F.lit(0), F.greatest(size - width, F.lit(0))), window)))
-        .withColumn(ordered, F.when(F.size(F.array_distinct(hashes)) < F.size(windows), F.sort_array(windows)))
-        .withColumn(places, F.sort_array(F.transform(F.filter(ordered, again), lambda w: w["at"])))
-        .withColumn(out, F.coalesce(F.aggregate(places, start, cover)["n"], F.lit(0)).cast("long"))
-        .drop(windows, ordered, places)
-    )
+    def covered(found: Column) -> Column:
+        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))  # words covered so far, and where they end
+        counted = F.aggregate(let(F.sort_array(found), places), start, cover)["n"]
+        return F.when(F.size(F.array_distinct(found["h"])) < F.size(found), counted).otherwise(F.lit(0))
+
+    return F.when(size > width, let(windows, covered)).otherwise(F.lit(0)).cast("long")
 
 
 def repeated_lines(text: Column) -> Column:
@@ -102,19 +102,26 @@ def judge(docs: DataFrame, model: list[float], threshold: float = THRESHOLD, tex
     Rows are judged one by one: equal rows get equal verdicts, an empty table stays empty.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "mean_ratio", "kept"]
-    n_words, chars, symbols, dup, repeat, failed, ratio, kept, words = unused(docs.columns, *names, "words")
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    split = docs.withColumn(words, words_of(body))
-    counted = with_repeated_words(split, words, repeat).withColumns(
-        {
-            n_words: F.size(words).cast("long"),
-            chars: F.aggregate(F.col(words), F.lit(0).cast("long"), lambda acc, w: acc + F.length(w)),
-            symbols: F.regexp_count(body, F.lit(SYMBOLS)).cast("long"),
-            dup: repeated_lines(body),
-            ratio: mean_ratio(F.col(words), model),
-        }
-    )
-    ruled = counted.withColumn(failed, (F.col(n_words) < least_words) | (100 * F.col(repeat) > 50 * F.col(n_words)))
-    verdict = ruled.withColumn(kept, ~F.col(failed) & F.coalesce(F.col(ratio) >= threshold, F.lit(False)))
+    facts, *new = unused(docs.columns, "facts", *names)
+
+    def counted(words: Column) -> Column:
+        return F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.aggregate(words, F.lit(0).cast("long"), lambda acc, w: acc + F.length(w)).alias("word_chars"),
+            repeated_words(words).alias("n_repeat_words"),
+            mean_ratio(words, model).alias("mean_ratio"),
+        )
+
+    def ruled(f: Column) -> Column:
+        failed = (f["n_words"] < least_words) | (100 * f["n_repeat_words"] > 50 * f["n_words"])
+        kept = ~failed & F.coalesce(f["mean_ratio"] >= threshold, F.lit(False))
+        return F.struct(*[f[n].alias(n) for n in ("n_words", "word_chars", "n_repeat_words", "mean_ratio")], failed.alias("base_failed"), kept.alias("kept"))
+
+    def judged(body: Column) -> Column:
+        plain = F.struct(F.regexp_count(body, F.lit(SYMBOLS)).cast("long").alias("n_symbols"), repeated_lines(body).alias("n_dup_lines"))
+        return F.struct(plain.alias("plain"), let(let(words_of(body), counted), ruled).alias("ruled"))
+
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return verdict.select(*columns, *[F.col(c) for c in (n_words, chars, symbols, dup, repeat, failed, ratio, kept)])
+    made = docs.withColumn(facts, let(F.coalesce(F.col(f"`{text}`"), F.lit("")), judged))
+    part = {"n_symbols": "plain", "n_dup_lines": "plain"}
+    return made.select(*columns, *[F.col(facts)[part.get(n, "ruled")][n].alias(as_) for n, as_ in zip(names, new, strict=True)])
