@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import uniform, unused
+from .shared import uniform, unused, written
 
 #: A Poisson variable with a larger mean is the sum of independent ones with means of at most this.
 PART = 16.0
@@ -86,7 +86,8 @@ def mix(
     The hot source is not gathered anywhere: counts are combined per task, rates are one row per source, and
     copies are spread by a hash of id and copy number.
     """
-    known = with_distribution(rates(docs, weights, total, source))
+    # written, so that its size is known when the join is planned: few sources are broadcast and texts are not shuffled by source
+    known = written(with_distribution(rates(docs, weights, total, source)), "rates")
     key, n, cdf, parts, rate, order, number = unused(docs.columns, "key", "n", "cdf", "parts", "rate", "order", "number")
     known = known.select(F.col("source").alias(key), F.col("rate").alias(rate), F.col("parts").alias(parts), F.col("cdf").alias(cdf))
     ident = F.col(f"`{doc_id}`")
