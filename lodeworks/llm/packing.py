@@ -27,11 +27,14 @@ LENGTH = 1024
 END = 2
 #: Pieces in a group, on average. Each group leaves a few sequences unfilled, whatever its size.
 GROUP = 50_000
-#: Words whose tokens a worker remembers.
+#: Words whose tokens a worker remembers, and the characters of the longest.
 REMEMBERED = 500_000
+SHORT = 64
 
 #: A blank that another white-space character follows, or that ends the text.
 RUN = re.compile(r" (?=\s)| $")
+#: A line end between visible characters.
+LINE = re.compile(r"(?<=\S)\n(?=\S)")
 
 
 #: Below this, letters are letters in any version of Unicode.
@@ -64,23 +67,26 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def word(self, part: str) -> bytes:
-        """Ids of a text that begins and ends where tokens of the pattern do, remembered.
+        """Ids of a text that begins and ends where tokens of the pattern do; those of short ones are remembered.
 
         A run of letters is one token of the pattern, and so is a line end between visible characters.
         """
-        if (ids := self.known.get(part)) is None:
-            line = part.find("\n")
-            letters = LETTERS.match(part)
-            if 0 < line < len(part) - 1 and not part[line - 1].isspace() and not part[line + 1].isspace():
-                ids = self.word(part[:line]) + self.word("\n") + self.word(part[line + 1 :])
-            elif letters and letters.end() == len(part):
-                tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-                ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            elif letters and part[letters.end()] < PLAIN:
-                ids = self.word(letters[0]) + self.word(part[letters.end() :])
-            else:
-                tokens = [t for piece, _ in self.split(part) for t in self.model.tokenize(piece)]
-                ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        if (ids := self.known.get(part)) is not None:
+            return ids
+        lines, letters = LINE.split(part), LETTERS.match(part)
+        if len(lines) > 1:
+            ids = self.word("\n").join([self.word(line) for line in lines])  # no line is cut again
+        elif letters and letters.end() == len(part):
+            tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
+            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        elif letters and part[letters.end()] < PLAIN:
+            ids = self.word(letters[0]) + self.word(part[letters.end() :])
+        else:
+            tokens = [t for piece, _ in self.split(part) for t in self.model.tokenize(piece)]
+            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        if len(part) <= SHORT:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
             self.known[part] = ids
         return ids
 
@@ -91,8 +97,6 @@ class Encoder:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, dtype="<u4").tobytes()
         parts, known = text.replace(" ", "\0 ").split("\0"), self.known
-        if len(known) + len(parts) > REMEMBERED:
-            known.clear()
         return b"".join([known[p] if p in known else self.word(p) for p in parts])
 
 

@@ -40,6 +40,16 @@ def test_ids_are_those_of_the_tokenizer(tokenizer, spark, monkeypatch):
     assert [encoder(t) for t in texts] == want
 
 
+def test_many_lines_without_blanks(tokenizer):
+    dump = "QUJD0123+/" * 7
+    lines = [f"word{i}" if i % 3 else f"{i}{dump}" for i in range(5000)]
+    texts = ["\n".join(lines), "\n".join(map(str, range(5000))), "a b\n" + "\n\n".join(lines) + "\nc"]
+    encoder = packing.Encoder(PATH)
+    for text in texts:
+        assert encoder(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    assert max(map(len, encoder.known)) <= packing.SHORT
+
+
 def checked(packed, docs, tokenizer, length, end=2):
     """Pieces tile their documents and sequences hold them without overlap or space; returns the sequences' number."""
     rows = [r.asDict() for r in packed.collect()]
