@@ -31,18 +31,27 @@ class Rule:
     least: int
 
 
-#: Version 1. The order is that of spans which start at the same place.
+#: A line of base64 with its indent or marks of quotation, of 16 characters at least; "\\n" may stand for line ends.
+#: Lines without indent follow at once.
+_RUN = r"[\x20\t\r\n>#*\"'-]*" + r"[A-Za-z0-9+/=\\]" * 16 + r"[A-Za-z0-9+/=\\\r\n]*"
+#: A PEM key: its header and what follows up to the footer, with no five hyphens between; without a footer, the PEM
+#: fields and the run of base64 lines behind the header. Loops over groups have bounds, as Java takes stack for each turn.
+PEM = (
+    r"-----BEGIN [A-Z\x20]*PRIVATE KEY-----(?:[^-]*(?:-?-?-?-[^-]+){0,500}-----+END [A-Z\x20]*PRIVATE KEY-----"
+    r"|(?:[\r\n]+[A-Z][A-Za-z0-9-]*:[^\r\n]*){0,8}(?:" + _RUN + r"){1,500}(?:[\x20\t]+[A-Za-z0-9+/=]+)?|)"
+)
+#: Version 1.1. The order is that of spans which start at the same place.
 RULES = (
     Rule("assign", r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
     # a run below the least length fails as a whole, so asking for the length in the pattern finds the same spans
     Rule("access", r"AKIA[A-Z0-9]{14,}", 0, 18),
     Rule("hex", r"[0-9a-f]{16,}", 0, 16),
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
+    Rule("private_key", PEM, 0, 1),
     Rule("github", r"\bgh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
     Rule("slack", r"\bxox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
     Rule("jwt", r"\beyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
 )
-VERSION = "1"
+VERSION = "1.1"
 
 
 def spans_of(text: Column, rule: Rule) -> Column:

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 
+import duckdb
 from llm_cases import ODD
 from pyspark.sql import functions as F
 
 from lodeworks.llm import mixing
 from lodeworks.llm import secret_scan as ss
+from lodeworks.llm.queries import ORACLES, QUERIES
 
 
 def rows_of(df):
@@ -128,3 +131,50 @@ def test_redaction(spark):
     )
     got = [r[0] for r in df.select(ss.redacted(F.col("text"), F.col("spans"))).collect()]
     assert got == ["é\U0001f600 [a] [c]", "none", "[k]"]
+
+
+def pem_texts():
+    """(text, lines that must go, what must stay) for PEM keys in many forms."""
+    rng = random.Random(7)
+    line = lambda n=64: "".join(rng.choice("ABCDEFghijkl0123456789+/") for _ in range(n))
+    body = [line() for _ in range(25)] + [line(22) + "=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    fields = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF", ""]
+    long = [line() for _ in range(5000)]
+    return [
+        ("\n".join(["before", begin, *body, end, "after it"]), [*body, begin, end], ["before\n[private_key]\nafter it"]),
+        ("\r\n".join(["é\U0001f600", begin, *body, end, "after it"]), body, ["\r\nafter it"]),
+        ("\n".join([begin, *fields, *body, end, "after it"]), [*fields[:2], *body], ["after it"]),
+        ("\n".join("    " + x for x in [begin, *body, end, "after it"]), body, ["    after it"]),
+        ("\n".join("-" + x for x in [begin, *body, end]), [*body, end], []),
+        ('{"key": "' + "\\n".join([begin, *body, end, ""]) + '", "a": 1}', body, ['", "a": 1}']),
+        ("\n".join([begin, *body, end, "between", begin, *body[:9], end, "after it"]), body, ["between", "after it"]),
+        ("\n".join([begin, *body]), body, []),
+        ("\n".join([begin, *body, "", "-- after it, no footer"]), body, [" after it, no footer"]),
+        ("\n".join([begin, *fields, *body]), body, []),
+        ("\n".join([begin, *["  " + x for x in body], "  - after: it"]), body, ["after: it"]),
+        ("\n".join([begin, *long]), long, []),
+        ("\n".join([begin, *long, end, "after it"]), long, ["after it"]),
+        (f"{begin} is a header, {begin} one more. " + "a-b " * 20_000, [begin], [" is a header, ", "a-b " * 20_000]),
+    ]
+
+
+def test_no_line_of_a_private_key_is_left(documents):
+    cases = pem_texts()
+    df = documents([(i, t) for i, (t, _, _) in enumerate(cases)])
+    found, _ = ss.scan(df)
+    made = {r["doc_id"]: r for r in found.withColumn("clean", ss.redacted(F.col("text"), F.col("spans"))).collect()}
+    pattern = next(r.pattern for r in ss.RULES if r.kind == "private_key")
+    for i, (text, gone, stays) in enumerate(cases):
+        left = made[i]["clean"]
+        assert [x for x in gone if x in left] == [] and [x for x in stays if x not in left] == [], i
+        assert [(s["start"], s["end"]) for s in made[i]["spans"] if s["kind"] == "private_key"] == [m.span() for m in re.finditer(pattern, text)]
+
+
+def test_private_keys_in_spark_and_sql(spark, documents, tmp_path):
+    documents([(i, t) for i, (t, _, _) in enumerate(pem_texts())]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op8_blob_ledger_secrets"](spark, str(tmp_path))
+    with duckdb.connect() as con:
+        con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+        want = con.execute(ORACLES["op8_blob_ledger_secrets"]).fetchall()
+    assert rows_of(got) == sorted(want, key=str) and len(want) == len(pem_texts())
