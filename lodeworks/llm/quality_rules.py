@@ -2,11 +2,14 @@
 
 The ratio compares two multinomials over hashed n-grams (words and word pairs): one counted over a trusted target, one
 over the whole raw corpus. A document's ratio is divided by its number of n-grams, so length does not decide, and every
-document is held against the same threshold. DataFrame functions only.
+document is held against the same threshold, which is taken from the trusted documents' own ratios: these shrink as
+n-grams share cells. DataFrame functions only.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +19,9 @@ from .shared import let, unused, words_of, written
 CELLS = 1 << 14
 #: Added to every cell's count in both corpora.
 SMOOTHING = 1.0
-#: Documents whose mean log ratio is lower are rejected: on the geometric mean their n-grams are e^0.15 times rarer in
-#: the target than in the raw corpus. Labelled good documents of the test tables lie above -0.1.
-THRESHOLD = -0.15
+#: The threshold lies below this quantile of the trusted documents' ratios, by MARGIN of its distance from their median.
+QUANTILE = 0.02
+MARGIN = 0.5
 
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -38,9 +41,20 @@ def ratios(docs: DataFrame, trusted: Column, text: str = "text", cells: int = CE
     ``trusted`` marks the rows of the target (null: not). Counts are combined per task; the driver gets one pair of
     numbers for each of ``cells`` cells. Without any trusted n-gram every ratio is 0: nothing is rejected.
     """
-    split = docs.select(F.coalesce(trusted, F.lit(False)).alias("target"), words_of(F.col(f"`{text}`")).alias("words"))
-    grams = split.select("target", F.explode(cells_of(F.col("words"), cells)).alias("cell"))
-    counted = written(grams.groupBy("cell").agg(F.count(F.lit(1)).alias("raw"), F.count_if("target").alias("target")), "cells")
+    flags = F.lit(True).alias("raw"), F.coalesce(trusted, F.lit(False)).alias("target")
+    return _fitted(docs.select(*flags, words_of(F.col(f"`{text}`")).alias("words")), cells, smoothing)
+
+
+def ratios_between(target: DataFrame, raw: DataFrame, text: str = "text", cells: int = CELLS, smoothing: float = SMOOTHING) -> list[float]:
+    """As ``ratios``, the rows of ``target`` against those of ``raw``."""
+    words = words_of(F.col(f"`{text}`")).alias("words")
+    part = lambda df, is_raw: df.select(F.lit(is_raw).alias("raw"), F.lit(not is_raw).alias("target"), words)
+    return _fitted(part(raw, True).unionAll(part(target, False)), cells, smoothing)
+
+
+def _fitted(split: DataFrame, cells: int, smoothing: float) -> list[float]:
+    grams = split.select("raw", "target", F.explode(cells_of(F.col("words"), cells)).alias("cell"))
+    counted = written(grams.groupBy("cell").agg(F.count_if("raw").alias("raw"), F.count_if("target").alias("target")), "cells")
     raw_all = counted.agg(F.sum("raw")).scalar()
     target_all = counted.agg(F.sum("target")).scalar()
     p_target = (F.col("target") + smoothing) / (target_all + smoothing * cells)
@@ -57,6 +71,16 @@ def mean_ratio(words: Column, model: list[float]) -> Column:
     return F.when(F.size(words) > 0, total / (2 * F.size(words) - 1))
 
 
+def least_ratio(target: DataFrame, model: list[float], quantile: float = QUANTILE, margin: float = MARGIN, text: str = "text") -> float:
+    """Threshold from the mean ratios of all rows of ``target`` with words; minus infinity if there are none.
+
+    Ratios are rounded to five places, so tasks hand on counts of few different values and any order gives the same.
+    """
+    own = target.select(F.round(let(words_of(F.col(f"`{text}`")), lambda w: mean_ratio(w, model)), 5).alias("ratio"))
+    low, middle = own.agg(F.percentile("ratio", quantile).alias("low"), F.percentile("ratio", 0.5).alias("middle")).first()
+    return -math.inf if low is None else low - margin * (middle - low)
+
+
 def repeated_words(words: Column, width: int = 3) -> Column:
     """Number of words that lie in a window of ``width`` words found twice or more in the text.
 
@@ -94,7 +118,7 @@ def repeated_lines(text: Column) -> Column:
     return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-def judge(docs: DataFrame, model: list[float], threshold: float = THRESHOLD, text: str = "text", least_words: int = 50) -> DataFrame:
+def judge(docs: DataFrame, model: list[float], threshold: float = -math.inf, text: str = "text", least_words: int = 50) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, mean_ratio and kept.
 
     Clashing columns of ``docs`` stay and the new ones get other names. A null, empty or blank text has no words and

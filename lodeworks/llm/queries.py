@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import language, licences, mixing, near_duplicates, neighbours, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup
-from .shared import held_out, learnable, table
+from .shared import held_out, learnable, table, written
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -78,13 +78,13 @@ def op5_hash_prefix_forest(spark, sf_dir):
 
 @query
 def op6_ngram_ratio_rules(spark, sf_dir):
-    """Target: documents labelled good. Raw corpus: all documents."""
+    """Target: documents labelled good, whose ratios set the threshold. Raw corpus: all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
     # labels grow with the documents: one plan at every size, not a broadcast while they are few
-    marked = docs.join(good.withColumn("trusted", F.lit(True)).hint("merge"), "doc_id", "left")
-    model = quality_rules.ratios(marked, F.col("trusted"))
-    return quality_rules.judge(docs, model).drop("text")
+    target = written(docs.join(good.hint("merge"), "doc_id", "left_semi"), "target")
+    model = quality_rules.ratios_between(target, docs)
+    return quality_rules.judge(docs, model, quality_rules.least_ratio(target, model)).drop("text")
 
 
 @query

@@ -77,6 +77,27 @@ def test_rules_part_labelled_documents(spark):
     assert kept[1] > 0.95 and kept.get(0, 0.0) < 0.5
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_threshold_at_two_sizes(spark, size):
+    labels = spark.read.parquet(f"/root/testdata/{size}/labels.parquet").select("doc_id", "quality").distinct()
+    got = QUERIES["op6_ngram_ratio_rules"](spark, f"/root/testdata/{size}").join(labels, "doc_id").where("not base_failed")
+    kept = {r["quality"]: (r["kept"], r["n"]) for r in got.groupBy("quality").agg(F.count_if("kept").alias("kept"), F.count(F.lit(1)).alias("n")).collect()}
+    print(size, kept)
+    assert kept[1][0] >= 0.99 * kept[1][1] and kept[0][0] <= 0.01 * kept[0][1]
+
+
+def test_least_ratio_of_hand_counted_rows(documents, empty):
+    target = documents([(i, "a") for i in range(4)] + [(5, "b"), (6, ""), (7, None)])
+    model = [0.0] * 64
+    a, b = (qr.words_of(F.lit(w)) for w in "ab")
+    at = target.limit(1).select(qr.cells_of(a, 64)[0].alias("a"), qr.cells_of(b, 64)[0].alias("b")).first()
+    model[at["a"]], model[at["b"]] = 1.0, -1.0
+    assert qr.least_ratio(target, model, quantile=0.0, margin=0.5) == pytest.approx(-2.0)
+    assert qr.least_ratio(target, model, quantile=0.5) == pytest.approx(1.0)
+    assert qr.least_ratio(empty, model) == -math.inf
+    assert qr.ratios_between(target.where("doc_id < 4"), target) == pytest.approx(qr.ratios(target, F.col("doc_id") < 4))
+
+
 # -- classifier -----------------------------------------------------------------------------------
 
 
