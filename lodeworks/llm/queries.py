@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import language, licences, mixing, near_duplicates, neighbours, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup
+from . import byte_bpe, language, licences, mixing, near_duplicates, neighbours, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup
 from .shared import held_out, learnable, table, written
 
 QUERIES: dict = {}
@@ -157,6 +157,17 @@ def op9_sum_of_squares_packing(spark, sf_dir):
     return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False))
 
 
+@query
+def op13_chunked_byte_bpe(spark, sf_dir):
+    """All documents to ids and back to bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
+    size = (F.octet_length("ids") / 4).cast("long")
+    decoded = byte_bpe.decode("ids", path)
+    return coded.select("doc_id", size.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decoded, 256).alias("decoded_sha256"))
+
+
 _KINDS = ", ".join(f"({i}, '{r.kind}', '{r.pattern.replace(chr(39), chr(39) * 2)}', {r.group}, {r.least})" for i, r in enumerate(secret_scan.RULES))
 ORACLES["op8_blob_ledger_secrets"] = rf"""
 with kinds(rank, kind, pattern, part, least) as (values {_KINDS}),
