@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language, licences, mixing, near_duplicates, neighbours, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup
+from . import byte_bpe, centroids, language, licences, mixing, near_duplicates, neighbours, packing, quality_rules, rule_ensemble, secret_scan, substring_dedup, whitening
 from .shared import held_out, learnable, table, written
 
 QUERIES: dict = {}
@@ -157,6 +157,55 @@ def op9_sum_of_squares_packing(spark, sf_dir):
     return packing.pack(packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False))
 
 
+@query
+def op11_shallot_clusters(spark, sf_dir):
+    """All vectors of 64 components around 40 centroids."""
+    assigned, final = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(assigned, final)
+
+
+def _op11_sql(rounds: int = centroids.ROUNDS, k: int = centroids.CENTROIDS) -> str:
+    steps = [
+        f"""a{r} as materialized (
+  select row, vec_id, v, k, d from (
+    select row, vec_id, v, k, list_sum(list_transform(v, lambda x, i: (x - c[i]) * (x - c[i])))::bigint as d from kept, c{r})
+  qualify row_number() over (partition by row order by d, k) = 1)"""
+        for r in range(rounds + 1)
+    ]
+    moves = [
+        f"""m{r} as (
+  select k, i, sum(x)::hugeint as s, count(*)::hugeint as n
+  from (select k, unnest(v) as x, unnest(range(1, 65)) as i from a{r}) group by k, i),
+c{r + 1} as materialized (
+  select c.k, coalesce(n.c, c.c) as c
+  from c{r} c left join (select k, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as c from m{r} group by k) n using (k))"""
+        for r in range(rounds)
+    ]
+    parts = [p for r in range(rounds) for p in (steps[r], moves[r])] + [steps[rounds]]
+    return f"""
+with kept as materialized (
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+ranked as (select v, row_number() over (order by sha256('2:' || vec_id)) - 1 as k from kept),
+c0 as materialized (select k::int as k, v as c from ranked where k < {k}),
+{", ".join(parts)},
+inertias as (select k, sum(d)::bigint as cluster_inertia from a{rounds} group by k)
+select vec_id, k as cluster, d as distance, cluster_inertia, (select sum(d) from a{rounds})::bigint as inertia,
+  sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (k) join inertias using (k)
+"""
+
+
+ORACLES["op11_shallot_clusters"] = _op11_sql()
+
+
+@query
+def op12_jacobi_davidson_whitening(spark, sf_dir):
+    """All vectors on the 32 largest components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op13_chunked_byte_bpe(spark, sf_dir):
     """All documents to ids and back to bytes."""
