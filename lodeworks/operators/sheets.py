@@ -1,23 +1,31 @@
 """Wide statistical sheets to long rows.
 
 Input: one row per sheet row, ``(sheet, row_num, cells)``, with ``cells`` an array of
-``struct<num double, txt string>``: ``num`` is set for a numeric cell, ``txt`` holds any cell's text.
-The first cell is the label; its leading blanks give the hierarchy.
-
-One sheet may hold much of the table, so its rows are never gathered by sheet alone. What a whole sheet
-shares (header, years, first footnote) is found from its few marked rows and joined as a dimension. Numbering
-and hierarchy run inside (sheet, range of row numbers); what crosses a range is kept in one summary row per
-range and joined on those two columns, by which the rows are already spread. The wide rows are shuffled once.
+``struct<num double, txt string>``: ``num`` is set for a numeric cell, ``txt`` holds any cell's text. Row numbers
+are unique within a sheet. The first cell is the label; its leading blanks give the hierarchy.
+
+One sheet may hold much of the table, and there may be any number of sheets, so nothing is gathered by sheet but one
+summary row for each block, a fixed range of row numbers:
+
+* What a whole sheet shares (header, years, first footnote) is found from the blocks' summaries, and is kept once for
+  each block that it covers. So it meets the rows by (sheet, block), of any number of sheets, and none is broadcast.
+* A row's ancestors are a stack: the latest earlier rows of ever smaller indentation. A block is reduced to the stack
+  that it leaves behind; the stacks of a sheet are composed block by block (a block takes away what is indented as
+  much as its least indented row, and adds its own), which gives the stack that each block begins with. Its rows are
+  then walked once. The plan is the same for two indentations or four hundred.
+* Walking needs labels and indentations only. The wide rows are shuffled once, and sorted among these results.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeworks.functions.text import clean_label, indent, is_blank, is_note, parse_value
 from lodeworks.operators.blocks import BLOCK_ROWS, earlier_blocks, row_block
-from lodeworks.operators.dimension import join_dimension
 from lodeworks.session import scratch_folder
 from lodeworks.sources.tables import write_table
 
@@ -26,8 +34,6 @@ YEAR_RANGE = (1990, 2100)
 MIN_YEARS = 3
 
 KEYS = ["sheet", "block"]
-#: Sheets whose bounds may be broadcast; a row of bounds holds an array of years, so fewer than of plain rows.
-BROADCAST_SHEETS = 50_000
 
 
 def _is_year(cell: Column) -> Column:
@@ -74,19 +80,23 @@ def require_headers(rows: DataFrame) -> None:
         raise ValueError(f"{n} sheets have no year header, among them {', '.join(names)}")
 
 
-def bounds(rows: DataFrame) -> DataFrame:
-    """(sheet, header_row, years, note_row) of every good sheet; note_row is its first footnote after the header.
+def bounds(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(sheet, block, header_row, years, note_row) of every block of a good sheet that body rows may lie in.
 
-    One pass keeps the rows that may be headers or footnotes, which are few, in a table of the shared folder;
-    the rest works on that table.
+    note_row is the sheet's first footnote after its header. A block's footnotes are kept until the header is known:
+    no more numbers than a block has rows, and mostly none.
     """
-    marks = rows.select("sheet", "row_num", year_columns(F.col("cells")).alias("years"), is_note(_label()).alias("note"))
-    marks = marks.where(F.col("years").isNotNull() | F.col("note"))
-    marks = write_table(marks, scratch_folder(rows.sparkSession, "sheet-marks"))
-    found = _first_years(marks)
-    notes = marks.where("note").select("sheet", "row_num")
-    after = join_dimension(notes, found.drop("years"), "sheet", ["row_num"], "inner").where("row_num > header_row")
-    return found.join(after.groupBy("sheet").agg(F.min("row_num").alias("note_row")), "sheet", "left")
+    marks = rows.select("sheet", row_block("row_num", block_rows).alias("block"), "row_num", year_columns(F.col("cells")).alias("years"), is_note(_label()).alias("note"))
+    at = F.when(F.col("years").isNotNull(), F.col("row_num"))
+    here = marks.groupBy(*KEYS).agg(
+        F.min(at).alias("first"), F.min_by("years", at).alias("years"), F.collect_list(F.when(F.col("note"), F.col("row_num"))).alias("notes")
+    )
+    sheet = Window.partitionBy("sheet")
+    found = here.withColumns({"header_row": F.min("first").over(sheet), "years": F.min_by("years", "first").over(sheet)})
+    after = F.array_min(F.filter("notes", lambda n: n > F.col("header_row")))
+    found = found.withColumn("note_row", F.min(after).over(sheet)).select(*KEYS, "header_row", "years", "note_row")
+    covered = (F.col("block") + block_rows > F.col("header_row")) & (F.col("note_row").isNull() | (F.col("block") <= F.col("note_row")))
+    return found.where(covered)
 
 
 def _first_years(rows: DataFrame) -> DataFrame:
@@ -97,94 +107,111 @@ def _first_years(rows: DataFrame) -> DataFrame:
     )
 
 
-def _open_body(rows: DataFrame, block_rows: int) -> DataFrame:
-    """Labelled rows between header and first footnote, with the years of their sheet."""
-    limits = bounds(rows)
-    limits = write_table(limits, scratch_folder(rows.sparkSession, "sheet-bounds"))
-    labelled = rows.where(~is_blank(_label()))
-    inside = join_dimension(labelled, limits, "sheet", ["row_num"], "inner", BROADCAST_SHEETS).where(
-        (F.col("row_num") > F.col("header_row")) & (F.col("note_row").isNull() | (F.col("row_num") < F.col("note_row")))
-    )
-    return inside.select(
-        "sheet",
-        row_block("row_num", block_rows).alias("block"),
-        "row_num",
-        "cells",
-        "years",
-        clean_label(_label()).alias("label"),
-        indent(_label()).alias("level_indent"),
-    )
+def _kept_bounds(rows: DataFrame, block_rows: int) -> DataFrame:
+    return write_table(bounds(rows, block_rows), scratch_folder(rows.sparkSession, "sheet-bounds"))
+
+
+def _open_body(rows: DataFrame, limits: DataFrame, block_rows: int) -> DataFrame:
+    """(sheet, block, row_num, label, level_indent) of the labelled rows between header and first footnote."""
+    block, label = row_block("row_num", block_rows).alias("block"), clean_label(_label()).alias("label")
+    labelled = rows.where(~is_blank(_label())).select("sheet", block, "row_num", label, indent(_label()).alias("level_indent"))
+    both = labelled.join(limits.select(*KEYS, "header_row", "note_row").hint("merge"), KEYS)
+    inside = (F.col("row_num") > F.col("header_row")) & (F.col("note_row").isNull() | (F.col("row_num") < F.col("note_row")))
+    return both.where(inside).drop("header_row", "note_row")
 
 
 def body(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(sheet, ord, row_num, label, level_indent): labelled body rows, numbered from 1 per sheet."""
-    return _placed(_open_body(rows, block_rows), []).select("sheet", "ord", "row_num", "label", "level_indent")
+    named = _open_body(rows, _kept_bounds(rows, block_rows), block_rows)
+    counts = named.groupBy(*KEYS).agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(earlier_blocks(["sheet"], "block")), F.lit(0))
+    state = counts.select(*KEYS, before.alias("rows_before"))
+    number = F.col("rows_before") + F.row_number().over(Window.partitionBy(*KEYS).orderBy("row_num"))
+    return named.join(state.hint("merge"), KEYS).select("sheet", number.cast("int").alias("ord"), "row_num", "label", "level_indent")
 
 
-def hierarchy(rows: DataFrame, block_rows: int = BLOCK_ROWS, indents: list[int] | None = None) -> DataFrame:
-    """Body rows with parent, root group and level, from the indentation of the labels.
+def hierarchy(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(sheet, ord, label, parent, grp, lvl, cells, years): body rows with parent, root and number of ancestors.
 
-    The ancestors of a row are found from the last earlier row of each smaller indentation: the nearest
-    of these is the parent; one counts as an ancestor if it is later than those of still smaller
-    indentation; the one of smallest indentation is the root. So the state to carry across a block is
-    one row position and label per indentation. The distinct indentations, if not given, are read
-    first; there are never more than a cell can hold characters, and a handful in practice.
+    A row's parent is the nearest earlier row that is indented less; ``grp`` is its first ancestor, or itself.
     """
-    if indents is None:
-        indents = indentations(rows)
-    return _placed(_open_body(rows, block_rows), sorted(indents)).select(
-        "sheet", "ord", "label", "parent", "grp", "lvl", "cells", "years"
+    limits = _kept_bounds(rows, block_rows)
+    named = _open_body(rows, limits, block_rows)
+    placed = named.unionByName(_stacks(named), allowMissingColumns=True).repartition(*KEYS).sortWithinPartitions(*KEYS, "row_num")
+    found = placed.select("sheet", "block", "row_num", "label", "level_indent", "rows_before").mapInArrow(_walked, WALKED)
+
+    # results, wide rows and years of a block meet by order: the years first, then each result before its wide row
+    place = F.struct("row_num", "ord", "label", "parent", "grp", "lvl")
+    block = row_block("row_num", block_rows).alias("block")
+    wide = rows.where(~is_blank(_label())).select("sheet", block, "row_num", F.lit(1).alias("kind"), "cells")
+    every = (
+        wide.unionByName(found.select(*KEYS, "row_num", F.lit(0).alias("kind"), place.alias("place")), allowMissingColumns=True)
+        .unionByName(limits.select(*KEYS, "years"), allowMissingColumns=True)
+        .repartition(*KEYS)
     )
+    run = Window.partitionBy(*KEYS).orderBy(F.col("row_num").asc_nulls_first(), "kind")
+    years = F.max("years").over(run.rowsBetween(Window.unboundedPreceding, 0))
+    met = every.select("kind", "sheet", "row_num", "cells", years.alias("years"), F.lag("place").over(run).alias("p"))
+    mine = (F.col("kind") == 1) & (F.col("p.row_num") == F.col("row_num"))
+    return met.where(mine).select("sheet", "p.ord", "p.label", "p.parent", "p.grp", "p.lvl", "cells", "years")
 
 
-def indentations(rows: DataFrame) -> list[int]:
-    """The distinct label indentations of all sheets, ascending."""
-    found = rows.where(~is_blank(_label())).agg(F.sort_array(F.collect_set(indent(_label()))).alias("levels")).first()
-    return list(found["levels"])
-
-
-def _placed(named: DataFrame, indents: list[int]) -> DataFrame:
-    """Number the rows of each sheet and find their ancestors.
+def _stacks(named: DataFrame) -> DataFrame:
+    """(sheet, block, row_num, label, level_indent, rows_before): the ancestors that a block begins with.
 
-    Summaries are combined per task before they are shuffled. The merge join keeps the rows on (sheet, block):
-    a broadcast of small rows to the summaries would leave them on the summaries' partitioning, by sheet.
+    A block leaves those of its rows behind that every later one of its rows is indented more than.
     """
-    here = F.struct(F.col("row_num").alias("at"), F.col("label").alias("label"))
-    seen = [F.when(F.col("level_indent") == k, here) for k in indents]
-    names = [f"last_{i}" for i in range(len(indents))]
-    # Row numbers grow, so the largest struct of an indentation is its last row.
-    summary = named.groupBy(*KEYS).agg(F.count("*").alias("n"), *[F.max(s).alias(c) for s, c in zip(seen, names)])
-    before = earlier_blocks(["sheet"], "block")
-    state = summary.select(
-        *KEYS,
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"),
-        *[F.max(c).over(before).alias(c) for c in names],
-    )
-    in_block = Window.partitionBy(*KEYS).orderBy("row_num")
-    earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    located = named.repartition(*KEYS).join(state.hint("merge"), KEYS).withColumn("ord", (F.col("rows_before") + F.row_number().over(in_block)).cast("int"))
-    if not indents:
-        return located
-    last = [F.greatest(F.col(c), F.max(s).over(earlier)) for s, c in zip(seen, names)]
-    smaller = F.array(*[F.when(F.lit(k) < F.col("level_indent"), at) for k, at in zip(indents, last)])
-    found = located.withColumn("above", F.filter(smaller, lambda a: a.isNotNull()))
-    nothing = F.struct(F.lit(0).alias("n"), F.lit(None).cast("bigint").alias("top"))
-    depth = F.aggregate(
-        "above",
-        nothing,
-        lambda acc, a: F.struct(
-            F.when(acc["top"].isNull() | (a["at"] > acc["top"]), acc["n"] + 1).otherwise(acc["n"]).alias("n"),
-            F.greatest(acc["top"], a["at"].cast("bigint")).alias("top"),
-        ),
-        lambda acc: acc["n"],
-    )
-    return found.withColumns(
-        {
-            "parent": F.array_max("above")["label"],
-            "grp": F.coalesce(F.get("above", F.lit(0))["label"], F.col("label")),
-            "lvl": depth,
-        }
-    )
+    later = Window.partitionBy(*KEYS).orderBy(F.desc("row_num")).rowsBetween(Window.unboundedPreceding, -1)
+    least = F.min("level_indent").over(later)
+    entry = F.struct(F.col("row_num"), F.col("level_indent"), F.col("label"))
+    left = F.when(least.isNull() | (F.col("level_indent") < least), entry)
+    summary = named.withColumn("left", left).groupBy(*KEYS).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("left")).alias("stack"))
+    return summary.repartition("sheet").sortWithinPartitions(*KEYS).mapInArrow(_composed, STACKS)
+
+
+STACKS = "sheet string, block long, row_num long, level_indent int, label string, rows_before long"
+WALKED = "sheet string, block long, row_num long, ord int, label string, parent string, grp string, lvl int"
+
+
+def _batch(rows: list[tuple], types: list[pa.DataType], schema: str) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(types)
+    names = [c.split()[0] for c in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
+def _composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sheet, block, n, stack) in order, to the stack before each block: one stack is held at a time."""
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64()]
+    current, stack, before = None, [], 0
+    for batch in batches:
+        out = []
+        for sheet, block, n, left in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if sheet != current:
+                current, stack, before = sheet, [], 0
+            out += [(sheet, block, e["row_num"], e["level_indent"], e["label"], before) for e in stack]
+            stack = [e for e in stack if e["level_indent"] < left[0]["level_indent"]] + left
+            before += n
+        yield _batch(out, types, STACKS)
+
+
+def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (sheet, block) in order, each block's stack before them, to number, parent, root and level."""
+    types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32()]
+    current, stack, n = None, [], 0
+    for batch in batches:
+        out = []
+        for sheet, block, row, label, level, before in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            if (sheet, block) != current:
+                current, stack, n = (sheet, block), [], 0
+            if before is not None:
+                n = before
+            else:
+                while stack and stack[-1][0] >= level:
+                    stack.pop()
+                n += 1
+                out.append((sheet, block, row, n, label, stack[-1][1] if stack else None, stack[0][1] if stack else label, len(stack)))
+            stack.append((level, label))
+        yield _batch(out, types, WALKED)
 
 
 def unpivot(rows: DataFrame, units: dict[str, str] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:

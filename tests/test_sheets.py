@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lodeworks import schemas
 from lodeworks.operators import sheets
@@ -109,3 +110,36 @@ def test_body_numbers_rows_across_blocks(spark):
     lines = [(None, 2001, 2002, 2003)] + [(f"r{i}" if i % 3 else None, 1, 1, 1) for i in range(30)]
     got = sheets.body(table(spark, s=lines), 4).orderBy("row_num").collect()
     assert [r["ord"] for r in got] == list(range(1, 21))
+
+
+def test_hundreds_of_indentations(spark):
+    rng = random.Random(5)
+    indents = [rng.randint(0, 400) for _ in range(1500)]
+    rows = [(None, 2001, 2002, 2003)] + [(" " * k + f"r{i}", 1, 1, 1) for i, k in enumerate(indents)]
+    want = {i + 1: (f"r{i}", None if p is None else f"r{p}", f"r{g}", lvl) for i, (p, g, lvl) in enumerate(expected_tree(indents))}
+    few = [(None, 2001, 2002, 2003)] + [(" " * (k % 2) + f"r{i}", 1, 1, 1) for i, k in enumerate(indents)]
+    for block_rows in (64, 5000):
+        got = sheets.hierarchy(table(spark, s=rows), block_rows)
+        assert {r["ord"]: (r["label"], r["parent"], r["grp"], r["lvl"]) for r in got.collect()} == want
+        text = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("\n")
+        assert text(got) == text(sheets.hierarchy(table(spark, s=few), block_rows))
+
+
+def test_headers_and_notes_in_other_blocks_than_the_body(spark):
+    """Sheets of many blocks: a header late, notes before it in its own block, blocks without any body row, no sheet name."""
+    lines = [("Fuente a", None, None, None)] * 5 + [("Fuente: b", None, None, None), (None, 2001, 2002, 2003), ("(1) at once", None, None, None), ("late", 1, 2, 3)]
+    other = [(None, 2001, 2002, 2003)] + [(None, 1, 1, 1)] * 20 + [("a", 1, 2, 3)] + [(" ", 1, 1, 1)] * 9 + [("  b", 4, 5, 6), ("n.d. x", 1, 1, 1), ("c", 1, 1, 1)]
+    for block_rows in (1, 3, 7, 100):
+        rows = table(spark, cut=lines, sparse=other).withColumn("sheet", F.when(F.col("sheet") != "sparse", F.col("sheet")))
+        named = rows.where("sheet is not null").unionByName(table(spark, sparse=other))
+        got = [(r["sheet"], r["ord"], r["label"], r["parent"], r["lvl"]) for r in sheets.hierarchy(named, block_rows).collect()]
+        assert sorted(got) == [("sparse", 1, "a", None, 0), ("sparse", 2, "b", "a", 1)]
+        limits = {(r["sheet"], r["header_row"], r["note_row"]) for r in sheets.bounds(named, block_rows).collect()}
+        assert limits == {("cut", 7, 8), ("sparse", 1, 33)}
+
+
+def test_many_small_sheets_take_the_same_plan_and_give_the_same_rows(spark):
+    one = table(spark, farm=HARVEST)
+    many = spark.range(2_000).select(F.concat(F.lit("s"), "id").alias("name")).crossJoin(F.broadcast(one)).select(F.col("name").alias("sheet"), "row_num", "cells")
+    got = sheets.hierarchy(many).groupBy("ord", "label", "parent", "grp", "lvl").count().collect()
+    assert len(got) == 7 and {r["count"] for r in got} == {2_000}
