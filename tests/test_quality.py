@@ -85,3 +85,48 @@ def test_invariants(spark):
         "truck string, sched_h double, oper_h double, maint_h double, fail_h double",
     ).withColumns({"day": F.lit("2024-01-01").cast("date"), "shift": F.lit("Día")})
     assert sorted(r["truck"] for r in checks.maintenance_breaks(fleet).collect()) == ["c", "d"]
+
+
+def awkward(spark):
+    """Keys that are easily taken for one another, or for different ones."""
+    times = ["2024-01-01 00:00:00.000001", "2024-01-01 00:00:00.000002", "2024-01-01 00:00:00.000002", None]
+    numbers = [0.0, -0.0, float("nan"), float("nan"), 1.0000000000000002, 1.0, None]
+    rows = [(times[i % 4], numbers[i % 7], f"{i % 5}" if i % 6 else None, None if i % 4 == 0 else f"{i % 3}", i % 9) for i in range(40)]
+    typed = spark.createDataFrame(rows, "t string, x double, a string, b string, n int")
+    return typed.withColumn("t", F.col("t").cast("timestamp_ntz"))
+
+
+@pytest.mark.parametrize("bits", [64, 6, 1])
+def test_suite_counts_keys_as_the_single_rules_do_also_when_fingerprints_collide(spark, bits):
+    rows = awkward(spark)
+    parents = spark.createDataFrame([(0,), (1,), (2,), (2,), (None,)], "id long")
+    numbers = spark.createDataFrame([(-0.0,), (float("nan"),)], "x double")
+    tables = {"t": rows, "p": parents, "q": numbers}
+    combinations = [("t",), ("x",), ("a", "b"), ("t", "x"), ("t", "x", "a", "b", "n")]
+    suite = [Check("t", "unique_combination", c) for c in combinations] + [Check("t", "unique", (c,)) for c in ("t", "x", "a", "b", "n")]
+    suite += [
+        Check("t", "relationships", ("n",), {"to": "p", "field": "id"}),
+        Check("t", "relationships", ("n",), {"to": "p", "field": "id", "where": "x > 0"}),
+        Check("t", "relationships", ("x",), {"to": "q", "field": "x"}),
+        Check("p", "unique", ("id",)),
+    ]
+    got = {(r["tbl"], r["test"], r["col"], r["n_bad"]) for r in quality.run_suite(tables, suite, bits).collect()}
+    want = {("t", "unique_combination", ",".join(c), quality.unique_combination(rows, c).count()) for c in combinations}
+    want |= {("t", "unique", c, quality.unique(rows, c).count()) for c in ("t", "x", "a", "b", "n")}
+    want |= {("t", "relationships", "n", quality.relationships(rows, parents, "n", "id", w).count()) for w in (None, F.col("x") > 0)}
+    want |= {("t", "relationships", "x", quality.relationships(rows, numbers, "x", "x").count()), ("p", "unique", "id", 1)}
+    assert got == want
+
+
+def test_times_a_microsecond_apart_are_no_duplicates(spark):
+    rows = spark.sql("select * from values (timestamp_ntz'2024-01-01 00:00:00.000001'), (timestamp_ntz'2024-01-01 00:00:00.000002') t(ts)")
+    assert [r["n_bad"] for r in quality.run_suite({"t": rows}, [Check("t", "unique_combination", ("ts",))]).collect()] == [0]
+
+
+def test_keys_are_shuffled_as_fingerprints(spark):
+    """A key takes its check's number, two hashes and a count, whatever its length; exact values only behind a broadcast."""
+    rows = spark.range(20).select(F.repeat(F.lit("long key "), 50).alias("k"), "id")
+    shown = quality.run_suite({"t": rows}, [Check("t", "unique_combination", ("k", "id"))])._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in shown and "Aggregate [check#" in shown
+    wide = quality.run_suite({"t": rows}, [Check("t", "unique_combination", ("k", "id"))])
+    assert [r["n_bad"] for r in wide.collect()] == [0]
