@@ -2,43 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Above this many rows a dimension is not broadcast (a few narrow columns: well under 100 MB).
-BROADCAST_ROWS = 200_000
-#: Parts that each key of the large side is spread over when the dimension is not broadcast.
-SALTS = 32
+#: No task is to take more than one part in so many of the large side for a single key.
+PARTS = 1_000
+#: Counters of the sketch that finds such keys: its counts are too small by less than a share of 1 / 7,500 of all rows.
+TRACKED = 10_000
+SALT = "_salt"
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether df has at most ``rows`` rows. Only counts move; a plain Parquet table answers from its footers.
+def heavy_keys(df: DataFrame, key: str, parts: int = PARTS) -> Column:
+    """map<key, n>: for each key with more than one row in ``parts``, into how many parts to deal its rows.
 
-    (A limit before the count would first write that many rows of every partition for a single task to read.)
+    A scalar subquery over a frequent-items sketch: each task keeps a fixed number of counters, which are merged, so
+    neither rows nor keys are shuffled. There are at most ``parts`` such keys, with twice as many parts together.
     """
-    return df.count() <= rows
+    counted = df.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {min(parts, PARTS)}, {TRACKED})").alias("top"), F.count("*").alias("n")
+    )
+    share = lambda t: t["count"] * F.lit(parts) / F.col("n")
+    heavy = F.filter("top", lambda t: share(t) > 1)
+    return counted.select(F.map_from_entries(F.transform(heavy, lambda t: F.struct(t["item"], F.ceil(share(t)).cast("int"))))).scalar()
 
 
-def join_dimension(
-    fact: DataFrame,
-    dim: DataFrame,
-    key: str,
-    spread_by: list[str],
-    how: str = "left",
-    rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread_by: list[str], how: str = "left", parts: int = PARTS) -> DataFrame:
     """Join fact to dim (unique on key) without gathering a hot key in one task.
 
-    A dimension of proven small size is broadcast. A larger one is copied ``SALTS`` times and joined
-    on (key, salt), where the salt of a fact row is a hash of ``spread_by``. The copies cost little
-    next to the fact; the hash is a function of the row, so a retried task gives the same salt.
+    Heavy keys, and they alone, are dealt into parts by a hash of ``spread_by``; their rows of dim are copied once for
+    each part, all others are there once. The hash is a function of the row, so a retried task gives the same part.
+    Fact rows without a key are dealt too, since they meet nothing. There is one plan for all sizes, and whether dim is
+    broadcast is left to Spark, which checks its size.
     """
-    if is_small(dim, rows):
-        return fact.join(F.broadcast(dim), key, how)
-    salt = "_salt"
-    copies = dim.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = fact.withColumn(salt, F.pmod(F.hash(*spread_by), F.lit(SALTS)))
-    return salted.join(copies, [key, salt], how).drop(salt)
+    heavy = heavy_keys(fact, key, parts)
+    n = F.coalesce(F.try_element_at(heavy, F.col(key)), F.lit(1))
+    copies = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), n - 1)))
+    dealt = F.pmod(F.hash(*spread_by), F.when(F.col(key).isNull(), F.lit(parts)).otherwise(n))
+    return fact.withColumn(SALT, dealt).join(copies, [key, SALT], how).drop(SALT)
 
 
 def orphans(child: DataFrame, parent: DataFrame, column: str, parent_column: str) -> DataFrame:

@@ -90,27 +90,43 @@ def test_oee_is_the_product_of_shift_means(tables):
     assert row["oee_pct"] == pytest.approx(availability * performance * quality * 100, abs=0.0051)
 
 
-@pytest.mark.parametrize("rows", [0, 1000])
-def test_dimension_join_is_the_same_broadcast_or_salted(spark, rows):
+@pytest.mark.parametrize(("how", "lost"), [("left", 0), ("inner", 1)])
+@pytest.mark.parametrize("parts", [1, 7, 1000])
+def test_dimension_join_is_the_same_however_heavy_keys_are_dealt(spark, parts, how, lost):
     fact = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("x")
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 97 == 0, None).otherwise(F.col("id") % 50).alias("k"), F.col("id").alias("x")
     )
     dim = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    got = dimension.join_dimension(fact, dim, "k", ["x"], rows=rows)
-    assert got.count() == 3000
-    assert got.where("v is null").count() == fact.where("k >= 40").count()
+    got = dimension.join_dimension(fact, dim, "k", ["x"], how, parts=parts)
+    unmet = fact.where("k >= 40 or k is null").count()
+    assert got.columns == ["k", "x", "v"] and got.count() == 3000 - lost * unmet
+    assert got.where("v is null").count() == (1 - lost) * unmet
     assert got.where("v <> k * 10").count() == 0
+    assert dimension.join_dimension(fact.where("false"), dim, "k", ["x"], how).count() == 0
 
 
-def test_salted_join_spreads_a_hot_key(spark):
+def test_heavy_keys_are_found_and_others_left_whole(spark):
+    fact = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("k"))
+    found = spark.range(1).select(dimension.heavy_keys(fact, "k", 100).alias("m")).first()["m"]
+    assert found == {"hot": 34}
+    assert spark.range(1).select(dimension.heavy_keys(fact.where("false"), "k").alias("m")).first()["m"] == {}
+
+
+def test_a_hot_key_and_missing_keys_are_spread_and_cold_rows_copied_once(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        fact = spark.range(4000).select(F.lit(1).alias("k"), F.col("id").alias("x"))
-        dim = spark.createDataFrame([(1, "a")], "k int, v string")
-        joined = dimension.join_dimension(fact, dim, "k", ["x"], rows=0)
-        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
-        assert len(sizes) > 1
+        fact = spark.range(9000).select(
+            F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 3 == 1, None).otherwise(F.col("id")).alias("k"), F.col("id").alias("x")
+        )
+        dim = spark.range(-1, 2000).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+        joined = dimension.join_dimension(fact, dim, "k", ["x"], parts=50)
+        for part in ("k = -1", "k is null"):
+            sizes = [r["count"] for r in joined.where(part).groupBy(F.spark_partition_id()).count().collect()]
+            assert len(sizes) == 4 and max(sizes) < 1500
+        heavy = dimension.heavy_keys(fact, "k", 50)
+        copies = dim.withColumn("n", F.coalesce(F.try_element_at(heavy, F.col("k")), F.lit(1)))
+        assert {tuple(r) for r in copies.groupBy("n").count().collect()} == {(1, 2000), (25, 1)}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024)
         spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -292,10 +292,10 @@ def equipment_performance(spark, sf):
 
 @query
 def equipment_performance_salted(spark, sf):
-    """The same join with the dimension taken as too large to broadcast."""
+    """The same join with every truck dealt into parts."""
     x = Inputs(spark, sf)
     dim = x.fx("fx_equipment").select("truck", "model", "cap_t")
-    joined = operations.join_dimension(x.maintenance(), dim, "truck", ["day", "shift"], rows=0)
+    joined = operations.join_dimension(x.maintenance(), dim, "truck", ["day", "shift"], parts=1000)
     return joined.groupBy("model").agg(F.count("*").alias("n"), F.sum("cycles").alias("cycles"), F.max("cap_t").alias("cap_t"))
 
 
