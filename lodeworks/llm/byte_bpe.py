@@ -15,7 +15,6 @@ Decoding joins the bytes of the ids, which need not be whole characters.
 from __future__ import annotations
 
 import base64
-import unicodedata
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,11 +24,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .characters import unsure
 from .shared import unused
 
 #: Characters of a chunk, and of the overlap behind it that the next chunk also has.
 CHUNK = 16_384
 OVERLAP = 512
+#: Bytes of ids that are decoded at a time.
+SLICE_BYTES = 1 << 20
 #: A pre-token's alternatives are decided by this many characters from its first one, and one behind its last.
 AHEAD = 3
 
@@ -59,16 +61,6 @@ def vocabulary(path: str) -> pa.Array:
     return pa.array(found, pa.large_binary())
 
 
-@cache
-def unsure():
-    """Characters that this Python's Unicode tables do not have: libraries with other tables may disagree on them."""
-    import regex
-
-    missing = np.array([unicodedata.category(chr(c)) == "Cn" for c in range(0x110000)])
-    edges = np.flatnonzero(np.diff(missing, prepend=False, append=False))
-    return regex.compile("[" + "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in edges.reshape(-1, 2)) + "]")
-
-
 def boundaries(text: str, pattern: str, whole: bool) -> np.ndarray:
     """Where a scan from the first character begins pre-tokens, and the text's end if it is the ``whole`` rest.
 
@@ -77,20 +69,17 @@ def boundaries(text: str, pattern: str, whole: bool) -> np.ndarray:
     """
     import regex
 
-    if not text.isascii() and unsure().search(text):
-        found = [0, *[m.end() for m in regex.finditer(r"\S(?=\s)", text)]]
-    else:
-        found = [m.start() for m in regex.finditer(pattern, text)]
-    if whole:
-        return np.array([*found, len(text)], dtype=np.int32)
+    found = regex.findall(r"\s*\S+|\s+" if unsure(text) else pattern, text)
+    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+    starts = np.concatenate([[0], ends])
     # a match is sure if it neither reaches the end nor could have been another with more text
-    starts = np.array(found, dtype=np.int32)
-    sure = int(np.searchsorted(starts, len(text) - AHEAD, side="right"))
-    return starts[:sure]
+    return starts if whole else starts[: int(np.searchsorted(starts, len(text) - AHEAD, side="right"))]
 
 
-def packed(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+def packed(path: str, pattern: str):
+    """The ids of a text, four bytes each."""
+    encode = encoding(path, pattern).encode_ordinary
+    return lambda text: np.array(encode(text), dtype="<u4").tobytes()
 
 
 def _encoder(path: str, pattern: str):
@@ -98,9 +87,9 @@ def _encoder(path: str, pattern: str):
 
     @F.arrow_udf("binary")
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode = encoding(path, pattern).encode_ordinary
+        ids = packed(path, pattern)
         for texts in columns:
-            yield pa.array([packed(encode(t.as_py() or "")) for t in texts], pa.binary())
+            yield pa.array([ids(t.as_py() or "") for t in texts], pa.binary())
 
     return run
 
@@ -142,50 +131,51 @@ def _stretch(path: str, pattern: str, chunk: int):
 
     @F.arrow_udf("binary")
     def run(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        encode = encoding(path, pattern).encode_ordinary
-        for rows in columns:
-            made = []
-            for piece, begin, end, joined in zip(*[c.to_pylist() for c in rows], strict=True):
-                made.append(packed(encode(piece[begin:end])) if joined else piece[:chunk].encode())
-            yield pa.array(made, pa.binary())
+        ids = packed(path, pattern)
+        for pieces, *edges in columns:
+            rows = zip(pieces, *[e.to_pylist() for e in edges], strict=True)
+            yield pa.array([ids(p.as_py()[begin:end]) if joined else p.as_py()[:chunk].encode() for p, begin, end, joined in rows], pa.binary())
 
     return run
 
 
 def _joined(path: str, pattern: str):
-    """Arrow function: the stretches of one text to its ids."""
+    """Arrow function: (joined, stretches in order) of a text to its ids."""
 
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("k")
-        body = b"".join(rows["body"].to_pylist())
-        if not rows["joined"][0].as_py():
-            body = packed(encoding(path, pattern).encode_ordinary(body.decode()))
-        return pa.table({"address": rows["address"].slice(0, 1).cast(pa.string()), "ids": pa.array([body], pa.binary())})
+    @F.arrow_udf("binary")
+    def run(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        ids = packed(path, pattern)
+        for joined, stretches in columns:
+            made = []
+            for whole, parts in zip(joined.to_pylist(), stretches, strict=True):
+                body = b"".join(p.as_py() for p in parts.values)
+                made.append(body if whole else ids(body.decode()))
+            yield pa.array(made, pa.binary())
 
     return run
 
 
 def stitched(texts: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """(address, ids) of each different text of (address, text), by way of chunks.
+    """(address, joined, parts) of each different text of (address, text): the ids of its stretches in order, or, where
+    ``joined`` is false, its chunks, which were not stitched.
 
     Chunks are dealt by text and number, so a long text is spread over tasks; equal texts are one. The text is shuffled
-    once: the boundaries are found on the same exchange as the stretches that they bound.
+    once: both the boundaries and the stretches that they bound are found on that exchange.
     """
     cut = texts.mapInArrow(_cut(chunk, overlap), "address string, k int, last boolean, piece string")
+    cut = cut.where("address is not null and k is not null")  # as the join below asks for, on both of its ways
     chunks = cut.groupBy("address", "k").agg(F.first("last").alias("last"), F.first("piece").alias("piece"))
     marks = chunks.select("address", "k", "last", _marks(pattern, chunk, overlap)("piece", "last").alias("m"))
     order = Window.partitionBy("address").orderBy("k")  # a few numbers for each chunk of one text
     # the first boundary that both neighbours have, counted from the begin of the later chunk
     found = marks.withColumn("to", F.array_min(F.array_intersect("m.tail", F.lead("m.head").over(order))))
     torn = F.max(~F.col("last") & F.col("to").isNull()).over(Window.partitionBy("address"))
-    edges = found.select(
-        "address", "k", (~torn).alias("joined"),
-        F.coalesce(F.lag("to").over(order), F.lit(0)).alias("begin"),
-        F.when(F.col("last"), F.lit(chunk + overlap)).otherwise(F.col("to") + chunk).alias("end"),
-    )
-    body = _stretch(path, pattern, chunk)("piece", "begin", "end", "joined")
+    edges = found.select("address", "k", "to", (~torn).alias("joined"), F.coalesce(F.lag("to").over(order), F.lit(0)).alias("begin"))
+    # "last" is taken from the chunks again, so that both readers of their exchange want the same columns
+    end = F.when(F.col("last"), F.lit(chunk + overlap)).otherwise(F.col("to") + chunk)
+    body = _stretch(path, pattern, chunk)("piece", "begin", end, "joined")
     made = chunks.join(edges.hint("merge"), ["address", "k"]).select("address", "k", "joined", body.alias("body"))
-    return made.groupBy("address").applyInArrow(_joined(path, pattern), "address string, ids binary")
+    return made.groupBy("address").agg(F.first("joined").alias("joined"), F.sort_array(F.collect_list(F.struct("k", "body"))).alias("parts"))
 
 
 def encode(
@@ -198,7 +188,7 @@ def encode(
     empty text has no ids; an empty table stays empty; equal rows have equal ids. ``ids`` gets another name if ``docs``
     has a column of that name. See ``id_list`` for the ids as an array.
     """
-    ids, address, known = unused(docs.columns, "ids", "address", "known")
+    ids, address, known, joined, parts = unused(docs.columns, "ids", "address", "known", "joined", "parts")
     body = F.col(f"`{text}`")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     is_long = F.coalesce(F.length(body) > chunk, F.lit(False))
@@ -206,8 +196,10 @@ def encode(
     # 128 bits of the text: equal ones are encoded once
     long = docs.where(is_long).withColumn(address, F.md5(body.cast("binary")))
     found = stitched(long.select(F.col(address).alias("address"), body.alias("text")), path, pattern, chunk, overlap)
-    found = found.select(F.col("address").alias(known), F.col("ids").alias(ids))
-    return short.unionByName(long.join(found, F.col(address) == F.col(known)).select(*columns, ids))
+    found = found.select(F.col("address").alias(known), F.col("joined").alias(joined), F.col("parts.body").alias(parts))
+    # joined to the rows before its function is applied, which would lose the partitioning by text
+    rows = long.join(found.hint("merge"), F.col(address) == F.col(known))
+    return short.unionByName(rows.select(*columns, _joined(path, pattern)(joined, parts).alias(ids)))
 
 
 def id_list(ids: str):
@@ -230,18 +222,24 @@ def decode(ids: str, path: str):
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tokens = vocabulary(path)
         for column in columns:
-            values = column.cast(pa.large_binary())
-            offsets = np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset : values.offset + len(values) + 1]
-            buffer = values.buffers()[2]
-            data = np.frombuffer(buffer, dtype=np.uint8) if buffer is not None else np.zeros(0, np.uint8)
-            numbers = data[offsets[0] : offsets[-1]].copy().view("<u4")
-            known = pa.array(numbers, pa.uint32(), mask=numbers >= len(tokens))
-            told = tokens.take(known)
-            ends = np.frombuffer(told.buffers()[1], dtype=np.int64)[told.offset : told.offset + len(told) + 1]
-            begins = ends[(offsets - offsets[0]) // 4]
-            body = told.buffers()[2]
-            parts = [None, pa.py_buffer(begins.astype(np.int64)), body if body is not None else pa.py_buffer(b"")]
-            made = pa.Array.from_buffers(pa.large_binary(), len(values), parts)
-            yield pc.if_else(values.is_valid(), made, pa.scalar(None, pa.large_binary())).cast(pa.binary())
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+            edges = np.unique(np.searchsorted(sizes, np.arange(0, sizes[-1] if len(sizes) else 0, SLICE_BYTES)))
+            bounds = [0, *edges[edges > 0].tolist(), len(column)]
+            yield pa.concat_arrays([told(column.slice(a, b - a), tokens) for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
 
     return run(F.col(ids))
+
+
+def told(column: pa.Array, tokens: pa.Array) -> pa.Array:
+    """The bytes of each row's ids: tokens are looked up in one go, and lie one behind the other as they are needed."""
+    values = column.cast(pa.large_binary())
+    offsets = np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset : values.offset + len(values) + 1]
+    buffer = values.buffers()[2]
+    data = np.frombuffer(buffer, dtype=np.uint8) if buffer is not None else np.zeros(0, np.uint8)
+    numbers = data[offsets[0] : offsets[-1]].copy().view("<u4")
+    found = tokens.take(pa.array(numbers, pa.uint32(), mask=numbers >= len(tokens)))
+    ends = np.frombuffer(found.buffers()[1], dtype=np.int64)[found.offset : found.offset + len(found) + 1]
+    body = found.buffers()[2]
+    parts = [None, pa.py_buffer(ends[(offsets - offsets[0]) // 4]), body if body is not None else pa.py_buffer(b"")]
+    made = pa.Array.from_buffers(pa.large_binary(), len(values), parts)
+    return pc.if_else(values.is_valid(), made, pa.scalar(None, pa.large_binary())).cast(pa.binary())

@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from llm_cases import ODD
 from pyspark.sql import functions as F
 
-from lodeworks.llm import byte_bpe
+from lodeworks.llm import byte_bpe, characters
 from lodeworks.llm.queries import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -48,8 +48,22 @@ def test_ids_are_those_of_the_library_and_decode_to_the_text(spark, documents, c
 
 def test_neighbours_that_never_agree_are_encoded_together(spark):
     texts = spark.createDataFrame([("long word", "y" * 5_000), ("plain", "some words " * 400)], "address string, text string")
-    got = {r["address"]: r["ids"] for r in byte_bpe.stitched(texts, PATH, PATTERN, 300, 50).collect()}
-    assert {a: np.frombuffer(v, "<u4").tolist() for a, v in got.items()} == {"long word": expected("y" * 5_000), "plain": expected("some words " * 400)}
+    got = {r["address"]: r for r in byte_bpe.stitched(texts, PATH, PATTERN, 300, 50).collect()}
+    assert not got["long word"]["joined"] and b"".join(p["body"] for p in got["long word"]["parts"]) == b"y" * 5_000
+    parts = [np.frombuffer(p["body"], "<u4").tolist() for p in got["plain"]["parts"]]
+    assert got["plain"]["joined"] and sum(parts, []) == expected("some words " * 400) and len(parts) == 15
+
+
+def test_long_texts_are_shuffled_once(spark):
+    """One exchange of chunks, read twice, one of ids, and the rows' addresses; short texts are not shuffled."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+        shown = byte_bpe.encode(docs, PATH, PATTERN).drop("text")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    exchanges = [line for line in shown.split("\n") if " Exchange hashpartitioning" in line]
+    assert shown.count("ReusedExchange") == 1 and len(exchanges) == 5 + 1  # the line of the reused one names it again
 
 
 @settings(max_examples=300, deadline=None)
@@ -73,7 +87,7 @@ def test_boundaries_told_by_chunks_are_boundaries_of_the_text(text, chunk, overl
 def pieces(text):
     """Pre-tokens by the library's classes of characters, each found by how it joins with a letter, a digit or a blank."""
     kind = {c: "L" if joins("a", c) else "N" if joins("1", c) else "S" if joins("\t", c) else "O" for c in set(text)}
-    flat = "".join({"L": "l", "N": "0", "S": "\t", "O": "."}[kind[c]] if c not in " '\n" and not c.isascii() else c for c in text)
+    flat = "".join({"L": "x", "N": "0", "S": "\t", "O": "."}[kind[c]] if c not in " '\n" and not c.isascii() else c for c in text)
     at = 0
     for m in regex.finditer(PATTERN, flat):
         yield text[at : m.end()]
@@ -97,7 +111,7 @@ def test_classes_of_characters_agree_but_for_unsure_ones():
         for lead, kind in kinds:
             if lead == "\t" or unicodedata.category(x) != "Cn":
                 assert joins(lead, x) == bool(kind.match(x)), hex(c)
-    assert byte_bpe.unsure().search("՘") and not byte_bpe.unsure().search("aé漢\U0001f600")
+    assert characters.unsure("a՘") and not characters.unsure("aé漢\U0001f600")
 
 
 def test_empty_tables_nulls_and_clashing_names(spark, documents, empty):
