@@ -36,27 +36,24 @@ def histogram(df: DataFrame, measures: list[str], bins: int, by: list[str] | Non
     """Counts in ``bins`` equal-width bins between a measure's min and max; the last bin is closed.
 
     Gives every bin (0 when empty) of every measure, per value of ``by`` if set, over one common range. When
-    all values are equal the range is widened by 0.5 to each side. Two passes over df in all: one for the
-    ends of all measures, one for all counts.
+    all values are equal the range is widened by 0.5 to each side. One pass over df counts each different value
+    of a measure; both the ends and the bins follow from these counts, which two readers of one shuffle share. Rounded
+    measures have few different values; of others a value is at most a number and its count.
     """
     by = by or []
-
-    def known(c: str) -> Column:
-        return F.when(~F.isnan(c), F.col(c))
+    # a NaN is no value, and -0.0 is 0.0, as for grouping and comparing
+    each = [F.struct(F.lit(c).alias("measure"), F.when(~F.isnan(c), F.col(c).cast("double")).alias("x")) for c in measures]
+    values = df.select(*by, F.inline(F.array(*each))).where(F.col("x").isNotNull())
+    different = values.groupBy(*by, "measure", "x").agg(F.count("*").alias("n"))
 
     def widened(c: str) -> Column:
-        lo, hi = F.min(known(c)), F.max(known(c))
-        pad = F.when(lo == hi, 0.5).otherwise(0.0)
-        return F.struct((lo - pad).alias("lo"), (hi + pad).alias("hi")).alias(c)
-
-    ends = df.agg(*[widened(c) for c in measures]).select(F.struct(*measures)).scalar()
-    each = [F.struct(F.lit(c).alias("measure"), known(c).alias("x"), F.col(f"_ends.{c}").alias("ends")) for c in measures]
-    values = (
-        df.select(*by, *measures, ends.alias("_ends"))
-        .select(*by, F.inline(F.array(*each)))
-        .where(F.col("x").isNotNull())
-        .select(*by, "measure", "x", "ends.lo", "ends.hi")
-    )
+        # asking for n keeps this reader on the shuffle of the other one; without it the counts would be left out here
+        own = F.when((F.col("measure") == c) & (F.col("n") > 0), F.col("x"))
+        pad = F.when(F.min(own) == F.max(own), 0.5).otherwise(0.0)
+        return F.struct(F.lit(c), F.struct((F.min(own) - pad).alias("lo"), (F.max(own) + pad).alias("hi")))
+
+    ends = different.agg(F.map_from_entries(F.array(*[widened(c) for c in measures])).alias("ends")).scalar()
+    placeable = different.withColumn("e", F.element_at(ends, F.col("measure"))).select(*by, "measure", "x", "n", "e.lo", "e.hi")
     lo, hi, x, i = F.col("lo"), F.col("hi"), F.col("x"), F.col("guess")
 
     def left_edge(k: Column) -> Column:
@@ -66,9 +63,9 @@ def histogram(df: DataFrame, measures: list[str], bins: int, by: list[str] | Non
     placed = F.when(x < left_edge(i), i - 1).when((x >= left_edge(i + 1)) & (i < bins - 1), i + 1).otherwise(i)
     groups = [*by, "measure", "lo", "hi"]
     counts = (
-        values.withColumn("guess", F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)))
+        placeable.withColumn("guess", F.least(F.floor((x - lo) / (hi - lo) * bins), F.lit(bins - 1)))
         .groupBy(*groups, placed.cast("int").alias("bin"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     # At most bins rows per group from here on.
     found = counts.groupBy(*groups).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("found"))

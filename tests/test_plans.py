@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodeworks import schemas
-from lodeworks.operators import blocks, sheets
+from lodeworks.operators import blocks, shape, sheets
 from lodeworks.plans import features, operations, reports, staging, yearbook
 
 
@@ -139,3 +139,14 @@ def test_hot_site_is_spread_over_tasks(large):
     spread = blocks.with_previous_rows(cut, ["site"], ["ts"], "block", 5, ["x"])
     assert spread.select(F.spark_partition_id()).distinct().count() > 1
     assert spread.where(blocks.CONTEXT).groupBy("block").count().where("count <> 5").count() == 0
+
+
+def test_histogram_reads_its_source_once(large, tmp_path):
+    large.range(1000).selectExpr("cast(id % 7 as double) a", "cast(id % 11 as double) b", "id % 2 g").write.parquet(f"{tmp_path}/t")
+    for by in ([], ["g"]):
+        found = shape.histogram(large.read.parquet(f"{tmp_path}/t"), ["a", "b"], 5, by)
+        assert plan(found).count("FileScan") == 1 and "ReusedExchange" in plan(found)
+    large.conf.set("spark.sql.adaptive.enabled", "true")
+    found = shape.histogram(large.read.parquet(f"{tmp_path}/t"), ["a", "b"], 5)
+    found.collect()
+    assert "ReusedExchange" in plan(found)
