@@ -11,35 +11,25 @@ Placing is sequential, so pieces are dealt by a hash to groups of a bounded size
 
 from __future__ import annotations
 
-import re
-import struct
+import json
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .characters import unsure
 from .shared import written
 
 LENGTH = 1024
 END = 2
 #: Pieces in a group, on average. Each group leaves a few sequences unfilled, whatever its size.
 GROUP = 50_000
-#: Words whose tokens a worker remembers, and the characters of the longest.
-REMEMBERED = 500_000
-SHORT = 64
-
-#: A blank that another white-space character follows, or that ends the text.
-RUN = re.compile(r" (?=\s)| $")
-#: A line end between visible characters.
-LINE = re.compile(r"(?<=\S)\n(?=\S)")
-
-
-#: Below this, letters are letters in any version of Unicode.
-PLAIN = "\u0250"
-LETTERS = re.compile(r" ?(?:(?![\u0250-\U0010ffff])[^\W\d_\u00b2\u00b3\u00b9\u00bc-\u00be])+")
+# Fixed value: how byte-level tokenizers split a text before merging.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def byte_letters() -> str:
@@ -49,55 +39,56 @@ def byte_letters() -> str:
     return "".join(chr(b) if b in visible else chr(256 + hidden.index(b)) for b in range(256))
 
 
+def ranks_of(file: dict) -> dict[bytes, int] | None:
+    """Bytes and id of every token, if the ids of a plain byte-level tokenizer's file follow its merges; else null.
+
+    Then the pair to merge next, the one that comes first in the list of merges, is the pair whose token has the
+    smallest id, which is how rank files are read.
+    """
+    model, split = file["model"], file["pre_tokenizer"] or {}
+    plain = {k: v for k, v in model.items() if k not in ("type", "vocab", "merges")}
+    byte_level = split.get("type") == "ByteLevel" and not split["add_prefix_space"] and split.get("use_regex", True)
+    if model["type"] != "BPE" or any(plain.values()) or file["normalizer"] or file["post_processor"] or not byte_level:
+        return None
+    byte = {letter: bytes([b]) for b, letter in enumerate(byte_letters())}
+    special = {t["content"] for t in file["added_tokens"]}
+    merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+    ids = [model["vocab"][m] for m in merged]
+    if sorted({*merged, *byte} | special) != sorted(model["vocab"].keys() | special) or any(a >= b for a, b in zip(ids, ids[1:])):
+        return None
+    return {b"".join(byte[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+
+
 class Encoder:
-    """Token ids as little-endian 32-bit numbers, by the given byte-level tokenizer file.
+    """Token ids as little-endian 32-bit numbers, as the given tokenizer file gives them without special tokens added.
 
-    The tokenizer's pattern always begins a new token at a blank that a visible character follows. So a text without
-    longer runs of white space is cut there, and the ids of its words are remembered; a new word goes through the
-    tokenizer's own steps. Any other text goes to the tokenizer as a whole.
+    Texts are merged by ranks, which is faster. Texts with a string of an added token, or with characters that the two
+    libraries may class differently, go to the tokenizer itself, as do all if the file is no plain byte-level one.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are text
-        self.split, self.model = self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model
-        self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
-
-    def word(self, part: str) -> bytes:
-        """Ids of a text that begins and ends where tokens of the pattern do; those of short ones are remembered.
-
-        A run of letters is one token of the pattern, and so is a line end between visible characters.
-        """
-        if (ids := self.known.get(part)) is not None:
-            return ids
-        lines, letters = LINE.split(part), LETTERS.match(part)
-        if len(lines) > 1:
-            ids = self.word("\n").join([self.word(line) for line in lines])  # no line is cut again
-        elif letters and letters.end() == len(part):
-            tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))
-            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-        elif letters and part[letters.end()] < PLAIN:
-            ids = self.word(letters[0]) + self.word(part[letters.end() :])
-        else:
-            tokens = [t for piece, _ in self.split(part) for t in self.model.tokenize(piece)]
-            ids = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-        if len(part) <= SHORT:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[part] = ids
-        return ids
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        ranks = ranks_of(content)
+        self.ranks = ranks and tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.added = [t["content"] for t in content["added_tokens"]]
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if RUN.search(text) or "\0" in text:
+        if self.ranks and not any(a in text for a in self.added) and not unsure(text):
+            ids = self.ranks.encode_ordinary(text)
+        else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, dtype="<u4").tobytes()
-        parts, known = text.replace(" ", "\0 ").split("\0"), self.known
-        return b"".join([known[p] if p in known else self.word(p) for p in parts])
+        return np.array(ids, dtype="<u4").tobytes()
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """Made once in each worker process."""
+    return Encoder(path)
 
 
 def pieces(
@@ -119,7 +110,7 @@ def pieces(
         return pa.RecordBatch.from_arrays(arrays, schema=pa.schema(columns))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, tail = Encoder(path), np.uint32(end).astype("<u4").tobytes()
+        encode, tail = encoder(path), np.uint32(end).astype("<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
             for at, body in enumerate(batch.column(1)):

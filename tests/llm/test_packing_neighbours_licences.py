@@ -1,11 +1,16 @@
 from __future__ import annotations
 
+import json
+import unicodedata
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from llm_cases import ODD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -18,9 +23,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    out = Tokenizer.from_file(PATH)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(PATH)
 
 
 # -- packing --------------------------------------------------------------------------------------
@@ -31,13 +34,55 @@ TEXTS = [
 ]
 
 
-def test_ids_are_those_of_the_tokenizer(tokenizer, spark, monkeypatch):
+def ids_of(tokenizer, text):
+    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+
+def test_ids_are_those_of_the_tokenizer(tokenizer, spark):
     texts = TEXTS + [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
-    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() for t in texts]
     encoder = packing.Encoder(PATH)
-    assert [encoder(t) for t in texts] == want
-    monkeypatch.setattr(packing, "REMEMBERED", 50)
-    assert [encoder(t) for t in texts] == want
+    assert encoder.ranks and encoder.added == ["<|endoftext|>"]
+    assert [encoder(t) for t in texts] == [ids_of(tokenizer, t) for t in texts]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.text(max_size=80), st.text("abtheinor '.\n1", max_size=120), st.binary(max_size=60).map(lambda b: b.decode("latin-1"))))
+def test_ranks_merge_as_the_tokenizer_does(text):
+    assert packing.encoder(PATH)(text) == ids_of(packing.encoder(PATH).tokenizer, text)
+
+
+def test_every_word_of_the_documents_merges_alike(tokenizer, spark):
+    words = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(F.explode(F.split("text", " ")).alias("w")).distinct().collect()
+    texts = [" " + r["w"] for r in words if r["w"]]
+    assert len(texts) > 50_000
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert list(map(packing.encoder(PATH), texts)) == want
+
+
+def test_classes_of_characters_agree_but_for_unsure_ones():
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    split = ByteLevel(add_prefix_space=False).pre_tokenize_str
+    for c in [*range(1, 0xD800), *range(0xE000, 0x20000)]:
+        x = chr(c)
+        if unicodedata.category(x) != "Cn":
+            for lead in "a1.":
+                assert [m for m in regex.findall(packing.PATTERN, lead + x)] == [(lead + x)[a:b] for _, (a, b) in split(lead + x)], hex(c)
+
+
+def test_other_files_go_to_the_tokenizer(tmp_path):
+    with open(PATH, encoding="utf-8") as file:
+        plain = json.load(file)
+    lower = plain | {"normalizer": {"type": "Lowercase"}}
+    swapped = plain | {"model": plain["model"] | {"merges": plain["model"]["merges"][::-1]}}
+    added = plain | {"added_tokens": [*plain["added_tokens"], plain["added_tokens"][0] | {"id": 50257, "content": "a b", "special": False}]}
+    for k, content in enumerate((lower, swapped, added)):
+        path = tmp_path / f"{k}.json"
+        path.write_text(json.dumps(content))
+        encoder = packing.Encoder(str(path))
+        assert bool(encoder.ranks) == (k == 2)
+        for text in ("The QUICK a b brown", "x a b<|endoftext|>a b"):
+            assert encoder(text) == ids_of(Tokenizer.from_file(str(path)), text)
 
 
 def test_many_lines_without_blanks(tokenizer):
@@ -46,8 +91,7 @@ def test_many_lines_without_blanks(tokenizer):
     texts = ["\n".join(lines), "\n".join(map(str, range(5000))), "a b\n" + "\n\n".join(lines) + "\nc"]
     encoder = packing.Encoder(PATH)
     for text in texts:
-        assert encoder(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-    assert max(map(len, encoder.known)) <= packing.SHORT
+        assert encoder(text) == ids_of(tokenizer, text)
 
 
 def checked(packed, docs, tokenizer, length, end=2):
