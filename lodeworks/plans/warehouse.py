@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodeworks.operators.quality import require_contract, run_suite
 from lodeworks.plans import checks, features, operations, prices, staging, yearbook
-from lodeworks.sources.tables import write_table
+from lodeworks.sources.versions import current, filtered, publish
 
-#: Tables that a build writes, and how; all others are views. Yearbook files are split by tab, and shift
-#: KPIs lie in order of day, so that a filter on days skips files.
+#: Tables that a build publishes, and how; all others are views. Yearbook files are split by tab, shift KPIs lie in order
+#: of day, and truck shifts in zones of day, site and truck, so that filters on any of these leave files out.
 WRITTEN: dict[str, dict[str, list[str]]] = {
     "stg_yearbook": {"partition_by": ["tab"]},
-    "equipment_performance": {},
+    "equipment_performance": {"cluster_by": ["day", "site", "truck"]},
     "shift_kpis": {"sort_by": ["day", "site", "shift"]},
     "dim_producer": {},
     "producer_year": {},
@@ -24,19 +24,37 @@ WRITTEN: dict[str, dict[str, list[str]]] = {
 }
 
 
+def place(folder: str, name: str) -> str:
+    return f"{folder.rstrip('/')}/{name}"
+
+
+def opened(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The published tables of a warehouse, as its last build left them."""
+    return {name: current(spark, place(folder, name)) for name in WRITTEN}
+
+
+def truck_shifts(
+    spark: SparkSession, folder: str, sites: list[str] | None = None, trucks: list[str] | None = None, first_day=None, last_day=None
+) -> DataFrame:
+    """Published truck shifts of the given sites, trucks and days; files without any are not read."""
+    among = {c: v for c, v in (("site", sites), ("truck", trucks)) if v is not None}
+    return filtered(spark, place(folder, "equipment_performance"), {"day": (first_day, last_day)}, among)
+
+
 def build(raw: Mapping[str, DataFrame], folder: str | None = None, min_days: int = prices.MIN_PRICED_DAYS) -> dict[str, DataFrame]:
     """Every table by name.
 
     ``raw`` has raw_telemetry, raw_maintenance, raw_safety, equipment, and raw_yearbook or raw_sheets (sheet rows of
     the published workbook), and raw_daily_price or raw_hourly_price.
-    With ``folder`` the marts, and the two tables that several marts read, are written there as Parquet
-    and read back, so later tables neither recompute them nor depend on executors that are lost.
+    With ``folder`` the marts, and the two tables that several marts read, are published there as Parquet
+    and read back, so later tables neither recompute them nor depend on executors that are lost. A table is replaced
+    when all its new rows are there; a build that fails leaves the rest as the last one published it.
     """
     tables: dict[str, DataFrame] = {"equipment": raw["equipment"]}
 
     def add(name: str, df: DataFrame) -> DataFrame:
         if folder and name in WRITTEN:
-            df = write_table(df, f"{folder.rstrip('/')}/{name}", **WRITTEN[name])
+            df = publish(df, place(folder, name), **WRITTEN[name])
         tables[name] = df
         return df
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodeworks import names, schemas
 from lodeworks.plans import checks, prices, warehouse, yearbook
 from lodeworks.session import scratch_folder
-from lodeworks.sources import tables
+from lodeworks.sources import tables, versions
 
 
 def test_csv_keeps_dates_accents_quotes_and_nulls(spark, tmp_path):
@@ -67,7 +67,11 @@ def test_full_build_writes_checks_and_tests(spark, tmp_path):
     kpis = {r["shift"]: r for r in built["shift_kpis"].collect()}
     assert kpis["Día"]["risk_level"] == "Alto" and kpis["Noche"]["risk_level"] == "Bajo"
     assert kpis["Día"]["recovery_pct"] == pytest.approx(86.0, abs=0.01)
-    assert (tmp_path / "wh" / "shift_kpis").exists() and (tmp_path / "wh" / "stg_yearbook" / "tab=2.3").exists()
+    assert list((tmp_path / "wh" / "stg_yearbook").glob("data-*/tab=2.3")) and list((tmp_path / "wh" / "shift_kpis").glob("data-*"))
+    again = warehouse.opened(spark, f"{tmp_path}/wh")
+    assert set(again) == set(warehouse.WRITTEN)
+    for name, df in again.items():
+        assert df.schema.names == built[name].schema.names and sorted(df.collect(), key=str) == sorted(built[name].collect(), key=str)
     bad = {(r["tbl"], r["test"], r["col"]): r["n_bad"] for r in results.collect()}
     assert len(bad) == len(checks.SUITE)
     assert bad["yb_totals", "accepted_range", "total_kt"] == 1
@@ -142,3 +146,71 @@ def test_workbook_sheets_become_the_yearbook(spark):
     assert yearbook.totals(yearbook.staged(long)).where("yr = 2002").first()["total_kt"] == 2.0
     with pytest.raises(ValueError, match=r"missing: Tabla 2\.4"):
         yearbook.from_workbook(df.where("sheet != 'Tabla 2.4'"))
+
+
+def test_a_lost_write_leaves_the_old_rows_and_versions_stay_readable(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    with pytest.raises(FileNotFoundError):
+        versions.current(spark, path)
+    first = spark.range(1000).withColumn("g", F.col("id") % 3)
+    assert versions.publish(first, path, partition_by=["g"]).count() == 1000
+    broken = spark.range(0, 900, 1, 6).withColumn("g", F.when(F.col("id") == 777, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        versions.publish(broken, path)
+    assert versions.current(spark, path).count() == 1000 and versions.history(spark, path).count() == 1
+    # replaced by a plan that reads the version it replaces
+    more = versions.current(spark, path).where("g > 0").withColumn("x", F.lit("new"))
+    assert versions.publish(more, path).columns == ["id", "g", "x"]
+    assert versions.current(spark, path).count() == 666 and versions.current(spark, path, 1).count() == 1000
+    assert versions.publish(first.where("false"), path).count() == 0
+    assert [r["number"] for r in versions.superseded(spark, path, keep=2).collect()] == [1]
+    with pytest.raises(FileNotFoundError):
+        versions.current(spark, path, 9)
+
+
+def files_read(df) -> int:
+    df.collect()
+    found = df._jdf.queryExecution().executedPlan()
+    found = found.executedPlan() if "AdaptiveSparkPlan" in found.getClass().getName() else found
+    leaves = found.collectLeaves()
+    metrics = [leaves.apply(i).metrics() for i in range(leaves.size())]
+    return sum(m.apply("numFiles").value() for m in metrics if m.contains("numFiles"))
+
+
+def test_filters_read_only_zones_that_may_hold_their_rows(spark, tmp_path):
+    rows = spark.range(20_000).select(
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 400).cast("int")).alias("day"),
+        F.concat(F.lit("site "), (F.col("id") * 7 % 5).cast("string")).alias("site"),
+        F.when(F.col("id") % 50 != 0, F.concat(F.lit("T"), F.lpad((F.col("id") * 13 % 60).cast("string"), 3, "0"))).alias("truck"),
+        "id",
+    )
+    path = f"{tmp_path}/clustered"
+    published = versions.publish(rows, path, cluster_by=["day", "site", "truck"])
+    assert published.columns == rows.columns and sorted(published.collect(), key=str) == sorted(rows.collect(), key=str)
+    every = files_read(versions.current(spark, path))
+    assert every >= 48
+    for between, among, share in (
+        ({"day": ("2020-03-01", "2020-03-02")}, {"site": ["site 1"]}, 0.1),
+        ({}, {"truck": ["T007"]}, 0.3),
+        ({"day": (None, "2020-02-01"), "id": (5, None)}, {"site": ["site 2"], "truck": ["T059", "T058"]}, 0.1),
+    ):
+        got, want = versions.filtered(spark, path, between, among), rows
+        for c, (low, high) in between.items():
+            want = want.where(F.lit(True) if low is None else F.col(c) >= low).where(F.lit(True) if high is None else F.col(c) <= high)
+        for c, values in among.items():
+            want = want.where(F.col(c).isin(values))
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+        assert files_read(got) <= share * every
+    assert versions.filtered(spark, path, {}, {"site": []}).count() == 0
+    plain = f"{tmp_path}/plain"
+    versions.publish(rows, plain, sort_by=["day"])
+    assert versions.filtered(spark, plain, {"day": ("2020-03-01", "2020-03-02")}).count() == rows.where("day between '2020-03-01' and '2020-03-02'").count()
+    with pytest.raises(ValueError, match="cluster"):
+        versions.publish(rows.withColumn("a", F.array("id")), plain, cluster_by=["a"])
+
+
+def test_truck_shifts_are_read_by_day_site_and_truck(spark, tmp_path):
+    built = warehouse.build(raw_tables(spark), f"{tmp_path}/wh")["equipment_performance"]
+    some = built.first()
+    got = warehouse.truck_shifts(spark, f"{tmp_path}/wh", [some["site"]], [some["truck"]], some["day"], some["day"])
+    assert some in got.collect() and warehouse.truck_shifts(spark, f"{tmp_path}/wh").count() == built.count()
