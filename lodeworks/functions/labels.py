@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lodeworks.functions.exact import mean, total
+
 # Labels, weights and thresholds that the published tables use.
 DAY_SHIFT, NIGHT_SHIFT = "Día", "Noche"
 DAY_SHIFT_HOURS = (8, 19)
@@ -72,7 +74,7 @@ def local_hour(report_hour: Column) -> Column:
 
 def avg_where(x: Column, flag: Column) -> Column:
     """Mean of x over the rows where flag holds."""
-    return F.avg(F.when(flag, x))
+    return mean(F.when(flag, x))
 
 
 def max_where(x: Column, flag: Column) -> Column:
@@ -80,4 +82,4 @@ def max_where(x: Column, flag: Column) -> Column:
 
 
 def sum_where(x: Column, flag: Column) -> Column:
-    return F.sum(F.when(flag, x))
+    return total(F.when(flag, x))

@@ -47,7 +47,8 @@ def row_block(number: str, rows: int = BLOCK_ROWS) -> Column:
 def within(keys: list[str], order: list[str]) -> WindowSpec:
     """Window inside one block, for rows with ``_context``: state rows, then rows in order, then rows without a place."""
     stage = F.when(F.col(CONTEXT), 0).when(F.col(order[0]).isNull(), 2).otherwise(1)
-    return Window.partitionBy(*keys).orderBy(stage, *[F.col(c).asc_nulls_first() for c in order])
+    rest = [F.col(c).asc_nulls_first() for c in order[1:]]
+    return Window.partitionBy(*keys).orderBy(stage, F.col(order[0]).asc_nulls_last(), *rest)
 
 
 def block_order(block: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodeworks.functions.exact import mean
 from lodeworks.functions.labels import max_where
 from lodeworks.functions.numeric import safe_divide
 
@@ -111,7 +112,7 @@ def summary_stats(df: DataFrame, columns: list[str]) -> DataFrame:
             F.count(c).alias("n"),
             F.min(c).alias("min_v"),
             F.max(c).alias("max_v"),
-            F.avg(c).alias("mean_v"),
+            mean(F.col(c)).alias("mean_v"),
             (F.max(c) - F.min(c)).alias("spread_v"),
         )
         for c in columns

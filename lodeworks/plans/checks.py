@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodeworks.functions import exact
 from lodeworks.functions.labels import DAY_SHIFT, NIGHT_SHIFT, NORTH_BUSES, RISK_LEVELS, SERIOUS, SITES, SOUTH_BUSES
 from lodeworks.operators.quality import Check, reconcile
 from lodeworks.plans.yearbook import UNITS
@@ -26,6 +27,7 @@ def key(table: str, *columns: str) -> Check:
     return Check(table, "unique" if len(columns) == 1 else "unique_combination", columns)
 
 
+# Fixed values from here to the contract: the published tests and columns, which must match.
 SHIFTS = [DAY_SHIFT, NIGHT_SHIFT]
 
 OPERATIONS = [
@@ -163,14 +165,14 @@ def recovery_out_of_bounds(kpis: DataFrame) -> DataFrame:
 def energy_gaps(energy: DataFrame, strict: bool = False) -> DataFrame:
     """(yr, source) where the processes do not add up to national use within 1%."""
     total = F.col("process") == "Total"
-    parts = energy.where(~total).groupBy("yr", "source").agg(F.sum("energy_tj").alias("part_sum"))
+    parts = energy.where(~total).groupBy("yr", "source").agg(exact.total(F.col("energy_tj")).alias("part_sum"))
     published = energy.where(total).select("yr", "source", F.col("energy_tj").alias("published"))
     return reconcile(parts, published, ["yr", "source"], relative=0.01, strict=strict)
 
 
 def output_gaps(mines: DataFrame, totals: DataFrame, strict: bool = False) -> DataFrame:
     """(yr, owner) where mines do not add up to their group, or groups to the nation, within 0.5 kt."""
-    parts = mines.groupBy("yr", "owner").agg(F.sum("output_kt").alias("part_sum"))
+    parts = mines.groupBy("yr", "owner").agg(exact.total(F.col("output_kt")).alias("part_sum"))
     groups = totals.select(
         "yr",
         F.inline(

@@ -12,32 +12,46 @@ from pyspark.sql import functions as F
 from lodeworks.functions.labels import shift_order
 from lodeworks.functions.numeric import positive_flag, recovery
 from lodeworks.operators import blocks
+from lodeworks.operators.ranks import ranked
+from lodeworks.session import scratch_folder
+from lodeworks.sources.tables import write_table
 
-TRUCK_ORDER = ["day", "shift_ord"]
+#: The last column decides between rows of one shift, of which only a truck without an id should have several.
+TRUCK_ORDER = ["day", "shift_ord", "tie"]
 SHIFT_FRAME = 7
 HOUR_FRAME = 6
 #: Fixed stretches of the calendar that one task takes of a truck's or a site's history.
 BLOCK_MONTHS = 12
 BLOCK_SECONDS = 7 * 86_400
 HOURS = "decimal(28, 9)"
+#: Rows that a task takes of one truck; a stretch with more of them is cut by rank.
+STRETCH_ROWS = 200_000
+#: Block number of rows without a day, behind those of all dates; and numbers between two stretches, for their cuts.
+UNDATED = 1 << 30
+CUTS = 1 << 32
 
 
-def failure_features(performance: DataFrame, block_months: int = BLOCK_MONTHS) -> DataFrame:
+def failure_features(performance: DataFrame, block_months: int = BLOCK_MONTHS, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """One row per truck shift: running hours, 7-shift frames, shifts since a failure, next-shift label.
 
     Histories are cut into stretches of ``block_months`` calendar months: a year has at most 732 rows of a truck by
-    the table's grain. Rows without a day come last. Hours are summed as decimals, so their total does not depend
-    on where blocks end. Shifts since a failure count from the truck's first row until it first fails.
+    the table's grain. Rows without a day come last. A stretch with more than ``stretch_rows`` rows, such as that of
+    a missing or placeholder id or date, is cut further by the rank of its rows. Hours are summed as decimals, so their
+    total does not depend on where blocks end; rows of one truck and shift are ordered by a hash of their values. Shifts
+    since a failure count from the truck's first row until it first fails.
     """
     month = F.year("day") * 12 + F.month("day") - 1
+    calendar = F.coalesce(F.floor(month / F.lit(block_months)), F.lit(UNDATED))
     marked = performance.withColumns(
         {
             "shift_ord": shift_order(F.col("shift")),
+            "tie": F.xxhash64(*performance.columns),
             "failed": positive_flag(F.col("fail_h")),
-            "block": F.floor(month / F.lit(block_months)),
+            "block": calendar * F.lit(CUTS),
             "hours": F.col("oper_h").cast(HOURS),
         }
     )
+    marked = _cut_by_rank(marked, stretch_rows)
     rows = blocks.add_state(marked, _truck_state(marked), ["truck"], "block")
     run = blocks.within(["truck", "block"], TRUCK_ORDER)
     so_far = run.rowsBetween(Window.unboundedPreceding, 0)
@@ -91,6 +105,23 @@ def failure_features(performance: DataFrame, block_months: int = BLOCK_MONTHS) -
     )
 
 
+def _cut_by_rank(marked: DataFrame, stretch_rows: int) -> DataFrame:
+    """Rows with the block of their place in their stretch, where a stretch has too many rows for one task.
+
+    Long stretches are at most one in ``stretch_rows`` rows. There mostly are none, which a count tells; if there are,
+    their rows alone are ranked.
+    """
+    counts = marked.groupBy("truck", "block").agg(F.count("*").alias("n")).where(F.col("n") > stretch_rows)
+    long = write_table(counts.select(F.col("truck").alias("of"), F.col("block").alias("stretch")), scratch_folder(marked.sparkSession, "long-stretches"))
+    if long.isEmpty():
+        return marked
+    same = F.col("truck").eqNullSafe(F.col("of")) & (F.col("block") == F.col("stretch"))
+    order = ["truck", "block", *TRUCK_ORDER]  # a block's rows all have a day, or none has
+    rows = ranked(marked.join(F.broadcast(long), same, "left_semi"), order, "rank")
+    cut = rows.withColumn("block", F.col("block") + F.floor(F.col("rank") / F.lit(stretch_rows))).drop("rank")
+    return marked.join(F.broadcast(long), same, "left_anti").unionByName(cut)
+
+
 def _truck_state(marked: DataFrame) -> DataFrame:
     """State rows of each (truck, block): totals before it, the label after it, the six rows before it."""
     keep = SHIFT_FRAME - 1

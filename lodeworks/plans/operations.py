@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodeworks.functions.exact import mean, total
 from lodeworks.functions.labels import SERIOUS, risk_band, risk_points
 from lodeworks.functions.numeric import cap, recovery, round_half_up, safe_divide
 from lodeworks.operators.dimension import join_dimension
@@ -58,11 +59,11 @@ def fleet_by_shift(performance: DataFrame) -> DataFrame:
     """Fleet means and sums per shift. The means are over trucks, not weighted by hours."""
     return performance.groupBy(*GRAIN).agg(
         F.countDistinct("truck").alias("n_trucks"),
-        F.avg("availability").alias("availability_mean"),
-        F.avg("performance").alias("performance_mean"),
-        F.sum("sched_h").alias("sched_total"),
-        F.sum("oper_h").alias("oper_total"),
-        F.sum("payload_t").alias("payload_total"),
+        mean(F.col("availability")).alias("availability_mean"),
+        mean(F.col("performance")).alias("performance_mean"),
+        total(F.col("sched_h")).alias("sched_total"),
+        total(F.col("oper_h")).alias("oper_total"),
+        total(F.col("payload_t")).alias("payload_total"),
     )
 
 
@@ -71,10 +72,10 @@ def plant_by_shift(telemetry: DataFrame) -> DataFrame:
 
     A row without a grade still adds its tonnage to the weights, so the weighted grade reads low then.
     """
-    weight = F.sum("tons")
+    weight = total(F.col("tons"))
 
     def weighted(grade: str):
-        return safe_divide(F.sum(F.col(grade) * F.col("tons")), weight)
+        return safe_divide(total(F.col(grade) * F.col("tons")), weight)
 
     return telemetry.groupBy(*GRAIN).agg(
         weight.alias("processed_total"),
@@ -89,7 +90,7 @@ def safety_by_shift(safety: DataFrame) -> DataFrame:
     return safety.groupBy(*GRAIN).agg(
         F.count("*").alias("incidents"),
         F.count_if(F.col("sev").isin(SERIOUS)).alias("serious_incidents"),
-        F.sum("down_h").alias("down_total"),
+        total(F.col("down_h")).alias("down_total"),
         F.sum(risk_points(F.col("sev"))).alias("risk_score"),
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodeworks.functions.exact import mean
 from lodeworks.functions.labels import NIGHT_HOURS, NORTH_BUSES, SOLAR_HOURS, SOUTH_BUSES, avg_where, bus_zone, local_hour, sum_where
 from lodeworks.functions.numeric import clip_lower, kt_to_t, round_half_even, round_half_up, safe_divide, tj_to_mwh
 
@@ -21,7 +22,7 @@ def daily_summary(hourly: DataFrame) -> DataFrame:
     h = local_hour(F.col("hour"))
     price = clip_lower(F.col("price"), 0.0)
     return hourly.where("day is not null and bus is not null").groupBy("day", "bus").agg(
-        round_half_even(F.avg(price), 2).alias("price_mean"),
+        round_half_even(mean(price), 2).alias("price_mean"),
         round_half_even(avg_where(price, h.isin(SOLAR_HOURS)), 2).alias("price_solar"),
         round_half_even(avg_where(price, h.isin(NIGHT_HOURS)), 2).alias("price_night"),
         F.count("*").alias("hours"),
@@ -50,10 +51,10 @@ def monthly(stage: DataFrame) -> DataFrame:
         .agg(
             F.any_value("zone", True).alias("zone"),
             F.count("*").alias("days"),
-            round_half_up(F.avg("price_mean"), 2).alias("price_mean"),
-            round_half_up(F.avg("price_solar"), 2).alias("price_solar"),
-            round_half_up(F.avg("price_night"), 2).alias("price_night"),
-            round_half_up(F.avg("price_night") - F.avg("price_solar"), 2).alias("night_solar_gap"),
+            round_half_up(mean(F.col("price_mean")), 2).alias("price_mean"),
+            round_half_up(mean(F.col("price_solar")), 2).alias("price_solar"),
+            round_half_up(mean(F.col("price_night")), 2).alias("price_night"),
+            round_half_up(mean(F.col("price_night")) - mean(F.col("price_solar")), 2).alias("night_solar_gap"),
         )
         .select(F.make_date("yr", "mon", F.lit(1)).alias("month"), "bus", "zone", "days", "price_mean", "price_solar", "price_night", "night_solar_gap")
     )
@@ -61,7 +62,7 @@ def monthly(stage: DataFrame) -> DataFrame:
 
 def annual(stage: DataFrame, min_days: int = MIN_PRICED_DAYS) -> DataFrame:
     """(yr, bus, priced_days, price): the bus-years with enough priced days."""
-    years = stage.groupBy("yr", "bus").agg(F.count("*").alias("priced_days"), F.avg("price_mean").alias("price"))
+    years = stage.groupBy("yr", "bus").agg(F.count("*").alias("priced_days"), mean(F.col("price_mean")).alias("price"))
     return years.where(F.col("priced_days") >= min_days)
 
 

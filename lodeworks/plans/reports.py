@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodeworks.functions.exact import mean, total
 from lodeworks.functions.labels import RISK_LEVELS, classify
 from lodeworks.functions.numeric import implied_tonnage, round_half_even
 from lodeworks.operators import shape
@@ -63,9 +64,9 @@ def detail(kpis: DataFrame) -> DataFrame:
 def kpi_cards(kpis: DataFrame) -> DataFrame:
     """Mean availability, OEE and recovery, and all incidents."""
     return kpis.agg(
-        F.avg("availability_pct").alias("availability_pct"),
-        F.avg("oee_pct").alias("oee_pct"),
-        F.avg("recovery_pct").alias("recovery_pct"),
+        mean(F.col("availability_pct")).alias("availability_pct"),
+        mean(F.col("oee_pct")).alias("oee_pct"),
+        mean(F.col("recovery_pct")).alias("recovery_pct"),
         F.sum("incidents").alias("incidents"),
     )
 
@@ -73,7 +74,7 @@ def kpi_cards(kpis: DataFrame) -> DataFrame:
 def daily_trend(kpis: DataFrame) -> DataFrame:
     """Means of each day; shifts without a day are in none."""
     measures = ["availability_pct", "oee_pct", "performance_pct", "quality_pct", "recovery_pct"]
-    return kpis.where("day is not null").groupBy("day").agg(*[F.avg(c).alias(c) for c in measures])
+    return kpis.where("day is not null").groupBy("day").agg(*[mean(F.col(c)).alias(c) for c in measures])
 
 
 def clean_or_incident():
@@ -84,7 +85,7 @@ def clean_vs_incident(kpis: DataFrame) -> DataFrame:
     """Mean KPIs of shifts without and with incidents."""
     measures = ["availability_pct", "performance_pct", "quality_pct", "oee_pct", "recovery_pct"]
     return kpis.groupBy(clean_or_incident().alias("grp")).agg(
-        F.count("*").alias("n"), *[F.avg(c).alias(c) for c in measures]
+        F.count("*").alias("n"), *[mean(F.col(c)).alias(c) for c in measures]
     )
 
 
@@ -104,7 +105,7 @@ def kpi_stats(kpis: DataFrame) -> DataFrame:
 def risk_by_score(kpis: DataFrame) -> DataFrame:
     """Shifts per (level, score). Summing n by level gives the level's shifts, however many scores it has."""
     return kpis.groupBy("risk_level", "risk_score").agg(
-        F.count("*").alias("n"), F.max("incidents").alias("max_incidents"), F.avg("oee_pct").alias("oee_pct")
+        F.count("*").alias("n"), F.max("incidents").alias("max_incidents"), mean(F.col("oee_pct")).alias("oee_pct")
     )
 
 
@@ -129,9 +130,9 @@ def truck_summary(performance: DataFrame) -> DataFrame:
     """Per truck: mean availability and performance in percent, and payload. Trucks without a model drop out."""
     known = performance.where(F.col("model").isNotNull() & F.col("truck").isNotNull() & F.col("site").isNotNull())
     return known.groupBy("truck", "site", "model").agg(
-        round_half_even(F.avg("availability") * 100.0, 1).alias("availability_pct"),
-        round_half_even(F.avg("performance") * 100.0, 1).alias("performance_pct"),
-        F.sum("payload_t").alias("payload_t"),
+        round_half_even(mean(F.col("availability")) * 100.0, 1).alias("availability_pct"),
+        round_half_even(mean(F.col("performance")) * 100.0, 1).alias("performance_pct"),
+        total(F.col("payload_t")).alias("payload_t"),
     )
 
 
@@ -167,7 +168,7 @@ def cost_selected(costs: DataFrame, buses: list[str] | None = None) -> DataFrame
 
 def zone_monthly(months: DataFrame) -> DataFrame:
     """Mean solar and night price per (month, zone)."""
-    return months.groupBy("month", "zone").agg(F.avg("price_solar").alias("solar"), F.avg("price_night").alias("night"))
+    return months.groupBy("month", "zone").agg(mean(F.col("price_solar")).alias("solar"), mean(F.col("price_night")).alias("night"))
 
 
 def top_rows(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodeworks.functions.exact import total
 from lodeworks.functions.labels import classify, max_where, recode, sum_where, zero_as_null
 from lodeworks.functions.numeric import mj_to_kwh, pct_share, round_half_up
 from lodeworks.operators.blocks import BLOCK_ROWS, fill_forward
@@ -161,7 +162,7 @@ def dim_producer(mines: DataFrame) -> DataFrame:
     return (
         mines.where(F.col("mine") != OTHER_MINES)
         .groupBy("mine", "owner")
-        .agg(F.min("yr").alias("first_yr"), F.max("yr").alias("last_yr"), F.sum("output_kt").alias("output_total_kt"))
+        .agg(F.min("yr").alias("first_yr"), F.max("yr").alias("last_yr"), total(F.col("output_kt")).alias("output_total_kt"))
     )
 
 

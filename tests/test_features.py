@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lodeworks import schemas
-from lodeworks.operators import blocks
+from lodeworks.operators import blocks, ranks
 from lodeworks.plans import features, staging
 
 PERF = "truck string, day date, shift string, site string, model string, cap_t double, oper_h double, maint_h double, fail_h double, availability double, performance double"
@@ -180,3 +180,38 @@ def test_label_coverage(spark):
     assert (got["failure"]["n_rows"], got["failure"]["labelled"], got["failure"]["positives"]) == (6, 5, 2)
     assert got["process"]["labelled_grade"] == 4
     assert features.training_rows(failure).count() == 5
+
+
+def nameless(spark, n=3000):
+    """Rows of no truck, many to a shift and some without a day, beside two trucks."""
+    rng = random.Random(4)
+    rows = [(None, None if rng.random() < 0.1 else date(2024, 1, 1) + timedelta(days=rng.randrange(300)), rng.choice(["Día", "Noche"]), rng.choice([0.0, 0.0, 1.1])) for _ in range(n)]
+    full = [(t, d, s, "Andina", "M", 300.0, rng.random() * 12, rng.random(), f, rng.random(), 1.0) for t, d, s, f in rows + shifts("T1", 400, {7, 90}) + shifts("T2", 5)]
+    return spark.createDataFrame(full, PERF)
+
+
+def test_long_stretches_are_cut_by_rank_and_change_no_digit(spark):
+    data = nameless(spark)
+    want = sorted(map(tuple, features.failure_features(data, stretch_rows=10**9).collect()), key=str)
+    for months, rows in ((12, 100), (1, 100), (12, 999), (12, 3)):
+        assert sorted(map(tuple, features.failure_features(data, months, rows).collect()), key=str) == want
+    assert len(want) == 3405
+
+
+def test_rows_of_no_truck_are_spread_over_blocks_of_bounded_size(spark):
+    data = nameless(spark).withColumns({"shift_ord": F.lit(1), "tie": F.xxhash64("oper_h"), "block": F.lit(7) * F.lit(features.CUTS)})
+    cut = features._cut_by_rank(data, 100)
+    sizes = {(r["truck"], r["block"] >> 32): [] for r in cut.select("truck", "block").distinct().collect()}
+    for r in cut.groupBy("truck", "block").count().collect():
+        sizes[r["truck"], r["block"] >> 32].append(r["count"])
+    assert max(sizes[None, 7]) <= 100 and len(sizes[None, 7]) >= 30 and sum(sizes[None, 7]) == 3000
+    assert sizes["T2", 7] == [5] and sum(sizes["T1", 7]) == 400
+
+
+def test_ranks_over_the_whole_table(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x")).repartition(5)
+    got = ranks.ranked(rows, [F.col("x").desc()], "rank")
+    assert got.count() == 5000 and got.where("rank <> 4999 - x").count() == 0
+    assert ranks.ranked(rows.where("false"), ["x"], "rank").count() == 0
+    equal = spark.range(100).select(F.lit(1).alias("x"))
+    assert sorted(r["rank"] for r in ranks.ranked(equal, ["x"], "rank").collect()) == list(range(100))
