@@ -386,6 +386,17 @@ _TEXTS: dict[str, str] = {
             "equipment": "fx_equipment",
         }
     ),
+    "src_published_types": "select * from fx_yearbook",
+    "sink_versions": """select 'first' as version, count(*) as n_rows, cast(sum(hours) as bigint) as hours from o_daily
+        union all select 'again', count(*), cast(sum(hours) as bigint) from o_daily
+        union all select 'newest', count(*), cast(sum(hours) as bigint) from o_daily where hours > 1""",
+    "sink_clustered_filter": "select * from o_perf where site = 'Andina' and day between date '1995-01-01' and date '1996-06-30'",
+    "agg_trucks_by_any_grain": """select 'shift' as grain, day, shift, site, count(distinct truck) as n_trucks from o_perf group by day, shift, site
+        union all select 'day', day, null, null, count(distinct truck) from o_perf group by day
+        union all select 'site', null, null, site, count(distinct truck) from o_perf group by site
+        union all select 'all', null, null, null, count(distinct truck) from o_perf""",
+    "agg_exact_grades": f"""select site, cast(date_trunc('month', cast(ts as date)) as date) as month, round(fsum(tons / 3 * (feed / 7)), 9) as metal,
+        round(fsum(tons / 3), 9) as tons, round(favg(feed / 7), 9) as grade, true as same from {_STAGED_TELEMETRY} group by all""",
     "stg_telemetry": f"select record_id, site, ts, cast(ts as date) as day, shift, tons, feed, conc, tail, dose, ph from {_STAGED_TELEMETRY}",
     "stg_maintenance": f"select * from {_STAGED_MAINTENANCE}",
     "stg_safety": "select * exclude (points) from o_safety",
@@ -420,6 +431,7 @@ _TEXTS: dict[str, str] = {
     "shift_kpis": "select * from o_kpis",
     "ml_failure_features": "select * from o_failure",
     "ml_failure_features_blocked": "select * from o_failure",
+    "ml_failure_features_ranked": "select * from o_failure",
     "ml_failure_streak": "select truck, day, shift, failed, shifts_since_failure from o_failure",
     "ml_label_coverage": """select 'failure' as tbl, count(*) as n_rows, count(fails_next_shift) as labelled,
         cast(null as bigint) as labelled_grade, count(*) filter (where fails_next_shift = 1) as positives from o_failure

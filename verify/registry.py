@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from lodeworks import schemas
+from lodeworks import names, schemas
+from lodeworks.functions import exact
 from lodeworks.functions import labels as lab
 from lodeworks.functions import numeric as num
 from lodeworks.functions import text
-from lodeworks.operators import quality, sheets
+from lodeworks.operators import distinct, quality, sheets
 from lodeworks.plans import checks, features, operations, prices, reports, staging, warehouse, yearbook
 from lodeworks.session import scratch_folder
 from lodeworks.sources import tables as files
+from lodeworks.sources import versions
 from verify.fixtures import sheet_rows, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,17 +152,47 @@ def sink_roundtrip_counts(spark, sf):
     """Row counts of the raw tables after they are written and read back."""
     x = Inputs(spark, sf)
     folder = scratch_folder(spark, "raw")
-    names = {
+    stored = {
         "raw_telemetry": "fx_telemetry", "raw_maintenance": "fx_maintenance", "raw_safety": "fx_safety",
         "raw_yearbook": "fx_yearbook", "equipment": "fx_equipment",
     }
     written = {
         name: files.write_table(x.fx(fx), f"{folder}/{name}", ["tab"] if name == "raw_yearbook" else None)
-        for name, fx in names.items()
+        for name, fx in stored.items()
     }
     return files.row_counts(written)
 
 
+@query
+def src_published_types(spark, sf):
+    """The raw yearbook as it is published: its own column names, 64-bit whole numbers."""
+    stored = Inputs(spark, sf).fx("fx_yearbook").select(*schemas.YEARBOOK.names)
+    wide = stored.withColumns({c: F.col(c).cast("bigint") for c in ("ord", "lvl", "yr")})
+    path = scratch_folder(spark, "published-yearbook")
+    files.write_table(names.published(wide, "raw_yearbook"), path)
+    return files.read_raw(spark, path, "raw_yearbook")
+
+
+@query
+def sink_versions(spark, sf):
+    """A table that is replaced by a part of itself: rows of each version, and of what readers get by then."""
+    path = f"{scratch_folder(spark, 'published')}"
+    first = versions.publish(Inputs(spark, sf).daily_price(), path, sort_by=["day", "bus"])
+    versions.publish(versions.current(spark, path).where(F.col("hours") > 1), path, partition_by=["bus"])
+    read = [("first", first), ("again", versions.current(spark, path, 1)), ("newest", versions.current(spark, path))]
+    count = [df.agg(F.count("*").alias("n_rows"), F.sum("hours").alias("hours")).select(F.lit(n).alias("version"), "n_rows", "hours") for n, df in read]
+    return reduce(DataFrame.unionByName, count)
+
+
+@query
+def sink_clustered_filter(spark, sf):
+    """Truck shifts of one site, two trucks and a stretch of days, out of zones of a published table."""
+    path = scratch_folder(spark, "truck-shifts")
+    versions.publish(Inputs(spark, sf).performance(), path, cluster_by=["day", "site", "truck"])
+    days = {"day": ("1995-01-01", "1996-06-30")}
+    return versions.filtered(spark, path, days, {"site": ["Andina"]})
+
+
 # -- staging ----------------------------------------------------------------------------------------
 
 
@@ -299,6 +332,29 @@ def equipment_performance_salted(spark, sf):
     return joined.groupBy("model").agg(F.count("*").alias("n"), F.sum("cycles").alias("cycles"), F.max("cap_t").alias("cap_t"))
 
 
+@query
+def agg_trucks_by_any_grain(spark, sf):
+    """Trucks by shift, day and site from one table of bitmaps."""
+    performance = Inputs(spark, sf).performance()
+    codes = distinct.coded(performance, "truck")
+    parts = distinct.partials(performance, ["day", "shift", "site"], "truck", codes, ["day", "shift"])
+    parts = files.write_table(parts, scratch_folder(spark, "truck-bitmaps"))
+    grains = {"shift": ["day", "shift", "site"], "day": ["day"], "site": ["site"], "all": []}
+    every = [distinct.counts(parts, keys, "n_trucks").withColumn("grain", F.lit(g)) for g, keys in grains.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), every)
+
+
+@query
+def agg_exact_grades(spark, sf):
+    """Tonnage-weighted grades of numbers that are not exact in binary, per site and month: no digit is rounded off."""
+    rows = Inputs(spark, sf).telemetry().select("site", F.trunc("day", "month").alias("month"), (F.col("tons") / 3).alias("t"), (F.col("feed") / 7).alias("g"))
+    spread = rows.repartition(7, F.xxhash64("t", "g"))  # sums are the same however rows are dealt
+    sums = spread.groupBy("site", "month").agg(exact.total(F.col("t") * F.col("g")).alias("metal"), exact.total(F.col("t")).alias("tons"), exact.mean(F.col("g")).alias("grade"))
+    direct = rows.groupBy("site", "month").agg(exact.total(F.col("t") * F.col("g")).alias("m2"), exact.total(F.col("t")).alias("t2"), exact.mean(F.col("g")).alias("g2"))
+    same = (F.col("metal") == F.col("m2")) & (F.col("tons") == F.col("t2")) & (F.col("grade") == F.col("g2"))
+    return rounded(sums.join(direct, ["site", "month"]).select("site", "month", "metal", "tons", "grade", same.alias("same")), 9)
+
+
 @query
 def dq_capped_unknown(spark, sf):
     """Truck shifts whose performance is the cap of an unknown rate."""
@@ -339,6 +395,12 @@ def ml_failure_features_blocked(spark, sf):
     return features.failure_features(Inputs(spark, sf).performance(), block_months=1)
 
 
+@query
+def ml_failure_features_ranked(spark, sf):
+    """Stretches of ten years with more rows of a truck than a task is to take are cut by rank."""
+    return features.failure_features(Inputs(spark, sf).performance(), block_months=120, stretch_rows=50)
+
+
 @query
 def ml_failure_streak(spark, sf):
     return features.failure_streak(Inputs(spark, sf).performance())
