@@ -68,6 +68,74 @@ def test_hot_anchors_and_small_shards_change_nothing(documents, monkeypatch):
     assert result(sd.remove_repeats(documents(rows))) == brute(rows, 13)
 
 
+def test_statistics_and_holders_of_a_shard():
+    """Of every window how many of its last words occur twice in the shard, and the smallest owner of repeated ones."""
+    rng = random.Random(3)
+    contents = [[rng.choice("abc") for _ in range(rng.randrange(5, 12))] for _ in range(30)]
+    owners = np.array([rng.randrange(1 << 60) for _ in contents])
+    holders, bounds, reach = sd.first_holders([" ".join(c).encode() for c in contents], owners, 5)
+    runs = lambda n: [tuple(c[k : k + n]) for c in contents for k in range(len(c) - n + 1)]
+    windows = [(i, k) for i, c in enumerate(contents) for k in range(len(c) - 4)]
+    assert len(windows) == bounds[-1] == len(reach)
+    for (i, k), holder, n in zip(windows, holders.tolist(), reach.tolist(), strict=True):
+        window = tuple(contents[i][k : k + 5])
+        assert n == max((m for m in range(1, 6) if runs(m).count(window[5 - m :]) > 1), default=0)
+        held = [int(owners[j]) for j, c in enumerate(contents) for m in range(len(c) - 4) if tuple(c[m : m + 5]) == window]
+        assert holder == (min(held) if len(held) > 1 else owners[i])
+
+
+def stored(monkeypatch, documents, rows):
+    """What is written of an input's segments, and its hot anchors."""
+    kept = {}
+    own = sd.written
+    monkeypatch.setattr(sd, "written", lambda df, name: kept.setdefault(name, own(df, name)))
+    assert result(sd.remove_repeats(documents(rows))) == brute(rows, 13)
+    return kept["segments"], kept["hot-anchors"]
+
+
+def test_copies_are_not_searched_nor_cut_into_windows(documents, monkeypatch):
+    monkeypatch.setattr(sd, "HOT_SEGMENTS", 50)
+    text = " ".join(f"word{i * i % 97}-{i}" for i in range(200))
+    for parts in (1, 5):
+        with monkeypatch.context() as patch:
+            told, hot = stored(patch, lambda r, n=parts: documents(r).repartition(n), [(i, text) for i in range(60)])
+            searched = told.where("not whole")
+            assert searched.where("doc_id = 0").count() < 188 / 3 and hot.count() == 0
+            # once for each batch at most, and only the smallest document of all is left where batches meet
+            assert searched.select("doc_id").distinct().count() == 1
+
+
+def test_hot_anchors_are_split_alike_in_all_batches(documents, monkeypatch):
+    """An anchor that is hot only over all batches together, in documents that share it within their batch too."""
+    monkeypatch.setattr(sd, "HOT_SEGMENTS", 40)
+    rng = random.Random(9)
+    common = " ".join(f"c{i}" for i in range(14))
+    rows = [(i, " ".join([f"x{rng.randrange(5)}", common, *[f"y{rng.randrange(30)}" for _ in range(4)]])) for i in range(160)]
+    _, hot = stored(monkeypatch, lambda r: documents(r).repartition(6), rows)
+    assert hot.count() > 0
+
+
+def test_texts_are_shuffled_once(spark, documents):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        shown = sd.remove_repeats(docs).drop("text")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 * 1024 * 1024)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange [doc_id" in shown and shown.count("documents.parquet") == 1
+
+
+def test_short_windows_and_repeated_ids(documents):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "x a b c d"), (None, "a b c d e f"), (3, "d e f a b c")] * 2
+    for width in (4, 5):
+        assert result(sd.remove_repeats(documents(rows), width)) == brute(rows, width)
+    for width in (3, 0):
+        with pytest.raises(ValueError, match="at least 4"):
+            sd.remove_repeats(documents(rows), width)
+
+
 def test_odd_rows(odd, empty):
     got = result(sd.remove_repeats(odd))
     assert got == brute(ODD, 13)
