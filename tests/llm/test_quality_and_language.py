@@ -168,8 +168,15 @@ def test_backoff(documents, odd, empty, monkeypatch):
     # unknown words: their longest known n-grams, here " kat", "kate" and others of "kater"
     assert lang.word_scores(model, "kate")[0] > lang.word_scores(model, "kate")[1]
     assert lang.word_scores(model, "漢字").tolist() == [lang.ABSENT] * 2
-    monkeypatch.setattr(lang, "REMEMBERED", 4)
-    scorer = lang.Scorer(model)
+    for words_, entries in ((4, 1000), (100, 6), (100, 1)):
+        monkeypatch.setattr(lang, "REMEMBERED", words_)
+        monkeypatch.setattr(lang, "ENTRIES", entries)
+        scorer = lang.Scorer(model)
+        for text in ("the kater dogs and cats hund the the xylophone", "der der the", "a b c d e f g h", "the cat " * 50):
+            want = plain_score(model, text)
+            got, score = scorer(text)
+            odds = [10 ** (x - max(want)) for x in want]
+            assert got == model.langs[want.index(max(want))] and score == pytest.approx(max(odds) / sum(odds), rel=1e-5)
     for text in ("the kater dogs and cats hund the the xylophone", "der der the", "a b c d e f g h"):
         want = plain_score(model, text)
         got, score = scorer(text)
@@ -190,3 +197,51 @@ def test_fit_takes_a_bounded_share_of_each_language(documents):
     df = documents([(i, f"word{spelled(i)} common") for i in range(400)]).withColumn("lang", F.when(F.col("doc_id") < 390, "en").otherwise("fr"))
     model = lang.fit(df, fit_docs=50)
     assert 10 + 20 < len(model.rows[0]) < 10 + 90  # all ten of one language, about fifty of the other
+
+
+def test_every_language_is_learned_and_copies_count_once(documents, empty):
+    """Five hundred languages of a document each, one of them in very many copies."""
+    spelled = lambda i: "".join("abcdefghij"[int(d)] for d in f"{i:03d}")
+    rows = [(i, f"{spelled(i)}x {spelled(i)}y {spelled(i)}z shared") for i in range(500)] + [(1000 + i, "aaax aaay aaaz shared") for i in range(300)]
+    df = documents(rows).withColumn("lang", F.concat(F.lit("l"), F.lpad((F.col("doc_id") % 1000 * F.when(F.col("doc_id") < 1000, 1).otherwise(0)).cast("string"), 3, "0")))
+    model = lang.fit(df)
+    assert len(model.langs) == 500 and len(model.index) < 80 * 500
+    got = lang.predict(documents([(i, f"{spelled(i)}y {spelled(i)}z") for i in range(500)]), model).collect()
+    assert all(r["lang_pred"] == f"l{r['doc_id']:03d}" for r in got)
+    assert lang.word_scores(model, "aaax")[0] == pytest.approx(math.log10(1 / 4))  # of four words, not of 301 copies
+
+
+def brute_model(rows, longest=5):
+    """Log10 shares of words and n-grams of each length, straight from the definition."""
+    counts = {}
+    for language, text in set(rows):
+        for w in lang.LETTERS.findall(text.lower()):
+            counts.setdefault((language, 0), Counter())[w] += 1
+            padded = f" {w} "
+            for k in range(1, longest + 1):
+                counts.setdefault((language, k), Counter()).update(padded[i : i + k] for i in range(len(padded) - k + 1))
+    return {(language, k, g): math.log10(n / sum(c.values())) for (language, k), c in counts.items() for g, n in c.items()}
+
+
+def brute_predict(shares, langs, text, longest=5):
+    words_ = lang.LETTERS.findall((text or "").lower())
+    total = dict.fromkeys(langs, 0.0)
+    for w in words_:
+        padded, options = f" {w} ", [[(0, w)]]
+        options += [[(k, padded[i : i + k]) for i in range(len(padded) - k + 1)] for k in range(longest, 1, -1)] + [[(1, c) for c in w]]
+        known = next((o for grams in options if (o := [g for g in grams if any((x, *g) in shares for x in langs)])), [])
+        for x in langs:
+            total[x] += sum(max(shares.get((x, *g), lang.ABSENT), lang.ABSENT) for g in known) / len(known) if known else lang.ABSENT
+    return {x: t / len(words_) for x, t in total.items()}
+
+
+def test_fit_and_scores_equal_the_definition(documents):
+    rows = [("en", "the cat sat on the mat"), ("en", "the dog"), ("de", "der hund und die katze"), ("fr", "le chat et le chien"), ("fr", "le chat et le chien")]
+    df = documents([(i, t) for i, (_, t) in enumerate(rows)]).withColumn("lang", F.element_at(F.array(*[F.lit(x) for x, _ in rows]), F.col("doc_id").cast("int") + 1))
+    model, shares = lang.fit(df), brute_model(rows)
+    texts = ["the katze", "chienne hunde", "ca", "zzz q", "on et und"]
+    for r in lang.predict(documents(list(enumerate(texts))), model).collect():
+        want = brute_predict(shares, ["de", "en", "fr"], r["text"])
+        best = min(want, key=lambda x: (-want[x], x))
+        assert r["lang_pred"] == best
+        assert r["score"] == pytest.approx(1 / sum(10 ** (v - want[best]) for v in want.values()), rel=1e-4)
