@@ -29,19 +29,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group linked at 0.8 of five-word shingles: the one with the smallest id.
 
-    Of several rows of one id one stays, the least by a hash of all columns, so a group is one row. A row without
-    an id stays unless its text is that of a row with an id; of equal ones one stays. Documents without words are
-    no duplicates of each other.
+    A document is an id with a text: different texts under one id are different documents, and so are texts without an
+    id, which are kept if no document of their group has one. Of rows that have both id and text in common one stays, the
+    least by a hash of all columns. Documents without words are no duplicates of each other: all their rows stay.
     """
-    kept = near_duplicates.duplicates(docs).where("kept").select("doc_id").distinct()
-    row, digest, known = unused(docs.columns, "row", "digest", "known")
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    named = docs.where("doc_id is not null")
-    first = named.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(whole, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])).alias(row))
-    address = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    nameless = docs.where("doc_id is null").withColumn(digest, address).dropDuplicates([digest])
-    alone = nameless.join(named.select(address.alias(known)).distinct(), F.col(digest) == F.col(known), "left_anti").drop(digest)
-    return first.select(f"{row}.*").unionByName(alone)
+    row, key, other, component = unused(docs.columns, "row", "key", "other", "component")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # an id and a text as 128 bits, half of which the operator takes for an id
+    named = docs.where(worded).withColumns({key: F.xxhash64("doc_id", F.col("doc_id").isNull(), "text"), other: F.xxhash64(F.lit(1), "text", "doc_id")})
+    groups = near_duplicates.duplicates(named, doc_id=key).select(F.col("doc_id").alias(key), F.col("component_id").alias(component)).distinct()
+    members = named.select("doc_id", key, other).distinct().join(groups, key)
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", F.col(key), F.col(other)))  # ids come first, the smallest of them
+    kept = members.groupBy(component).agg(best.alias(row)).select(F.col(f"{row}.{key}"), F.col(f"{row}.{other}"))
+    whole = named.groupBy(key, other).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias(row))
+    alone = whole.join(kept, [key, other], "left_semi").select(f"{row}.*")
+    return alone.unionByName(docs.where(~worded))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
