@@ -194,8 +194,10 @@ def duplicates(
     one document, with the links of all of them; of exactly equal rows all are returned. A row with a null id
     belongs to the component of the rows with its set, if any has an id (else null), links none and is not kept.
     Of rows of one id, a blank one counts by itself.
-    An empty table stays empty.
+    An empty table stays empty. Bands find all links above 75 percent only, so a lower ``percent`` is an error.
     """
+    if not 75 < percent <= 100:
+        raise ValueError(f"percent is above 75 and at most 100, not {percent}")
     source = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     schema = "doc_id long, n long, set_a long, set_b long, bands array<long>, bits array<long>, cells array<short>"
     sketches = written(source.mapInArrow(_sketched(width, lower), schema), "sketches")

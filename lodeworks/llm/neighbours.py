@@ -93,7 +93,9 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def matrix(column: pd.Series) -> np.ndarray:
-    return np.stack([np.asarray(v, dtype=np.float64) for v in column])
+    """Vectors scaled by powers of two so that no square is too large or small; their cosines keep every digit."""
+    rows = np.stack([np.asarray(v, dtype=np.float64) for v in column])
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
 
 
 def nearest(

@@ -97,34 +97,58 @@ def op7_licence_inheritance(spark, sf_dir):
 
 
 def _op7_sql() -> str:
-    idf, other, rows = licences.weights()
-    values = lambda rows: ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
+    """Patterns and the scale of weights are stated anew here; only the templates' texts are the operator's."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    texts = ", ".join(f"({i}, {quoted(name)}, {quoted(text)})" for i, (name, text) in enumerate(licences.TEMPLATES))
+    cue = r"(?i)(licence|license|copyright|spdx|\bcc[ -]by\b|\bcc0\b|creative commons|public domain|permission is hereby|redistribution and use)"
+    term = r"[0-9a-z]+(?:[-.][0-9a-z]+)*"
     return f"""
-with vectors(term, template, licence, weight) as (values {values(rows)}), known(term, idf) as (values {values(idf.items())}),
+with texts(template, licence, text) as (values {texts}),
+terms as (select template, licence, unnest(regexp_extract_all(lower(text), '{term}')) as term from texts),
+counts as (select template, licence, term, count(*) as tf from terms group by all),
+known as (select term, ln((1 + (select count(*) from texts)) / (1 + count(distinct template))) + 1 as idf from terms group by term),
+lengths as (select template, sqrt(sum((tf * idf) ** 2)) as length from counts join known using (term) group by template),
+vectors as (select term, template, licence, tf * idf / length as weight from counts join known using (term) join lengths using (template)),
 files as (
   select doc_id, coalesce(source, 'unknown') || '/' || coalesce(lang, 'unknown') as folder, doc_id || '.txt' as name,
-    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
-  from documents),
-held as (select distinct doc_id, unnest(list_filter(lines, lambda x: regexp_matches(x, '{licences.CUE}'))) as passage from files),
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\f\\r]')) as lines
+  from documents where regexp_matches(text, '{cue}')),
+marked as (
+  select *, list_filter(lines, lambda x: regexp_matches(x, '{cue}')) as named,
+    list_transform(lines, lambda x: regexp_replace(x, '^[ \\t\\n\\x0B\\f\\r/*#;%!<>-]+', '')) as plain
+  from files),
+held as (
+  select distinct doc_id, unnest(list_concat(
+    named,
+    list_filter(flatten(list_transform(named, lambda x: string_split(regexp_replace(x, '([.!?])[ \\t]+([A-Z(])', '\\1' || chr(10) || '\\2', 'g'), chr(10)))),
+      lambda x: regexp_matches(x, '{cue}')),
+    list_transform(list_filter(range(1, len(plain) + 1), lambda i: regexp_matches(plain[i], '{cue}')),
+      lambda i: array_to_string(plain[greatest(i - 1, 1):i + 3], ' ')))) as passage
+  from marked),
 counted as (
   select passage, term, count(*) as tf
-  from (select passage, unnest(regexp_extract_all(lower(passage), '{licences.TERM}')) as term from (select distinct passage from held))
+  from (select passage, unnest(regexp_extract_all(lower(passage), '{term}')) as term from (select distinct passage from held))
   group by all),
-weighed as (select passage, term, tf * coalesce(idf, {other!r}) as x from counted left join known using (term)),
+weighed as (select passage, term, tf * coalesce(idf, ln(1 + (select count(*) from texts)) + 1) as x from counted left join known using (term)),
 norms as (select passage, sqrt(sum(x * x)) as norm from weighed group by passage),
+identified as (
+  select passage, regexp_replace(regexp_extract(passage, '(?i)spdx-license-identifier:[ \\t(]*([A-Za-z0-9.+-]+)', 1), '(?i)(-only|-or-later|\\+)$', '') as id
+  from (select distinct passage from held)),
 scored as (
   select passage, licence, round(sum(x * weight) / any_value(norm), 9) as score
-  from weighed join vectors using (term) join norms using (passage) group by passage, template, licence),
+  from weighed join vectors using (term) join norms using (passage) group by passage, template, licence
+  union all
+  select passage, coalesce((select any_value(licence) from texts where lower(licence) = lower(id)), id), 1.0 from identified where id <> ''),
 own as (
-  select doc_id, licence, score from held join scored using (passage) where score >= {licences.LEAST}
+  select doc_id, licence, score from held join scored using (passage) where score >= 0.7
   qualify row_number() over (partition by doc_id order by score desc, licence) = 1),
 sole as (
-  select f.folder, o.licence from own o join files f using (doc_id)
-  where len(f.lines) = len(list_filter(f.lines, lambda x: regexp_matches(x, '{licences.CUE}')))
-  qualify row_number() over (partition by f.folder order by o.score desc, o.licence, f.name) = 1)
-select f.doc_id, f.folder || '/' || f.name as path, o.licence as own_licence, o.score as own_score,
+  select f.folder, o.licence from own o join marked f using (doc_id) where len(f.lines) = len(f.named)
+  qualify row_number() over (partition by f.folder order by o.score desc, o.licence, f.name) = 1),
+every as (select doc_id, coalesce(source, 'unknown') || '/' || coalesce(lang, 'unknown') as folder from documents)
+select e.doc_id, e.folder || '/' || e.doc_id || '.txt' as path, o.licence as own_licence, o.score as own_score,
   coalesce(o.licence, s.licence) as licence, case when o.licence is null then s.folder end as licence_from
-from files f left join own o using (doc_id) left join sole s using (folder)
+from every e left join own o using (doc_id) left join sole s using (folder)
 """
 
 

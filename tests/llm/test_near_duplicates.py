@@ -137,3 +137,9 @@ def test_word_hashes_follow_words():
                 assert all(known.setdefault(w, h) == h for w, h in zip(row, part.hashes[begin:end].tolist(), strict=True))
         assert got == [words(t) for t in array.to_pylist()]
     assert len(set(known.values())) == len(known)
+
+
+def test_low_similarities_are_refused(documents):
+    for percent in (75, 50, 101):
+        with pytest.raises(ValueError, match="above 75"):
+            nd.duplicates(documents([(1, "a")]), percent=percent)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import textwrap
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -229,7 +230,7 @@ def test_few_rows_and_none(spark):
 
 
 def test_headers_files_and_inheritance(spark):
-    mit, apache = licences.TEMPLATES[1][1], "# Licensed under the Apache License, Version 2.0"
+    mit, apache = licences.MIT_TEXT, "# Licensed under the Apache License, Version 2.0"
     files = [
         ("LICENSE", mit), ("a/x.py", "code only\n"), ("a/b/LICENSE.txt", "Licensed under CC BY-NC 4.0."), ("a/b/c/d/y.py", None),
         ("a/b/z.py", f"{apache}\n" + "code " * 500), ("w.py", ""), ("e/f.md", "Licensed under CC BY 4.0.\n\n"), ("e/g.md", "text"), ("e/h/i.md", "x"),
@@ -250,6 +251,67 @@ def test_headers_files_and_inheritance(spark):
     assert licences.scan(df.limit(0)).collect() == []
 
 
+GPL_NOTICE = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int main(void) { return 0; }
+"""
+
+
+def wrapped(text, width=70, mark=""):
+    return "\n".join(mark + line for line in textwrap.wrap(text, width))
+
+
+def test_notices_as_they_are_found_in_files(spark):
+    """Identifiers, wrapped notices, a sentence within a paragraph, and complete licence files."""
+    found = {
+        "a.c": ("// SPDX-License-Identifier: MIT\nint x;\n", "MIT", 1.0),
+        "b.c": ("/* SPDX-License-Identifier: GPL-3.0-or-later */\n", "GPL-3.0", 1.0),
+        "c.py": ("# SPDX-License-Identifier: (apache-2.0 OR MIT)\nx = 1\n", "Apache-2.0", 1.0),
+        "d.py": ("# spdx-license-identifier: Zlib\n", "Zlib", 1.0),
+        "e.c": (GPL_NOTICE, "GPL-3.0", None),
+        "f.txt": ("Copyright (c) 2020 Jane Doe. Licensed under the MIT License. Thanks go to all who helped with the long road to this release of ours.", "MIT", None),
+        "g.txt": ("This file is released under the MIT license, see LICENSE for details.\n" + "text " * 300, "MIT", None),
+        "h/LICENSE": ("MIT License\n\nCopyright (c) 2021 A. Person\n\n" + wrapped(licences.MIT_TEXT), "MIT", None),
+        "i/LICENSE.txt": ("Copyright 2019, The Authors\n\n" + wrapped(licences.BSD_CONDITIONS + licences.BSD_NAMES + licences.BSD_DISCLAIMER), "BSD-3-Clause", None),
+        "j/COPYING": ("Copyright 2019, The Authors\n\n" + wrapped(licences.BSD_CONDITIONS + licences.BSD_DISCLAIMER), "BSD-2-Clause", None),
+        "k.py": (wrapped("Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at", 60, "# "), "Apache-2.0", None),
+        "l.txt": ("We think that a license should be short. Copyright law is another matter, as the public knows.", None, None),
+        "m.txt": ("word license " * 20_000, None, None),
+    }
+    df = spark.createDataFrame([(p, t) for p, (t, _, _) in found.items()], "path string, text string")
+    told = {r["path"]: (r["own_licence"], r["own_score"]) for r in licences.scan(df).collect()}
+    for path, (_, licence, score) in found.items():
+        assert told[path][0] == licence, path
+        assert score is None or told[path][1] == score
+    assert told["h/LICENSE"][1] > 0.95
+
+
+def test_ties_of_licences_and_odd_rows(spark, odd, empty):
+    templates = (("B", "free for all to use"), ("A", "free for all to use"))
+    df = spark.createDataFrame([("x/LICENSE", "free for all to use"), ("x/y", "z")], "path string, text string")
+    assert {(r["path"], r["licence"]) for r in licences.scan(df, templates).collect()} == {("x/LICENSE", "A"), ("x/y", "A")}
+    files = odd.withColumn("path", F.col("doc_id").cast("string"))
+    got = licences.scan(files)
+    assert got.count() == len(ODD) and got.where("licence is not null").count() == 0
+    assert licences.scan(empty.withColumn("path", F.col("source"))).count() == 0
+
+
+def test_vectors_of_extreme_size(spark):
+    """Squares that would overflow or vanish: cosines are those of the same vectors at a common size."""
+    rng = np.random.default_rng(8)
+    plain = rng.standard_normal((60, 4))
+    scale = np.ldexp(1.0, rng.integers(-900, 900, 60))
+    rows = [(i, v.tolist()) for i, v in enumerate(plain * scale[:, None])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    same = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(plain)], "vec_id long, embedding array<double>")
+    found = [sorted(map(tuple, neighbours.nearest(d, d.where("vec_id % 20 = 0"), share=1.0).collect())) for d in (df, same)]
+    assert found[0] == found[1] and len(found[0]) == 15 and all(abs(r[3]) <= 1 + 1e-12 for r in found[0])
+
+
 def test_scores_are_cosines():
     idf, other, rows = licences.weights()
     norms = defaultdict(float)

@@ -111,9 +111,19 @@ def test_stages_bear_odd_rows(odd, empty, spark, tmp_path):
 
 def test_near_duplicates_among_odd_rows(odd, spark):
     kept = [(r["doc_id"], r["text"]) for r in STAGE["near_duplicates"](spark, odd, SF).collect()]
-    ids = [i for i, _ in kept]
-    assert sorted(i for i in ids if i) == [1, 2, 3, 4, 5, 7, 8]
-    assert sum(i is None for i in ids) == 1  # the null text is that of documents 1 and 2
+    assert sorted(i for i, _ in kept if i) == [1, 2, 3, 4, 5, 6, 7, 8]
+    assert (6, "another text under the same id") in kept and sorted(str(t) for i, t in kept if i is None) == ["None", "a text without an id"]
+
+
+def test_texts_of_one_id_and_rows_without_an_id_or_words_stay(documents, spark):
+    long = [" ".join(f"w{k}-{i}" for i in range(40)) for k in range(4)]
+    rows = [(1, long[0]), (1, long[1]), (1, long[1]), (2, long[1] + " more"), (None, long[2]), (None, long[2] + " x"), (None, long[3]), (9, long[3] + " y")]
+    blank = [(None, None), (None, ""), (None, ""), (3, " "), (3, None)]
+    kept = [(r["doc_id"], r["text"]) for r in STAGE["near_duplicates"](spark, documents(rows + blank), SF).collect()]
+    nameless = [t for i, t in kept if i is None and t]
+    assert len(nameless) == 1 and nameless[0].startswith(long[2])
+    assert sorted(((i, t) for i, t in kept if i and (t or " ").strip()), key=str) == [(1, long[0]), (1, long[1]), (9, long[3] + " y")]
+    assert sorted((r for r in kept if not (r[1] or "").strip()), key=str) == sorted(blank, key=str)
 
 
 def test_run_is_registered(spark):
@@ -121,5 +131,5 @@ def test_run_is_registered(spark):
 
     assert entry.queries()["pipeline"] is pipeline.run
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert pipeline.run(spark, SF).where("piece = 0").count() > 100
