@@ -19,17 +19,14 @@ TOP = float(1 << 47)
 
 
 def limbs(x: Column) -> list[Column]:
-    """Whole numbers of a double from the highest place to the lowest, all of its sign; all steps are exact."""
-    rest, sign = F.abs(x), F.when(x < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")
-    high = F.floor(rest / PLACE)
-    rest = rest - high * PLACE
-    out = [high, F.floor(rest)]
-    rest = rest - F.floor(rest)
-    for _ in range(LOWER):
-        rest = rest * PLACE
-        out.append(F.floor(rest))
-        rest = rest - F.floor(rest)
-    return [sign * part for part in out]
+    """Whole numbers of a double from the highest place to the lowest, all of its sign.
+
+    Scaling by powers of two and remainders are exact. No place is taken from another one's expression, so that
+    expressions stay short.
+    """
+    size, sign = F.abs(x), F.when(x < 0, F.lit(-1)).otherwise(F.lit(1)).cast("long")
+    places = [size / PLACE, *[(size * (PLACE**k)) % PLACE for k in range(LOWER + 1)]]
+    return [sign * F.floor(part) for part in places]
 
 
 def total(x: Column) -> Column:
