@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,52 +167,76 @@ def _stacks(named: DataFrame) -> DataFrame:
     entry = F.struct(F.col("row_num"), F.col("level_indent"), F.col("label"))
     left = F.when(least.isNull() | (F.col("level_indent") < least), entry)
     summary = named.withColumn("left", left).groupBy(*KEYS).agg(F.count("*").alias("n"), F.sort_array(F.collect_list("left")).alias("stack"))
-    return summary.repartition("sheet").sortWithinPartitions(*KEYS).mapInArrow(_composed, STACKS)
+    # a sheet of one block hands nothing on; most sheets are that small, and need not be seen by Python
+    ordered = summary.repartition("sheet").sortWithinPartitions(*KEYS).withColumn("blocks", F.count("*").over(Window.partitionBy("sheet")))
+    return ordered.where(F.col("blocks") > 1).drop("blocks").mapInArrow(_composed, STACKS)
 
 
 STACKS = "sheet string, block long, row_num long, level_indent int, label string, rows_before long"
 WALKED = "sheet string, block long, row_num long, ord int, label string, parent string, grp string, lvl int"
 
 
-def _batch(rows: list[tuple], types: list[pa.DataType], schema: str) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [()] * len(types)
-    names = [c.split()[0] for c in schema.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-
 def _composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(sheet, block, n, stack) in order, to the stack before each block: one stack is held at a time."""
     types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.int64()]
     current, stack, before = None, [], 0
     for batch in batches:
         out = []
-        for sheet, block, n, left in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+        entries = batch.column(3).flatten()
+        left = list(zip(*[entries.field(c).to_pylist() for c in ("row_num", "level_indent", "label")], strict=True))
+        sizes = batch.column(3).value_lengths().to_pylist()
+        start = 0
+        for sheet, block, n, size in zip(*[c.to_pylist() for c in batch.columns[:3]], sizes, strict=True):
             if sheet != current:
                 current, stack, before = sheet, [], 0
-            out += [(sheet, block, e["row_num"], e["level_indent"], e["label"], before) for e in stack]
-            stack = [e for e in stack if e["level_indent"] < left[0]["level_indent"]] + left
+            out += [(sheet, block, *entry, before) for entry in stack]
+            own = left[start : start + size]
+            stack = [e for e in stack if e[1] < own[0][1]] + own
             before += n
-        yield _batch(out, types, STACKS)
+            start += size
+        columns = list(zip(*out, strict=True)) or [()] * len(types)
+        names = [c.split()[0] for c in STACKS.split(", ")]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
 def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (sheet, block) in order, each block's stack before them, to number, parent, root and level."""
-    types = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32()]
-    current, stack, n = None, [], 0
+    """Rows of (sheet, block) in order, each block's stack before them, to number, parent, root and level.
+
+    The walk is over numbers; labels stay in Arrow and are taken by their places.
+    """
+    current, levels, labels, n = None, [], None, 0
     for batch in batches:
-        out = []
-        for sheet, block, row, label, level, before in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if (sheet, block) != current:
-                current, stack, n = (sheet, block), [], 0
-            if before is not None:
-                n = before
+        if not batch.num_rows:
+            continue
+        sheet, block, row, label, level, before = batch.columns
+        known = label if labels is None else pa.concat_arrays([labels, label])  # of the open stack, then of the batch
+        same = pc.and_(pc.equal(sheet[1:], sheet[:-1]), pc.equal(block[1:], block[:-1])).to_pylist()
+        same.insert(0, (sheet[0].as_py(), block[0].as_py()) == current)
+        held = len(levels)
+        stack = list(zip(levels, range(held), strict=True))
+        own, number, parent, root, depth = [], [], [], [], []
+        places = range(held, held + batch.num_rows)
+        for i, goes_on, indented, rows_before in zip(places, same, level.to_pylist(), before.to_pylist(), strict=True):
+            if not goes_on:
+                stack, n = [], 0
+            if rows_before is not None:
+                n = rows_before
             else:
-                while stack and stack[-1][0] >= level:
+                while stack and stack[-1][0] >= indented:
                     stack.pop()
                 n += 1
-                out.append((sheet, block, row, n, label, stack[-1][1] if stack else None, stack[0][1] if stack else label, len(stack)))
-            stack.append((level, label))
-        yield _batch(out, types, WALKED)
+                own.append(i - held)
+                number.append(n)
+                parent.append(stack[-1][1] if stack else None)
+                root.append(stack[0][1] if stack else i)
+                depth.append(len(stack))
+            stack.append((indented, i))
+        kept = pa.array(own, pa.int64())
+        named = [known.take(pa.array(at, pa.int64())) for at in (parent, root)]
+        columns = [sheet.take(kept), block.take(kept), row.take(kept), pa.array(number, pa.int32()), label.take(kept), *named, pa.array(depth, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in WALKED.split(", ")])
+        current, levels = (sheet[-1].as_py(), block[-1].as_py()), [indented for indented, _ in stack]
+        labels = known.take(pa.array([i for _, i in stack], pa.int64()))
 
 
 def unpivot(rows: DataFrame, units: dict[str, str] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:

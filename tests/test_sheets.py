@@ -143,3 +143,44 @@ def test_many_small_sheets_take_the_same_plan_and_give_the_same_rows(spark):
     many = spark.range(2_000).select(F.concat(F.lit("s"), "id").alias("name")).crossJoin(F.broadcast(one)).select(F.col("name").alias("sheet"), "row_num", "cells")
     got = sheets.hierarchy(many).groupBy("ord", "label", "parent", "grp", "lvl").count().collect()
     assert len(got) == 7 and {r["count"] for r in got} == {2_000}
+
+
+def test_walk_is_the_same_for_any_batches():
+    """A block may go on in a later batch, with its stack; labels are taken by place from both."""
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    schema = pa.schema([("sheet", pa.string()), ("block", pa.int64()), ("row_num", pa.int64()), ("label", pa.string()), ("level_indent", pa.int32()), ("rows_before", pa.int64())])
+    rows, want = [], []
+    for sheet, block in [("a", 0), ("a", 10), ("b", 10), ("c", 0)]:
+        stack, n = [], 0
+        if block and sheet == "a":  # two ancestors and seven rows from the blocks before
+            stack, n = [(0, "a-top"), (2, "a-sub")], 7
+            rows += [(sheet, block, i, label, level, 7) for i, (level, label) in enumerate(stack)]
+        for i in range(9):
+            level, label = rng.choice([0, 2, 4, 6]), f"{sheet}{block}-{i}"
+            rows.append((sheet, block, block + i, label, level, None))
+            stack, n = [e for e in stack if e[0] < level], n + 1
+            want.append((sheet, block, block + i, n, label, stack[-1][1] if stack else None, stack[0][1] if stack else label, len(stack)))
+            stack.append((level, label))
+    for size in (1, 2, 5, 100):
+        batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows[i : i + size]], schema=schema) for i in range(0, len(rows), size)]
+        assert [tuple(r.values()) for b in sheets._walked(iter([*batches, batches[0][:0]])) for r in b.to_pylist()] == want
+
+
+def test_only_sheets_of_several_blocks_are_composed_in_python(spark):
+    named = spark.createDataFrame([("one", 0, 1, "x", 0), ("two", 0, 1, "y", 0), ("two", 10, 11, "z", 2)], "sheet string, block long, row_num long, label string, level_indent int")
+    found = sheets._stacks(named)
+    assert "(blocks" in found._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [("two", 10, 1, 0, "y", 1)]
+
+
+def test_sheets_made_of_a_small_file_are_dealt_over_all_tasks(spark, tmp_path):
+    """The rows of a file of one task were all written by that task, and read by one again."""
+    from verify import fixtures
+
+    spark.range(400).selectExpr("id as c_custkey", "0e0 as c_acctbal").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([], fixtures.DRIVER_TABLES["orders"]).write.parquet(f"{tmp_path}/orders.parquet")
+    rows = fixtures.sheet_rows(spark, str(tmp_path))
+    held = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert sum(held) == 4_800 and len(held) >= 4 and max(held) < 2_400

@@ -16,6 +16,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodeworks.session import tasks
+
 # Types of the driver's tables, so that a read needs no job to find them.
 DRIVER_TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -284,20 +286,26 @@ def with_fixtures(text: str) -> str:
     return "with " + ",\n".join(ctes) + "\n" + body
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A fixture as a DataFrame over the driver's Parquet files."""
+def table(spark: SparkSession, sf_dir: str, name: str, spread: dict[str, str] | None = None) -> DataFrame:
+    """A fixture as a DataFrame over the driver's Parquet files.
+
+    ``spread`` names driver's tables, with their keys, that are dealt over all tasks first: of a file of few bytes, which
+    is read by one task, every row may become many.
+    """
     text = with_fixtures(f"select * from {name}")
     frames = {}
     for t in DRIVER_TABLES:
         if re.search(rf"\b(from|join)\s+{t}\b", text):
             frames[t] = spark.read.schema(DRIVER_TABLES[t]).parquet(f"{sf_dir}/{t}.parquet")
+            if spread and t in spread:
+                frames[t] = frames[t].repartition(tasks(frames[t]), spread[t])
             text = re.sub(rf"\b(from|join)\s+{t}\b", rf"\1 {{{t}}}", text)
     return spark.sql(text, **frames)
 
 
 def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_sheet as typed sheet rows (sheet, row_num, cells)."""
-    flat = table(spark, sf_dir, "fx_sheet")
+    flat = table(spark, sf_dir, "fx_sheet", spread={"customer": "c_custkey"})
     cells = [F.struct(F.lit(None).cast("double").alias("num"), F.col("label").alias("txt"))]
     for c in ("c1", "c2", "c3"):
         plain = F.when(F.col(c).rlike(r"^[0-9]+(\.[0-9]+)?$"), F.col(c)).cast("double")
