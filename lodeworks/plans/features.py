@@ -18,6 +18,8 @@ from lodeworks.sources.tables import write_table
 
 #: The last column decides between rows of one shift, of which only a truck without an id should have several.
 TRUCK_ORDER = ["day", "shift_ord", "tie"]
+#: Columns of truck shifts that the features take; no others are shuffled.
+FAILURE_INPUT = ["day", "shift", "site", "truck", "model", "cap_t", "oper_h", "maint_h", "fail_h", "availability", "performance"]
 SHIFT_FRAME = 7
 HOUR_FRAME = 6
 #: Fixed stretches of the calendar that one task takes of a truck's or a site's history.
@@ -39,6 +41,9 @@ def failure_features(performance: DataFrame, block_months: int = BLOCK_MONTHS, s
     a missing or placeholder id or date, is cut further by the rank of its rows. Hours are summed as decimals, so their
     total does not depend on where blocks end; rows of one truck and shift are ordered by a hash of their values. Shifts
     since a failure count from the truck's first row until it first fails.
+
+    Rows are read by the count of stretches, by their ranks, by the summaries and by the windows: performance should be a
+    stored table, as in a build, or the aggregates and joins behind it are done for each.
     """
     month = F.year("day") * 12 + F.month("day") - 1
     calendar = F.coalesce(F.floor(month / F.lit(block_months)), F.lit(UNDATED))
@@ -50,7 +55,7 @@ def failure_features(performance: DataFrame, block_months: int = BLOCK_MONTHS, s
             "block": calendar * F.lit(CUTS),
             "hours": F.col("oper_h").cast(HOURS),
         }
-    )
+    ).select(*FAILURE_INPUT, "shift_ord", "tie", "failed", "block", "hours")
     marked = _cut_by_rank(marked, stretch_rows)
     rows = blocks.add_state(marked, _truck_state(marked), ["truck"], "block")
     run = blocks.within(["truck", "block"], TRUCK_ORDER)

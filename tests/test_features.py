@@ -215,3 +215,12 @@ def test_ranks_over_the_whole_table(spark):
     assert ranks.ranked(rows.where("false"), ["x"], "rank").count() == 0
     equal = spark.range(100).select(F.lit(1).alias("x"))
     assert sorted(r["rank"] for r in ranks.ranked(equal, ["x"], "rank").collect()) == list(range(100))
+
+
+def test_features_of_a_folder_read_truck_shifts_as_a_build_stores_them(spark):
+    """The aggregate and the join behind truck shifts were done again for each reader of their rows."""
+    from verify.registry import QUERIES
+
+    for name in ("ml_failure_features", "ml_failure_features_blocked", "ml_failure_features_ranked"):
+        found = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_suppkey" not in found and "cyc_h" not in found

@@ -57,6 +57,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf = spark, sf
         self._yearbook: DataFrame | None = None
+        self._performance: DataFrame | None = None
 
     def fx(self, name: str) -> DataFrame:
         return table(self.spark, self.sf, name)
@@ -79,8 +80,14 @@ class Inputs:
     def kpis(self) -> DataFrame:
         return operations.shift_kpis(self.performance(), self.shift_telemetry(), self.safety())
 
+    def written_performance(self) -> DataFrame:
+        """Truck shifts as a build leaves them: features read them more than once."""
+        if self._performance is None:
+            self._performance = files.write_table(self.performance(), scratch_folder(self.spark, "equipment_performance"))
+        return self._performance
+
     def failure(self) -> DataFrame:
-        return features.failure_features(self.performance())
+        return features.failure_features(self.written_performance())
 
     def process(self) -> DataFrame:
         return features.process_features(self.telemetry())
@@ -392,18 +399,18 @@ def ml_failure_features(spark, sf):
 @query
 def ml_failure_features_blocked(spark, sf):
     """The same table with every truck's history cut into years."""
-    return features.failure_features(Inputs(spark, sf).performance(), block_months=1)
+    return features.failure_features(Inputs(spark, sf).written_performance(), block_months=1)
 
 
 @query
 def ml_failure_features_ranked(spark, sf):
     """Stretches of ten years with more rows of a truck than a task is to take are cut by rank."""
-    return features.failure_features(Inputs(spark, sf).performance(), block_months=120, stretch_rows=50)
+    return features.failure_features(Inputs(spark, sf).written_performance(), block_months=120, stretch_rows=50)
 
 
 @query
 def ml_failure_streak(spark, sf):
-    return features.failure_streak(Inputs(spark, sf).performance())
+    return features.failure_streak(Inputs(spark, sf).written_performance())
 
 
 @query
