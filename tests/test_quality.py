@@ -130,3 +130,12 @@ def test_keys_are_shuffled_as_fingerprints(spark):
     assert "LeftSemi" in shown and "Aggregate [check#" in shown
     wide = quality.run_suite({"t": rows}, [Check("t", "unique_combination", ("k", "id"))])
     assert [r["n_bad"] for r in wide.collect()] == [0]
+
+
+def test_suites_of_a_folder_read_stored_truck_shifts_and_features(spark):
+    """A suite reads each table for its row rules, its keys and their exact values; line items were grouped again for each."""
+    from verify.registry import QUERIES
+
+    for name in ("dq_suite", "dq_suite_features"):
+        found = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_suppkey" not in found and "rows_before" not in found

@@ -597,13 +597,15 @@ def dq_coverage(spark, sf):
 
 
 def _suite_tables(x: Inputs) -> dict[str, DataFrame]:
-    """The operational tables, the marts written as in a build."""
+    """The operational tables, the marts and the grouped truck shifts written: a suite reads each table three times."""
     folder = scratch_folder(x.spark, "operations")
-    performance = files.write_table(x.performance(), f"{folder}/equipment_performance")
+    maintenance = files.write_table(x.maintenance(), f"{folder}/stg_maintenance")
+    performance = operations.equipment_performance(maintenance, x.fx("fx_equipment"))
+    performance = files.write_table(performance, f"{folder}/equipment_performance")
     kpis = operations.shift_kpis(performance, x.shift_telemetry(), x.safety())
     return {
         "stg_telemetry": x.telemetry(),
-        "stg_maintenance": x.maintenance(),
+        "stg_maintenance": maintenance,
         "stg_safety": x.safety(),
         "equipment": x.fx("fx_equipment"),
         "equipment_performance": performance,
@@ -620,7 +622,9 @@ def dq_suite(spark, sf):
 @query
 def dq_suite_features(spark, sf):
     x = Inputs(spark, sf)
-    return quality.run_suite({"failure_features": x.failure(), "process_features": x.process()}, checks.FEATURES)
+    folder = scratch_folder(spark, "features")
+    found = {"failure_features": x.failure(), "process_features": x.process()}
+    return quality.run_suite({name: files.write_table(df, f"{folder}/{name}") for name, df in found.items()}, checks.FEATURES)
 
 
 @query
