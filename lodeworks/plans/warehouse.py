@@ -49,19 +49,23 @@ def build(raw: Mapping[str, DataFrame], folder: str | None = None, min_days: int
     With ``folder`` the marts, and the two tables that several marts read, are published there as Parquet
     and read back, so later tables neither recompute them nor depend on executors that are lost. A table is replaced
     when all its new rows are there; a build that fails leaves the rest as the last one published it.
+
+    raw_maintenance is read for the trucks with most rows, for the zones' cuts, and for the truck shifts; daily prices
+    once for each mart. They should be stored tables, or what is behind them is done for each.
     """
     tables: dict[str, DataFrame] = {"equipment": raw["equipment"]}
 
-    def add(name: str, df: DataFrame) -> DataFrame:
+    def add(name: str, df: DataFrame, **options) -> DataFrame:
         if folder and name in WRITTEN:
-            df = publish(df, place(folder, name), **WRITTEN[name])
+            df = publish(df, place(folder, name), **WRITTEN[name], **options)
         tables[name] = df
         return df
 
     telemetry = add("stg_telemetry", staging.telemetry(raw["raw_telemetry"]))
     maintenance = add("stg_maintenance", staging.maintenance(raw["raw_maintenance"]))
     safety = add("stg_safety", staging.safety(raw["raw_safety"]))
-    performance = add("equipment_performance", operations.equipment_performance(maintenance, raw["equipment"]))
+    # every maintenance row is a truck shift of the same day, site and truck: zones are cut without the join
+    performance = add("equipment_performance", operations.equipment_performance(maintenance, raw["equipment"]), cuts_of=maintenance)
     add("shift_kpis", operations.shift_kpis(performance, telemetry, safety))
     add("failure_features", features.failure_features(performance))
     add("process_features", features.process_features(telemetry))

@@ -30,19 +30,22 @@ RANGES = 4
 
 def publish(
     df: DataFrame, path: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None,
-    cluster_by: list[str] | None = None, ranges: int = RANGES,
+    cluster_by: list[str] | None = None, ranges: int = RANGES, cuts_of: DataFrame | None = None,
 ) -> DataFrame:
     """Create or replace a table: ``df`` becomes its next version, which is returned as it was written.
 
     ``partition_by`` splits folders by value, ``sort_by`` orders files over the whole table, ``cluster_by`` deals rows
     into zones; they exclude each other. Pieces of a folder are of even size, however the rows are spread.
+
+    Where the zones are cut is found by a pass over ``df`` of its own. ``cuts_of`` may name a table that is cheaper to
+    read and has the same values in the clustered columns, such as the large side of the join that ``df`` is.
     """
     spark, root = df.sparkSession, path.rstrip("/")
     number = (history(spark, root).agg(F.max("number")).first()[0] or 0) + 1
     folder = f"data-{number:06d}-{uuid.uuid4().hex}"
     out, folders = df, partition_by or []
     if cluster_by:
-        out, folders = df.withColumn(ZONE, _zone(df, cluster_by, ranges)), [ZONE]
+        out, folders = df.withColumn(ZONE, _zone(df, cluster_by, ranges, df if cuts_of is None else cuts_of)), [ZONE]
     if folders:
         out = out.hint("rebalance", *folders).sortWithinPartitions(*folders, *(cluster_by or []))
     elif sort_by:
@@ -135,11 +138,11 @@ def _number(df: DataFrame, column: str) -> Column:
     raise ValueError(f"cannot cluster by {column} of type {kind.simpleString()}")
 
 
-def _zone(df: DataFrame, columns: list[str], ranges: int) -> Column:
-    """The interleaved numbers of the ranges that a row's values are in; nulls are in the first range."""
+def _zone(df: DataFrame, columns: list[str], ranges: int, cuts_of: DataFrame) -> Column:
+    """The interleaved numbers of the ranges that a row's values are in, as ``cuts_of`` cuts them; nulls are in the first range."""
     bits = (ranges - 1).bit_length()
     shares = [k / ranges for k in range(1, ranges)]
-    cuts = df.agg(F.struct(*[F.percentile_approx(_number(df, c), shares).alias(c) for c in columns])).scalar()
+    cuts = cuts_of.agg(F.struct(*[F.percentile_approx(_number(cuts_of, c), shares).alias(c) for c in columns])).scalar()
     zone = F.lit(0)
     for i, c in enumerate(columns):
         above = [F.when(F.get(cuts[c], F.lit(k)) < _number(df, c), 1).otherwise(0) for k in range(ranges - 1)]

@@ -214,3 +214,26 @@ def test_truck_shifts_are_read_by_day_site_and_truck(spark, tmp_path):
     some = built.first()
     got = warehouse.truck_shifts(spark, f"{tmp_path}/wh", [some["site"]], [some["truck"]], some["day"], some["day"])
     assert some in got.collect() and warehouse.truck_shifts(spark, f"{tmp_path}/wh").count() == built.count()
+
+
+def test_zones_are_cut_by_a_table_with_the_same_values(spark, tmp_path):
+    """Truck shifts are a join to their rows: the cuts are read from the rows, not from a second join."""
+    rows = spark.range(4_000).select(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 90).cast("int")).alias("day"), F.format_string("T%03d", F.col("id") % 70).alias("truck"))
+    joined = rows.withColumn("x", F.length("truck"))
+    for k, cuts_of in enumerate((None, rows)):
+        got = versions.publish(joined, f"{tmp_path}/{k}", cluster_by=["day", "truck"], cuts_of=cuts_of)
+        assert sorted(got.collect()) == sorted(joined.collect())
+    zones = [spark.read.parquet(str(next(tmp_path.glob(f"{k}/zones-*")))) for k in range(2)]
+    assert sorted(zones[0].collect()) == sorted(zones[1].collect())
+    # values of another table cut other zones: only its rows were looked at
+    versions.publish(joined, f"{tmp_path}/2", cluster_by=["day", "truck"], cuts_of=rows.where("truck < 'T003'"))
+    assert sorted(spark.read.parquet(str(next(tmp_path.glob("2/zones-*")))).collect()) != sorted(zones[0].collect())
+
+
+def test_a_counted_build_reads_aggregated_raw_tables_once(spark):
+    from verify.registry import QUERIES
+
+    counts = QUERIES["warehouse_counts"](spark, "/root/testdata/sf0.001")
+    assert "l_suppkey" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    n = {r["tbl"]: r["n_rows"] for r in counts.collect()}
+    assert n["stg_maintenance"] == n["equipment_performance"] == n["failure_features"] > 0
