@@ -9,6 +9,7 @@ n-grams share cells. DataFrame functions only.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ QUANTILE = 0.02
 MARGIN = 0.5
 
 SYMBOLS = r"[#*$%&|<>]"
+#: The bits of a window's place, which an array's length never exceeds.
+PLACE = (1 << 31) - 1
 
 
 def cells_of(words: Column, cells: int = CELLS) -> Column:
@@ -42,18 +45,22 @@ def ratios(docs: DataFrame, trusted: Column, text: str = "text", cells: int = CE
     numbers for each of ``cells`` cells. Without any trusted n-gram every ratio is 0: nothing is rejected.
     """
     flags = F.lit(True).alias("raw"), F.coalesce(trusted, F.lit(False)).alias("target")
-    return _fitted(docs.select(*flags, words_of(F.col(f"`{text}`")).alias("words")), cells, smoothing)
+    return _fitted(docs.select(*flags, _text_cells(text, cells)), cells, smoothing)
 
 
 def ratios_between(target: DataFrame, raw: DataFrame, text: str = "text", cells: int = CELLS, smoothing: float = SMOOTHING) -> list[float]:
     """As ``ratios``, the rows of ``target`` against those of ``raw``."""
-    words = words_of(F.col(f"`{text}`")).alias("words")
-    part = lambda df, is_raw: df.select(F.lit(is_raw).alias("raw"), F.lit(not is_raw).alias("target"), words)
+    part = lambda df, is_raw: df.select(F.lit(is_raw).alias("raw"), F.lit(not is_raw).alias("target"), _text_cells(text, cells))
     return _fitted(part(raw, True).unionAll(part(target, False)), cells, smoothing)
 
 
+def _text_cells(text: str, cells: int) -> Column:
+    """The cells of a text, made before they are exploded: lambdas keep what they are part of out of generated code."""
+    return let(words_of(F.col(f"`{text}`")), lambda w: cells_of(w, cells)).alias("cells")
+
+
 def _fitted(split: DataFrame, cells: int, smoothing: float) -> list[float]:
-    grams = split.select("raw", "target", F.explode(cells_of(F.col("words"), cells)).alias("cell"))
+    grams = split.select("raw", "target", F.explode("cells").alias("cell"))
     counted = written(grams.groupBy("cell").agg(F.count_if("raw").alias("raw"), F.count_if("target").alias("target")), "cells")
     raw_all = counted.agg(F.sum("raw")).scalar()
     target_all = counted.agg(F.sum("target")).scalar()
@@ -76,7 +83,12 @@ def least_ratio(target: DataFrame, model: list[float], quantile: float = QUANTIL
 
     Ratios are rounded to five places, so tasks hand on counts of few different values and any order gives the same.
     """
-    own = target.select(F.round(let(words_of(F.col(f"`{text}`")), lambda w: mean_ratio(w, model)), 5).alias("ratio"))
+    return least_of(target.select(let(words_of(F.col(f"`{text}`")), lambda w: mean_ratio(w, model)).alias("ratio")), "ratio", quantile, margin)
+
+
+def least_of(target: DataFrame, ratio: str = "mean_ratio", quantile: float = QUANTILE, margin: float = MARGIN) -> float:
+    """As ``least_ratio``, from mean ratios that ``judge`` has found already."""
+    own = target.select(F.round(F.col(f"`{ratio}`"), 5).alias("ratio"))
     low, middle = own.agg(F.percentile("ratio", quantile).alias("low"), F.percentile("ratio", 0.5).alias("middle")).first()
     return -math.inf if low is None else low - margin * (middle - low)
 
@@ -84,30 +96,40 @@ def least_ratio(target: DataFrame, model: list[float], quantile: float = QUANTIL
 def repeated_words(words: Column, width: int = 3) -> Column:
     """Number of words that lie in a window of ``width`` words found twice or more in the text.
 
-    Windows are compared by 64-bit hashes sorted with their places: neighbours in that order with equal hashes are
-    repeats. Sorting keeps a text of a million words at n log n steps, and only texts with a repeat are sorted.
+    Windows are compared by 64-bit hashes. Only texts with a repeat are sorted: first numbers of 33 bits of the hash and
+    the place, where neighbours with equal bits may be repeats, then these alone by whole hash and place, where neighbours
+    with equal hashes are. Sorting keeps a text of a million words at n log n steps.
     """
     size = F.size(words)
-    window = lambda i: F.struct(F.xxhash64(*[F.get(words, i + k) for k in range(width)]).alias("h"), i.alias("at"))
+    window = lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)])
     windows = F.transform(F.sequence(F.lit(0), F.greatest(size - width, F.lit(0))), window)
+    low = F.lit(PLACE)
 
-    def places(ordered: Column) -> Column:
-        last = F.size(ordered) - 1
+    def beside(alike: Callable[[Column], Column]) -> Column:
+        """True if a neighbour in the order is alike; the ends have one neighbour."""
+        return F.coalesce(alike(F.lit(-1)) | alike(F.lit(1)), F.lit(False))
+
+    def candidates(hashes: Column) -> Callable[[Column], Column]:
+        def chosen(ordered: Column) -> Column:
+            near = lambda k, i: beside(lambda step: k.bitwiseXOR(F.get(ordered, i + step)).between(F.lit(0), low))
+            at = lambda k: k.bitwiseAND(low).cast("int")
+            found = F.transform(F.filter(ordered, near), lambda k: F.struct(F.get(hashes, at(k)).alias("h"), at(k).alias("at")))
+            return let(F.sort_array(found), places)
 
-        def again(w: Column, i: Column) -> Column:
-            before = F.when(i > 0, F.get(ordered, i - 1)["h"] == w["h"]).otherwise(F.lit(False))
-            after = F.when(i < last, F.get(ordered, i + 1)["h"] == w["h"]).otherwise(F.lit(False))
-            return before | after
+        return chosen
 
+    def places(ordered: Column) -> Column:
+        again = lambda w, i: beside(lambda step: F.get(ordered, i + step)["h"] == w["h"])
         return F.sort_array(F.transform(F.filter(ordered, again), lambda w: w["at"]))
 
     def cover(acc: Column, at: Column) -> Column:
         return F.struct((acc["n"] + at + width - F.greatest(acc["end"], at)).alias("n"), (at + width).alias("end"))
 
-    def covered(found: Column) -> Column:
+    def covered(hashes: Column) -> Column:
         start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))  # words covered so far, and where they end
-        counted = F.aggregate(let(F.sort_array(found), places), start, cover)["n"]
-        return F.when(F.size(F.array_distinct(found["h"])) < F.size(found), counted).otherwise(F.lit(0))
+        keys = F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("long")))
+        counted = F.aggregate(let(F.sort_array(keys), candidates(hashes)), start, cover)["n"]
+        return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), counted).otherwise(F.lit(0))
 
     return F.when(size > width, let(windows, covered)).otherwise(F.lit(0)).cast("long")
 

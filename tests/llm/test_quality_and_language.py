@@ -98,6 +98,25 @@ def test_least_ratio_of_hand_counted_rows(documents, empty):
     assert qr.ratios_between(target.where("doc_id < 4"), target) == pytest.approx(qr.ratios(target, F.col("doc_id") < 4))
 
 
+def test_every_text_is_judged_once_and_the_threshold_comes_from_the_verdicts(spark):
+    """Labelled good texts were hashed three times: for the target, for the raw corpus and for the threshold."""
+    got = QUERIES["op6_ngram_ratio_rules"](spark, SF)
+    assert "xxhash64" not in got._jdf.queryExecution().optimizedPlan().toString()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    target = docs.join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id", "left_semi")
+    model = qr.ratios_between(target, docs)
+    want = qr.judge(docs, model, qr.least_ratio(target, model)).drop("text")
+    assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_few_repeats_in_a_long_text(documents):
+    w = [f"w{i}" for i in range(60_000)]
+    w[50_000:50_004] = w[7:11]
+    w[59_997:] = w[0:3]
+    text = " ".join(w)
+    assert qr.judge(documents([(1, text)]), [0.0] * 8).first()["n_repeat_words"] == base(text)[4] == 14
+
+
 # -- classifier -----------------------------------------------------------------------------------
 
 
