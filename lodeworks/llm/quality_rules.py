@@ -60,7 +60,8 @@ def _text_cells(text: str, cells: int) -> Column:
 
 
 def _fitted(split: DataFrame, cells: int, smoothing: float) -> list[float]:
-    grams = split.select("raw", "target", F.explode("cells").alias("cell"))
+    # of a plain explode Spark infers a filter on the array, below the join: the cells would be made twice
+    grams = split.select("raw", "target", F.explode_outer("cells").alias("cell")).where("cell is not null")
     counted = written(grams.groupBy("cell").agg(F.count_if("raw").alias("raw"), F.count_if("target").alias("target")), "cells")
     raw_all = counted.agg(F.sum("raw")).scalar()
     target_all = counted.agg(F.sum("target")).scalar()

@@ -109,6 +109,15 @@ def test_every_text_is_judged_once_and_the_threshold_comes_from_the_verdicts(spa
     assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
 
 
+def test_cells_are_made_once_below_a_join(spark, documents, monkeypatch):
+    """The filter that Spark infers for a plain explode made the cells of every text a second time."""
+    seen = []
+    monkeypatch.setattr(qr, "written", lambda df, name: seen.append(df) or df)
+    docs = documents([(1, "a b"), (2, None), (3, "")])
+    qr.ratios(docs.select("doc_id", "text").join(docs.select("doc_id", F.lit(True).alias("good")).hint("merge"), "doc_id", "left"), F.col("good"))
+    assert seen[0]._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
 def test_few_repeats_in_a_long_text(documents):
     w = [f"w{i}" for i in range(60_000)]
     w[50_000:50_004] = w[7:11]
